@@ -2,8 +2,10 @@
 
 A combined frame has one row per key, with its measures already summed under the names they have in
 the events, and with counters next to them: ``<column>_rows`` counts the rows where the column was
-not null, ``event_rows`` counts all rows. The metrics read measures through :func:`count_of` and
-:func:`row_count`, so each of them gives the same result on events and on a combined frame.
+not null, ``event_rows`` counts all rows, and ``<column>_distinct`` counts the distinct values of a
+column within the key. The metrics count through :func:`count_of`, :func:`row_count` and
+:func:`distinct_of`, so each of them gives the same result on events and on a combined frame; only
+distinct counts ask for a frame combined by the very key of the metric.
 """
 
 from __future__ import annotations
@@ -22,6 +24,10 @@ def counter(column: str) -> str:
     return f"{column}_rows"
 
 
+def distinct_counter(column: str) -> str:
+    return f"{column}_distinct"
+
+
 def count_of(events: DataFrame, column: str) -> Column:
     """Number of events whose column is not null."""
     if counter(column) in events.columns:
@@ -36,17 +42,26 @@ def row_count(events: DataFrame) -> Column:
     return F.count(F.lit(1))
 
 
+def distinct_of(events: DataFrame, column: str) -> Column:
+    """Number of distinct values, nulls apart."""
+    if distinct_counter(column) in events.columns:
+        return F.sum(distinct_counter(column)).cast("bigint")
+    return F.count_distinct(column)
+
+
 def combine(
     events: DataFrame,
     keys: Iterable[str],
     sums: Iterable[str] = (),
     counts: Iterable[str] = (),
     maxes: Iterable[str] = (),
+    distincts: Iterable[str] = (),
 ) -> DataFrame:
     """One row per key. Spark combines inside each map task first, so a key that holds a large
     part of all events reaches the shuffle as one row per task."""
     measures = [F.sum(number(events, name)).alias(name) for name in sums]
     measures += [F.max(name).alias(name) for name in maxes]
     measures += [count_of(events, name).alias(counter(name)) for name in counts]
+    measures += [distinct_of(events, name).alias(distinct_counter(name)) for name in distincts]
     measures.append(row_count(events).alias(EVENT_ROWS))
     return events.groupBy(*keys).agg(*measures)

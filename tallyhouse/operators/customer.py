@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.scalars import age_group, number, ratio
-from tallyhouse.operators.combining import count_of
+from tallyhouse.operators.combining import count_of, distinct_of
 
 _DAY = 60 * 60 * 24
 
@@ -65,7 +65,7 @@ def rfm(events: DataFrame, as_of: int | datetime | Column | None = None) -> Data
         events.groupBy("customer_id")
         .agg(
             F.max("transaction_date").alias("last_purchase"),
-            F.count_distinct("order_id").alias("frequency"),
+            distinct_of(events, "order_id").alias("frequency"),
             F.sum("total_sales_amount").cast("double").alias("monetary"),
         )
         .withColumn("recency", ratio(_epoch(as_of) - F.col("last_purchase"), F.lit(_DAY)))
@@ -79,7 +79,7 @@ def app_usage(events: DataFrame) -> DataFrame:
     The duration counts once per event, so a session with three events counts three times.
     """
     return events.groupBy("customer_id").agg(
-        F.count_distinct("session_id").alias("total_sessions"),
+        distinct_of(events, "session_id").alias("total_sessions"),
         F.sum(number(events, "session_duration").cast("double")).alias("total_session_duration"),
         count_of(events, "feature_accessed").alias("total_features_accessed"),
     )

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.scalars import ratio
+from tallyhouse.operators.combining import distinct_of
 
 
 def _sales_and_quantity(events: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -30,7 +31,7 @@ def location_performance(events: DataFrame, by: Sequence[str] = ()) -> DataFrame
 def avg_order_value(events: DataFrame) -> DataFrame:
     """Sales per distinct order of each location; null where no event names an order."""
     return events.groupBy("location_store").agg(
-        ratio(F.sum("total_sales_amount"), F.count_distinct("order_id")).alias(
+        ratio(F.sum("total_sales_amount"), distinct_of(events, "order_id")).alias(
             "average_order_value"
         )
     )

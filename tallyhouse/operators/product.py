@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.scalars import ratio
+from tallyhouse.operators.combining import distinct_of
 
 
 def stock_sold(events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -20,7 +21,7 @@ def stock_sold(events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def inventory_turnover(events: DataFrame) -> DataFrame:
     """Quantity sold per distinct moment (to the second) at which the product was sold."""
     return events.groupBy("product_name").agg(
-        ratio(F.sum("quantity_sold"), F.count_distinct("transaction_date_readable")).alias(
+        ratio(F.sum("quantity_sold"), distinct_of(events, "transaction_date_readable")).alias(
             "inventory_turnover"
         )
     )

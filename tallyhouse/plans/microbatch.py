@@ -1,9 +1,12 @@
 """All metrics of one micro-batch.
 
-Computed one by one, 18 metrics read and shuffle the batch 18 times. Here the metrics with a common
-grouping share a base: the events combined by that grouping once. The base is far smaller than the
-batch, is kept while the batch is processed, and is a combined frame, so that the metric functions
-run on it unchanged.
+Computed one by one, 18 metrics read and shuffle the batch 18 times. Here the metrics of one entity
+share a base: the events combined by that entity once, from which the metrics are small roll-ups.
+A base is a combined frame, so the metric functions run on it unchanged.
+
+The bases are chosen so that none shuffles more than its metrics must: the customer's orders and
+sessions are two bases, because one base for both would expand each event into three rows, and the
+products are rolled up from the table by product and moment, which is stored anyway.
 """
 
 from __future__ import annotations
@@ -21,12 +24,17 @@ from tallyhouse.operators.customer import with_age_group
 
 @dataclass(frozen=True)
 class Base:
+    """Events, or the rows of another base, combined by keys for some metrics."""
+
+    name: str
     keys: tuple[str, ...]
     metrics: tuple[str, ...]
+    source: str | None = None
 
 
 BASES = (
     Base(
+        "segments",
         ("gender", "age_group", "payment_method", "transaction_status"),
         (
             "kpi_summary",
@@ -37,33 +45,23 @@ BASES = (
         ),
     ),
     Base(
-        ("product_name", "transaction_date_readable"),
-        (
-            "stock_sold",
-            "inventory_turnover",
-            "top_selling_products",
-            "product_performance",
-            "product_profitability",
-        ),
+        "product_moments", ("product_name", "transaction_date_readable"), ("product_performance",)
     ),
     Base(
-        ("customer_id", "order_id", "session_id"),
-        (
-            "customer_lifetime_value",
-            "website_traffic",
-            "rfm",
-            "app_usage",
-            "avg_session_duration",
-        ),
+        "products",
+        ("product_name",),
+        ("stock_sold", "inventory_turnover", "top_selling_products", "product_profitability"),
+        source="product_moments",
     ),
-    Base(("location_store", "order_id"), ("location_performance", "avg_order_value")),
-    Base(("sales_representative",), ("sales_rep_performance",)),
+    Base("customer_orders", ("customer_id",), ("customer_lifetime_value", "rfm")),
+    Base("customer_sessions", ("customer_id",), ("app_usage", "avg_session_duration")),
+    Base("locations", ("location_store",), ("location_performance", "avg_order_value")),
 )
 
 
 @dataclass(frozen=True)
 class MetricGroup:
-    """Metrics that read one frame. ``shared`` says whether the frame is worth keeping."""
+    """Metrics that read one frame. A ``shared`` frame is persisted and to be released."""
 
     frame: DataFrame
     metrics: tuple[Metric, ...]
@@ -74,18 +72,23 @@ def _union_of(metrics: Iterable[Metric], use: str) -> tuple[str, ...]:
     return tuple(dict.fromkeys(name for metric in metrics for name in getattr(metric, use)))
 
 
-def base_frame(events: DataFrame, base: Base, metrics: Iterable[Metric]) -> DataFrame:
-    metrics = tuple(metrics)
+def _combined(events: DataFrame, base: Base, metrics: tuple[Metric, ...]) -> DataFrame:
     source = with_age_group(events) if "age_group" in base.keys else events
+    distincts = _union_of(metrics, "distincts")
     return combine(
         source,
         base.keys,
         sums=_union_of(metrics, "sums"),
         counts=_union_of(metrics, "counts"),
         maxes=_union_of(metrics, "maxes"),
+        distincts=tuple(name for name in distincts if name not in base.keys),
     )
 
 
+def _members(base: Base, chosen: dict[str, Metric]) -> tuple[Metric, ...]:
+    return tuple(chosen[name] for name in base.metrics if name in chosen)
+
+
 def metric_groups(
     events: DataFrame, metrics: Iterable[Metric] = tuple(METRICS.values()), fused: bool = True
 ) -> list[MetricGroup]:
@@ -93,14 +96,30 @@ def metric_groups(
     chosen = {metric.name: metric for metric in metrics}
     if not fused:
         return [MetricGroup(events, (metric,), shared=False) for metric in chosen.values()]
-    groups = []
+    groups: list[MetricGroup] = []
+    frames: dict[str, DataFrame] = {}
     for base in BASES:
-        members = tuple(chosen.pop(name) for name in base.metrics if name in chosen)
-        if len(members) == 1:
-            groups.append(MetricGroup(events, members, shared=False))
-        elif members:
-            groups.append(MetricGroup(base_frame(events, base, members), members, shared=True))
-    groups += [MetricGroup(events, (metric,), shared=False) for metric in chosen.values()]
+        own = _members(base, chosen)
+        rolled_up = tuple(
+            metric
+            for other in BASES
+            if other.source == base.name
+            for metric in _members(other, chosen)
+        )
+        if not own:
+            continue
+        if len(own + rolled_up) == 1:
+            groups.append(MetricGroup(events, own, shared=False))
+            continue
+        frame = _combined(frames.get(base.source, events), base, own + rolled_up).persist()
+        frames[base.name] = frame
+        groups.append(MetricGroup(frame, own, shared=True))
+    grouped = {metric.name for group in groups for metric in group.metrics}
+    groups += [
+        MetricGroup(events, (metric,), shared=False)
+        for name, metric in chosen.items()
+        if name not in grouped
+    ]
     return groups
 
 

@@ -18,15 +18,15 @@ from tallyhouse.operators.regression import (
     predict_sales,
     regression_mse,
 )
-from tallyhouse.plans.microbatch import MetricGroup, compute_metric, metric_groups
+from tallyhouse.plans.microbatch import compute_metric, metric_groups
 from tallyhouse.sinks.metrics import append_metric, audited, replace_metric
 from tallyhouse.sources.events import rejects
 from tallyhouse.sources.metric_store import path_holds_files, stored_batches
 
 TRIGGER = "40 seconds"
 REGRESSION_TABLE = "sales_regression"
-# Metric groups written at the same time; most of their jobs are too small to fill a cluster.
-PARALLEL_GROUPS = 5
+# Metrics written at the same time; most of their jobs are too small to fill a cluster.
+PARALLEL_WRITES = 8
 
 
 def write_metric(
@@ -51,33 +51,27 @@ def write_batch(
 ) -> None:
     """Compute and store all metrics of one batch of events.
 
-    The events are kept for the length of the batch, since every base reads them. Lost blocks are
-    computed again from the source.
+    The events are kept for the length of the batch, since every base reads them, and so are the
+    bases. Lost blocks are computed again from the source.
     """
     moment = now or datetime.now(timezone.utc)
-    metrics = tuple(metrics)
     kept = events.persist()
-
-    def run(group: MetricGroup) -> None:
-        frame = group.frame.persist() if group.shared else group.frame
-        try:
-            for metric in group.metrics:
-                write_metric(metric, frame, root, batch_id, moment, preview)
-        finally:
-            if group.shared:
-                frame.unpersist()
-
+    groups = metric_groups(kept, metrics, fused)
+    # Each thread takes over the stream's job group, so stopping the query stops its jobs.
+    write = inheritable_thread_target(events.sparkSession)(write_metric)
     try:
-        groups = metric_groups(kept, metrics, fused)
-        with ThreadPoolExecutor(PARALLEL_GROUPS) as pool:
-            # Each thread takes over the stream's job group, so stopping the query stops its jobs.
-            tasks = [
-                pool.submit(inheritable_thread_target(events.sparkSession)(run), group)
+        with ThreadPoolExecutor(PARALLEL_WRITES) as pool:
+            written = [
+                pool.submit(write, metric, group.frame, root, batch_id, moment, preview)
                 for group in groups
+                for metric in group.metrics
             ]
-            for task in tasks:
-                task.result()
+            for each in written:
+                each.result()
     finally:
+        for group in groups:
+            if group.shared:
+                group.frame.unpersist()
         kept.unpersist()
 
 
