@@ -10,7 +10,7 @@ distinct counts ask for a frame combined by the very key of the metric.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,13 +55,25 @@ def combine(
     sums: Iterable[str] = (),
     counts: Iterable[str] = (),
     maxes: Iterable[str] = (),
-    distincts: Iterable[str] = (),
+    distincts: Sequence[str] = (),
 ) -> DataFrame:
     """One row per key. Spark combines inside each map task first, so a key that holds a large
-    part of all events reaches the shuffle as one row per task."""
+    part of all events reaches the shuffle as one row per task.
+
+    A column counted for its distinct values may be one of the keys: each row then holds one value,
+    and the sum of these ones over the other keys is the distinct count of a coarser key.
+    """
+    keys = list(keys)
+    within = [name for name in distincts if name not in keys]
     measures = [F.sum(number(events, name)).alias(name) for name in sums]
     measures += [F.max(name).alias(name) for name in maxes]
     measures += [count_of(events, name).alias(counter(name)) for name in counts]
-    measures += [distinct_of(events, name).alias(distinct_counter(name)) for name in distincts]
+    measures += [distinct_of(events, name).alias(distinct_counter(name)) for name in within]
     measures.append(row_count(events).alias(EVENT_ROWS))
-    return events.groupBy(*keys).agg(*measures)
+    ones = {
+        distinct_counter(name): F.col(name).isNotNull().cast("bigint")
+        for name in distincts
+        if name in keys
+    }
+    combined = events.groupBy(*keys).agg(*measures)
+    return combined.withColumns(ones) if ones else combined

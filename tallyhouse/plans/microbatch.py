@@ -4,9 +4,10 @@ Computed one by one, 18 metrics read and shuffle the batch 18 times. Here the me
 share a base: the events combined by that entity once, from which the metrics are small roll-ups.
 A base is a combined frame, so the metric functions run on it unchanged.
 
-The bases are chosen so that none shuffles more than its metrics must: the customer's orders and
+The bases are chosen so that none shuffles more than its metrics must: a customer's orders and
 sessions are two bases, because one base for both would expand each event into three rows, and the
-products are rolled up from the table by product and moment, which is stored anyway.
+sums by product do not pass through the base by product and moment, which can be nearly as long as
+the batch itself.
 """
 
 from __future__ import annotations
@@ -24,17 +25,14 @@ from tallyhouse.operators.customer import with_age_group
 
 @dataclass(frozen=True)
 class Base:
-    """Events, or the rows of another base, combined by keys for some metrics."""
+    """Events combined by keys for some metrics."""
 
-    name: str
     keys: tuple[str, ...]
     metrics: tuple[str, ...]
-    source: str | None = None
 
 
 BASES = (
     Base(
-        "segments",
         ("gender", "age_group", "payment_method", "transaction_status"),
         (
             "kpi_summary",
@@ -45,17 +43,15 @@ BASES = (
         ),
     ),
     Base(
-        "product_moments", ("product_name", "transaction_date_readable"), ("product_performance",)
+        ("product_name",), ("stock_sold", "top_selling_products", "product_profitability")
     ),
     Base(
-        "products",
-        ("product_name",),
-        ("stock_sold", "inventory_turnover", "top_selling_products", "product_profitability"),
-        source="product_moments",
+        ("product_name", "transaction_date_readable"),
+        ("product_performance", "inventory_turnover"),
     ),
-    Base("customer_orders", ("customer_id",), ("customer_lifetime_value", "rfm")),
-    Base("customer_sessions", ("customer_id",), ("app_usage", "avg_session_duration")),
-    Base("locations", ("location_store",), ("location_performance", "avg_order_value")),
+    Base(("customer_id",), ("customer_lifetime_value", "rfm")),
+    Base(("customer_id",), ("app_usage", "avg_session_duration")),
+    Base(("location_store",), ("location_performance", "avg_order_value")),
 )
 
 
@@ -74,53 +70,31 @@ def _union_of(metrics: Iterable[Metric], use: str) -> tuple[str, ...]:
 
 def _combined(events: DataFrame, base: Base, metrics: tuple[Metric, ...]) -> DataFrame:
     source = with_age_group(events) if "age_group" in base.keys else events
-    distincts = _union_of(metrics, "distincts")
     return combine(
         source,
         base.keys,
         sums=_union_of(metrics, "sums"),
         counts=_union_of(metrics, "counts"),
         maxes=_union_of(metrics, "maxes"),
-        distincts=tuple(name for name in distincts if name not in base.keys),
+        distincts=_union_of(metrics, "distincts"),
     )
 
 
-def _members(base: Base, chosen: dict[str, Metric]) -> tuple[Metric, ...]:
-    return tuple(chosen[name] for name in base.metrics if name in chosen)
-
-
 def metric_groups(
     events: DataFrame, metrics: Iterable[Metric] = tuple(METRICS.values()), fused: bool = True
 ) -> list[MetricGroup]:
     """The metrics of a batch, grouped by the base they share; without fusing, each on its own."""
     chosen = {metric.name: metric for metric in metrics}
-    if not fused:
-        return [MetricGroup(events, (metric,), shared=False) for metric in chosen.values()]
     groups: list[MetricGroup] = []
-    frames: dict[str, DataFrame] = {}
-    for base in BASES:
-        own = _members(base, chosen)
-        rolled_up = tuple(
-            metric
-            for other in BASES
-            if other.source == base.name
-            for metric in _members(other, chosen)
-        )
-        if not own:
-            continue
-        if len(own + rolled_up) == 1:
-            groups.append(MetricGroup(events, own, shared=False))
-            continue
-        frame = _combined(frames.get(base.source, events), base, own + rolled_up).persist()
-        frames[base.name] = frame
-        groups.append(MetricGroup(frame, own, shared=True))
-    grouped = {metric.name for group in groups for metric in group.metrics}
-    groups += [
-        MetricGroup(events, (metric,), shared=False)
-        for name, metric in chosen.items()
-        if name not in grouped
-    ]
-    return groups
+    for base in BASES if fused else ():
+        members = tuple(chosen[name] for name in base.metrics if name in chosen)
+        if len(members) > 1:
+            frame = _combined(events, base, members).persist()
+            groups.append(MetricGroup(frame, members, shared=True))
+            for metric in members:
+                del chosen[metric.name]
+    alone = [MetricGroup(events, (metric,), shared=False) for metric in chosen.values()]
+    return groups + alone
 
 
 def compute_metric(metric: Metric, frame: DataFrame, as_of: int | datetime) -> DataFrame:

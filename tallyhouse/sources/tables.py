@@ -25,8 +25,11 @@ from tallyhouse.operators.combining import EVENT_ROWS, combine, counter
 TRUSTED = "trusted"
 ENFORCED = "enforced"
 
-_DISCOUNT = "cast(l_extendedprice AS decimal(18,2)) * cast(l_discount AS decimal(4,2))"
-_TAX = "cast(l_extendedprice AS decimal(18,2)) * cast(l_tax AS decimal(4,2))"
+# The product has four digits after the point, so the outer cast rounds nothing; it keeps the
+# amount within 18 digits, which Spark holds in a long.
+_PART_OF_PRICE = (
+    "cast(cast(l_extendedprice AS decimal(18,2)) * cast({rate} AS decimal(4,2)) AS decimal(18,4))"
+)
 _FEATURE = """CASE l_linenumber WHEN 1 THEN 'Home' WHEN 2 THEN 'Product Page' WHEN 3 THEN 'Cart'
               WHEN 4 THEN 'Checkout' WHEN 5 THEN 'Profile' END"""
 
@@ -36,8 +39,8 @@ _LINE = {
     "product_id": "l_partkey",
     "quantity_sold": "cast(l_quantity AS bigint)",
     "total_sales_amount": "cast(l_extendedprice AS decimal(18,2))",
-    "discount_amount": _DISCOUNT,
-    "tax_amount": _TAX,
+    "discount_amount": _PART_OF_PRICE.format(rate="l_discount"),
+    "tax_amount": _PART_OF_PRICE.format(rate="l_tax"),
     "promo_code": "CASE WHEN l_discount = 0 THEN NULL ELSE 'DISCOUNT' END",
     "payment_status": "l_linestatus",
     "transaction_type": "CASE WHEN l_returnflag = 'R' THEN 'return' ELSE 'purchase' END",
