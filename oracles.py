@@ -54,10 +54,6 @@ def _over_sales(select: str, *more: str) -> str:
     return "WITH " + ",\n".join([_SALES, *more]) + "\n" + select
 
 
-def _double(expression: str) -> str:
-    return f"cast({expression} AS double)"
-
-
 _AGE_GROUP = """CASE WHEN age BETWEEN 18 AND 35 THEN 'Young Age'
                      WHEN age BETWEEN 36 AND 60 THEN 'Middle Age'
                      WHEN age > 60 THEN 'Old Age' ELSE 'Unknown' END"""
@@ -143,5 +139,272 @@ FROM sales GROUP BY customer_id""",
 }
 
 
+
+def _batched(sums: str, key: str) -> str:
+    """Rows of an appended metric: per batch first."""
+    return f"batches AS (SELECT micro_batch_id, {key}, {sums} FROM sales GROUP BY ALL)"
+
+
+_EXACT = "decimal(38,4)"
+_BATCH_PROFIT = _batched(_PROFIT, "product_name")
+
+
+def _total(column: str) -> str:
+    return f"cast(sum(cast({column} AS {_EXACT})) AS double) AS {column}"
+
+
+def _count(column: str) -> str:
+    return f"cast(sum({column}) AS bigint) AS {column}"
+
+
+_CUMULATIVE = {
+    "cumulative_stock_sold": (
+        _batched("sum(quantity_sold) AS stock_sold", "product_name"),
+        f"SELECT product_name, {_count('stock_sold')} FROM batches GROUP BY product_name",
+    ),
+    "cumulative_age_groups": (
+        _batched("count(customer_id) AS customer_count", f"{_AGE_GROUP} AS age_group"),
+        f"SELECT age_group, {_count('customer_count')} FROM batches GROUP BY age_group",
+    ),
+    "cumulative_top_selling_products": (
+        _batched("sum(quantity_sold) AS total_quantity_sold", "product_name"),
+        f"SELECT product_name, {_count('total_quantity_sold')} FROM batches GROUP BY product_name",
+    ),
+    "cumulative_product_profitability": (
+        _BATCH_PROFIT,
+        f"""SELECT product_name, {_total('total_sales_amount')}, {_total('total_discount_amount')},
+                   {_total('total_tax_amount')}, {_total('total_shipping_fee')},
+                   {_count('total_quantity_sold')}, {_total('profit')}
+            FROM batches GROUP BY product_name""",
+    ),
+    "cumulative_sales_rep_performance": (
+        _batched(_SALES_AND_QUANTITY, "sales_representative"),
+        f"""SELECT sales_representative, {_total('total_sales_amount')},
+                   {_count('total_quantity_sold')}
+            FROM batches GROUP BY sales_representative""",
+    ),
+    "cumulative_location_performance": (
+        _batched(_SALES_AND_QUANTITY, "location_store"),
+        f"""SELECT location_store, {_total('total_sales_amount')}, {_count('total_quantity_sold')}
+            FROM batches GROUP BY location_store""",
+    ),
+    "gender_totals": (
+        _batched("count(customer_id) AS customer_count", "gender"),
+        """SELECT cast(coalesce(sum(customer_count) FILTER (lower(gender) = 'male'), 0) AS bigint)
+                    AS male_count,
+                  cast(coalesce(sum(customer_count) FILTER (lower(gender) = 'female'), 0) AS bigint)
+                    AS female_count
+           FROM batches""",
+    ),
+    "profitability_points": (
+        _BATCH_PROFIT,
+        f"""SELECT total_sales_amount, total_discount_amount FROM (
+              SELECT product_name, {_total('total_sales_amount')}, {_total('total_discount_amount')}
+              FROM batches GROUP BY product_name ORDER BY product_name LIMIT 15)""",
+    ),
+    "payment_method_table": (
+        _batched("count(customer_id) AS customer_count", "payment_method"),
+        f"SELECT payment_method, {_count('customer_count')} FROM batches GROUP BY payment_method",
+    ),
+    "profitability_trend": (
+        _BATCH_PROFIT,
+        f"""SELECT round(regr_slope(total_discount_amount, total_sales_amount), 6) AS slope,
+                   round(regr_intercept(total_discount_amount, total_sales_amount), 1) AS intercept,
+                   round(regr_r2(total_discount_amount, total_sales_amount), 6) AS r2,
+                   cast(regr_count(total_discount_amount, total_sales_amount) AS bigint) AS points
+            FROM (SELECT product_name, {_total('total_sales_amount')},
+                         {_total('total_discount_amount')}
+                  FROM batches GROUP BY product_name)""",
+    ),
+}
+
+_SERVING = {
+    "product_performance_series": f"""
+SELECT transaction_date_readable, quantity_sold, total_sales_amount
+FROM ({_METRICS['product_performance']}) ORDER BY transaction_date_readable, product_name LIMIT 15""",
+    "location_table": _METRICS["location_performance"],
+    "monetary_values": f"SELECT monetary FROM ({_METRICS['rfm']})",
+    "latest_kpis": _METRICS["kpi_summary"],
+    "inventory_table": f"""
+SELECT * FROM ({_METRICS['inventory_turnover']}) ORDER BY product_name LIMIT 12""",
+    "monetary_histogram": f"""
+SELECT cast(floor(monetary / 50) * 50 AS double) AS bucket, count(*) AS customers
+FROM ({_METRICS['rfm']}) GROUP BY 1""",
+    "sample_locations": f"""
+SELECT * FROM ({_METRICS['location_performance']})
+ORDER BY md5(concat('0:', location_store)), location_store LIMIT 5""",
+}
+
+
+def _lines(section: int, source: str, key: str, *measures: str, seq: int = 2) -> list[str]:
+    return [
+        f"""SELECT {section} AS section, {seq + place} AS seq, '{name}' AS metric, {key} AS key,
+                   round(cast({name} AS double), 6) AS value
+            FROM ({source})"""
+        for place, name in enumerate(measures)
+    ]
+
+
+_POINTS = f"SELECT * FROM ({_METRICS['product_profitability']}) ORDER BY product_name LIMIT 15"
+_KPI_NAMES = ("total_sales", "revenue", "avg_sales", "total_inventory_value")
+
+_INSIGHTS = " UNION ALL ".join(
+    [
+        *_lines(1, _METRICS["payment_method_counts"], "payment_method", "customer_count"),
+        *_lines(
+            2,
+            _SERVING["product_performance_series"],
+            "transaction_date_readable",
+            "total_sales_amount",
+            "quantity_sold",
+        ),
+        *_lines(
+            3, f"{_METRICS['gender_counts']} HAVING gender = 'male'", "gender", "customer_count"
+        ),
+        *_lines(
+            3,
+            f"{_METRICS['gender_counts']} HAVING gender = 'female'",
+            "gender",
+            "customer_count",
+            seq=3,
+        ),
+        *_lines(4, _METRICS["rfm"], "NULL", "monetary"),
+        *_lines(5, _POINTS, "NULL", "total_sales_amount", "total_discount_amount"),
+        *_lines(
+            6,
+            _METRICS["location_performance"],
+            "location_store",
+            "total_sales_amount",
+            "total_quantity_sold",
+        ),
+        *_lines(7, _METRICS["kpi_summary"], "NULL", *_KPI_NAMES),
+        *_lines(8, _SERVING["inventory_table"], "product_name", "inventory_turnover"),
+    ]
+)
+
+_TOTAL_SALES = "cast(sum(total_sales_amount) AS double)"
+_TOTAL_QUANTITY = "cast(sum(quantity_sold) AS double)"
+
+
+def _counted(column: str, name: str) -> str:
+    return f"SELECT {column} AS {name}, count(*) AS count FROM sales GROUP BY {column}"
+
+
+def _summed(column: str, name: str) -> str:
+    return f"SELECT {column} AS {name}, {_TOTAL_SALES} AS total_sales FROM sales GROUP BY {column}"
+
+
+_CSV = {
+    "csv_sales_overview": f"""
+SELECT {_TOTAL_SALES} AS total_sales,
+       round({_TOTAL_SALES} / count(*), 6) AS average_order_value FROM sales""",
+    "csv_daily_sales": _summed("transaction_date_readable", "date"),
+    "csv_top_skus": f"""
+SELECT product_name AS sku, {_TOTAL_QUANTITY} AS total_quantity, {_TOTAL_SALES} AS total_sales
+FROM sales GROUP BY product_name ORDER BY total_quantity DESC, sku LIMIT 5""",
+    "csv_fulfillment": _counted("gender", "fulfillment"),
+    "csv_courier_status": _counted("feature_accessed", "courier_status"),
+    "csv_order_status": _counted("transaction_status", "order_status"),
+    "csv_quantity": f"""
+SELECT {_TOTAL_QUANTITY} AS total_quantity,
+       round({_TOTAL_QUANTITY} / count(*), 6) AS average_quantity FROM sales""",
+    "csv_financials": f"""
+SELECT {_TOTAL_SALES} AS gross_revenue, {_TOTAL_QUANTITY} * 50 AS estimated_cost,
+       round(({_TOTAL_SALES} - {_TOTAL_QUANTITY} * 50) / {_TOTAL_SALES} * 100, 6)
+         AS profit_margin_percent
+FROM sales""",
+    "csv_currency": _summed("payment_method", "currency"),
+}
+
+
+def _ranked_lines() -> list[str]:
+    ranked = f"""SELECT *, row_number() OVER (ORDER BY total_quantity DESC, sku) AS place
+                 FROM ({_CSV['csv_top_skus']})"""
+    return [
+        f"""SELECT 3 AS section, 2 * place + {more} AS seq, '{name}' AS metric, sku AS key,
+                   round({name}, 6) AS value FROM ({ranked})"""
+        for more, name in enumerate(("total_quantity", "total_sales"))
+    ]
+
+
+def _renamed(query: str, metric: str) -> str:
+    return f"SELECT * RENAME (count AS {metric}) FROM ({query})"
+
+
+_CSV_REPORT = " UNION ALL ".join(
+    [
+        *_lines(1, _CSV["csv_sales_overview"], "NULL", "total_sales", "average_order_value"),
+        *_lines(2, _CSV["csv_daily_sales"], "date", "total_sales"),
+        *_ranked_lines(),
+        *_lines(
+            4,
+            _renamed(_CSV["csv_fulfillment"], "fulfillment_rows"),
+            "fulfillment",
+            "fulfillment_rows",
+        ),
+        *_lines(
+            5,
+            _renamed(_CSV["csv_courier_status"], "courier_status_rows"),
+            "courier_status",
+            "courier_status_rows",
+        ),
+        *_lines(
+            5,
+            _renamed(_CSV["csv_order_status"], "order_status_rows"),
+            "order_status",
+            "order_status_rows",
+            seq=3,
+        ),
+        *_lines(7, _CSV["csv_quantity"], "NULL", "total_quantity", "average_quantity"),
+        *_lines(
+            8,
+            _CSV["csv_financials"],
+            "NULL",
+            "gross_revenue",
+            "estimated_cost",
+            "profit_margin_percent",
+        ),
+        *_lines(9, _CSV["csv_currency"], "currency", "total_sales"),
+    ]
+)
+
+_READABLE = "strftime(make_timestamp(({epoch}) * 1000000), '%Y-%m-%d %H:%M:%S')"
+_EVENT_COLUMNS = (
+    "sales_id order_id age promo_code product_id product_name quantity_sold transaction_date "
+    "transaction_date_readable customer_id gender payment_method payment_status "
+    "transaction_status transaction_type location_store sales_representative "
+    "refund_return_status payment_confirmation_number session_id feature_accessed session_duration"
+).split()
+_EVENT_MONEY = (
+    "order_total unit_price total_sales_amount discount_amount tax_amount shipping_fee"
+).split()
+
+_INGEST = {
+    "enriched_events": f"""
+SELECT sales_id, session_duration,
+       cast(round(quantity_sold * unit_price, 2) AS double) AS total_sales_amount,
+       {_READABLE.format(epoch='transaction_date')} AS transaction_date_readable,
+       {_READABLE.format(epoch='transaction_date + cast(session_duration AS bigint)')}
+         AS session_end
+FROM sales""",
+    "ingested_events": f"""
+SELECT transaction_type, payment_method,
+       {', '.join(f'count({name}) AS {name}_rows' for name in _EVENT_COLUMNS)},
+       {', '.join(f'cast(sum({name}) AS double) AS {name}' for name in _EVENT_MONEY)},
+       cast(sum(age) AS bigint) AS age,
+       cast(sum(transaction_date) AS bigint) AS transaction_date,
+       max(transaction_date_readable) AS newest,
+       min(sales_id) AS first_sales_id
+FROM sales GROUP BY transaction_type, payment_method""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {name: _over_sales(select) for name, select in _METRICS.items()}
+    texts = {**_METRICS, **_SERVING, **_CSV, **_INGEST}
+    texts["insights_report"] = _INSIGHTS
+    texts["csv_report"] = _CSV_REPORT
+    over_sales = {name: _over_sales(select) for name, select in texts.items()}
+    over_batches = {
+        name: _over_sales(select, batches) for name, (batches, select) in _CUMULATIVE.items()
+    }
+    return {**over_sales, **over_batches}

@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.catalogue import METRICS, TRAFFIC_EXACT, Metric
+from tallyhouse.operators import regression
+from tallyhouse.operators.catalogue import METRICS, REPLACE, TRAFFIC_EXACT, Metric
 from tallyhouse.operators.ranking import ranked
+from tallyhouse.plans import csv_report, insights, serving
+from tallyhouse.schema import BATCH_COLUMN, EVENT_FIELDS, MONEY_COLUMNS
+from tallyhouse.sinks.metrics import append_metric, replace_metric
+from tallyhouse.sinks.publishing import to_kafka_records, to_wire
+from tallyhouse.sources import events
 from tallyhouse.sources.tables import combined_sales, sales_view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,7 +30,8 @@ _DIGITS = 6
 
 
 def rounded(df: DataFrame, *columns: str, digits: int = _DIGITS) -> DataFrame:
-    return df.withColumns({name: F.round(name, digits) for name in columns})
+    rounds = {name: F.round(name, digits) for name in columns}
+    return df.withColumns(rounds) if rounds else df
 
 
 def metric_over_tables(spark: SparkSession, path: str, metric: Metric, **options) -> DataFrame:
@@ -77,5 +87,227 @@ METRIC_QUERIES: dict[str, Query] = {
 }
 
 
+def _by_batch(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """The rows that a metric's table holds after several batches. The n-th line of every order
+    belongs to batch n, so orders and customers reach over batches; no line is left out."""
+    metric = METRICS[name]
+    batched = replace(metric, keys=(*metric.keys, BATCH_COLUMN))
+    return metric.compute(combined_sales(spark, path, batched), by=[BATCH_COLUMN])
+
+
+def _cumulative(name: str, keys: list[str], sums: list[str]) -> Query:
+    def run(spark: SparkSession, path: str) -> DataFrame:
+        return serving.cumulative(_by_batch(spark, path, name), keys, sums)
+
+    return run
+
+
+CUMULATIVE_QUERIES: dict[str, Query] = {
+    "cumulative_stock_sold": _cumulative("stock_sold", ["product_name"], ["stock_sold"]),
+    "cumulative_age_groups": _cumulative("age_groups", ["age_group"], ["customer_count"]),
+    "cumulative_top_selling_products": _cumulative(
+        "top_selling_products", ["product_name"], ["total_quantity_sold"]
+    ),
+    "cumulative_product_profitability": _cumulative(
+        "product_profitability",
+        ["product_name"],
+        [
+            "total_sales_amount",
+            "total_discount_amount",
+            "total_tax_amount",
+            "total_shipping_fee",
+            "total_quantity_sold",
+            "profit",
+        ],
+    ),
+    "cumulative_sales_rep_performance": _cumulative(
+        "sales_rep_performance",
+        ["sales_representative"],
+        ["total_sales_amount", "total_quantity_sold"],
+    ),
+    "cumulative_location_performance": _cumulative(
+        "location_performance",
+        ["location_store"],
+        ["total_sales_amount", "total_quantity_sold"],
+    ),
+}
+
+
+def _serving(name: str, serve: Callable[[DataFrame], DataFrame], *ratios: str, **options) -> Query:
+    """A dashboard query over a replaced metric, whose newest batch is the whole table."""
+
+    def run(spark: SparkSession, path: str) -> DataFrame:
+        return rounded(serve(metric_over_tables(spark, path, METRICS[name], **options)), *ratios)
+
+    return run
+
+
+def _serving_batches(name: str, serve: Callable[[DataFrame], DataFrame]) -> Query:
+    """A dashboard query over an appended metric of several batches."""
+
+    def run(spark: SparkSession, path: str) -> DataFrame:
+        return serve(_by_batch(spark, path, name))
+
+    return run
+
+
+def _trend(points: DataFrame) -> DataFrame:
+    line = serving.profitability_trend(points)
+    return rounded(rounded(line, "slope", "r2"), "intercept", digits=1)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder for tables that a query writes: in the folder that the cluster names for
+    checkpoints, or a local one where none is named, as in tests."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        return f"{shared.rstrip('/')}/tallyhouse-{uuid.uuid4().hex}"
+    return tempfile.mkdtemp(prefix="tallyhouse-")
+
+
+def _insights(spark: SparkSession, path: str) -> DataFrame:
+    """The report as a reader of the store gets it: the metrics are written first."""
+    root = shared_folder(spark)
+    for name in insights.REPORT_METRICS:
+        metric = METRICS[name]
+        options = {"as_of": AS_OF} if name == "rfm" else {}
+        write = replace_metric if metric.mode == REPLACE else append_metric
+        write(metric_over_tables(spark, path, metric, **options), root, metric.table, 0)
+    report = insights.insights_report(insights.stored_metrics(spark, root))
+    return _figures_only(report)
+
+
+def _figures_only(report: DataFrame) -> DataFrame:
+    lines = report.where("metric IS NOT NULL").drop("text")
+    return rounded(lines, "value")
+
+
+SERVING_QUERIES: dict[str, Query] = {
+    "gender_totals": _serving_batches("gender_counts", serving.gender_totals),
+    "product_performance_series": _serving(
+        "product_performance", serving.product_performance_series
+    ),
+    "profitability_points": _serving_batches("product_profitability", serving.profitability_points),
+    "payment_method_table": _serving_batches("payment_method_counts", serving.payment_method_table),
+    "location_table": _serving("location_performance", serving.location_table),
+    "monetary_values": _serving("rfm", serving.monetary_values, as_of=AS_OF),
+    "latest_kpis": _serving("kpi_summary", serving.latest_kpis, "avg_sales"),
+    "inventory_table": _serving(
+        "inventory_turnover", serving.inventory_table, "inventory_turnover"
+    ),
+    "monetary_histogram": _serving("rfm", serving.monetary_histogram, as_of=AS_OF),
+    "profitability_trend": _serving_batches("product_profitability", _trend),
+    "sample_locations": _serving("location_performance", serving.sample_locations),
+    "insights_report": _insights,
+}
+
+# Names under which the sales stand in for an uploaded table.
+UPLOADED = {
+    "transaction_date_readable": "Date",
+    "total_sales_amount": "Amount",
+    "quantity_sold": "Qty",
+    "product_name": "SKU",
+    "payment_method": "currency",
+    "feature_accessed": "Courier Status",
+    "transaction_status": "Status",
+    "gender": "fulfilled-by",
+}
+
+
+def uploaded_view(spark: SparkSession, path: str, *columns: str) -> DataFrame:
+    """The sales as an uploaded table, with the asked columns of :data:`UPLOADED`, or all."""
+    sales = sales_view(spark, path, columns or tuple(UPLOADED))
+    return sales.withColumnsRenamed(UPLOADED)
+
+
+def _uploaded(section: Callable[[DataFrame], DataFrame], columns: list[str], *ratios: str) -> Query:
+    def run(spark: SparkSession, path: str) -> DataFrame:
+        return rounded(section(uploaded_view(spark, path, *columns)), *ratios)
+
+    return run
+
+
+def _uploaded_report(spark: SparkSession, path: str) -> DataFrame:
+    return _figures_only(csv_report.csv_report(uploaded_view(spark, path)))
+
+
+CSV_QUERIES: dict[str, Query] = {
+    "csv_sales_overview": _uploaded(
+        csv_report.csv_sales_overview, ["total_sales_amount"], "average_order_value"
+    ),
+    "csv_daily_sales": _uploaded(
+        csv_report.csv_daily_sales, ["transaction_date_readable", "total_sales_amount"]
+    ),
+    "csv_top_skus": _uploaded(
+        csv_report.csv_top_skus, ["product_name", "quantity_sold", "total_sales_amount"]
+    ),
+    "csv_fulfillment": _uploaded(csv_report.csv_fulfillment, ["gender"]),
+    "csv_courier_status": _uploaded(
+        csv_report.csv_courier_status, ["feature_accessed", "transaction_status"]
+    ),
+    "csv_order_status": _uploaded(
+        csv_report.csv_order_status, ["feature_accessed", "transaction_status"]
+    ),
+    "csv_quantity": _uploaded(csv_report.csv_quantity, ["quantity_sold"], "average_quantity"),
+    "csv_financials": _uploaded(
+        csv_report.csv_financials, ["total_sales_amount", "quantity_sold"], "profit_margin_percent"
+    ),
+    "csv_currency": _uploaded(csv_report.csv_currency, ["payment_method", "total_sales_amount"]),
+    "csv_report": _uploaded_report,
+}
+
+
+def _enriched(spark: SparkSession, path: str) -> DataFrame:
+    """Amount, readable date and session end of events that came without them."""
+    raw = sales_view(
+        spark,
+        path,
+        ("sales_id", "quantity_sold", "unit_price", "transaction_date", "session_duration"),
+    )
+    return events.enrich_events(raw).select(
+        "sales_id",
+        "session_duration",
+        F.col("total_sales_amount").cast("double").alias("total_sales_amount"),
+        "transaction_date_readable",
+        "session_end",
+    )
+
+
+def _ingested(spark: SparkSession, path: str) -> DataFrame:
+    """Figures of the events after all of them were written as JSON messages and parsed again."""
+    names = [name for _, name, _ in EVENT_FIELDS]
+    messages = to_kafka_records(to_wire(sales_view(spark, path, names)), "Sales ID")
+    parsed = events.parse_events(messages)
+    counted = [name for name in names if name not in MONEY_COLUMNS]
+    return parsed.groupBy("transaction_type", "payment_method").agg(
+        *[F.count(name).alias(f"{name}_rows") for name in counted],
+        *[F.sum(name).cast("double").alias(name) for name in MONEY_COLUMNS],
+        F.sum("age").alias("age"),
+        F.sum("transaction_date").alias("transaction_date"),
+        F.max("transaction_date_readable").alias("newest"),
+        F.min("sales_id").alias("first_sales_id"),
+    )
+
+
+def _predictions(spark: SparkSession, path: str) -> DataFrame:
+    sales = sales_view(spark, path, regression.MODEL_COLUMNS)
+    return regression.predict_sales(regression.fit_sales_model(sales), sales)
+
+
+def _mse(spark: SparkSession, path: str) -> DataFrame:
+    return regression.regression_mse(_predictions(spark, path))
+
+
+INGEST_QUERIES: dict[str, Query] = {"enriched_events": _enriched, "ingested_events": _ingested}
+MODEL_QUERIES: dict[str, Query] = {"predict_sales": _predictions, "regression_mse": _mse}
+
+
 def all_queries() -> dict[str, Query]:
-    return {**METRIC_QUERIES}
+    return {
+        **METRIC_QUERIES,
+        **CUMULATIVE_QUERIES,
+        **SERVING_QUERIES,
+        **CSV_QUERIES,
+        **INGEST_QUERIES,
+        **MODEL_QUERIES,
+    }
