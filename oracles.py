@@ -321,7 +321,7 @@ def _ranked_lines() -> list[str]:
     ranked = f"""SELECT *, row_number() OVER (ORDER BY total_quantity DESC, sku) AS place
                  FROM ({_CSV['csv_top_skus']})"""
     return [
-        f"""SELECT 3 AS section, 2 * place + {more} AS seq, '{name}' AS metric, sku AS key,
+        f"""SELECT 3 AS section, cast(2 * place + {more} AS integer) AS seq, '{name}' AS metric, sku AS key,
                    round({name}, 6) AS value FROM ({ranked})"""
         for more, name in enumerate(("total_quantity", "total_sales"))
     ]

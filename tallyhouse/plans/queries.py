@@ -6,10 +6,12 @@ import tempfile
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyhouse.functions.concurrency import run_together
 from tallyhouse.operators import regression
 from tallyhouse.operators.catalogue import METRICS, REPLACE, TRAFFIC_EXACT, Metric
 from tallyhouse.operators.ranking import ranked
@@ -168,11 +170,13 @@ def shared_folder(spark: SparkSession) -> str:
 def _insights(spark: SparkSession, path: str) -> DataFrame:
     """The report as a reader of the store gets it: the metrics are written first."""
     root = shared_folder(spark)
-    for name in insights.REPORT_METRICS:
-        metric = METRICS[name]
-        options = {"as_of": AS_OF} if name == "rfm" else {}
+
+    def store(metric: Metric) -> None:
+        options = {"as_of": AS_OF} if metric.name == "rfm" else {}
         write = replace_metric if metric.mode == REPLACE else append_metric
         write(metric_over_tables(spark, path, metric, **options), root, metric.table, 0)
+
+    run_together(spark, [partial(store, METRICS[name]) for name in insights.REPORT_METRICS])
     report = insights.insights_report(insights.stored_metrics(spark, root))
     return _figures_only(report)
 

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
-from pyspark.util import inheritable_thread_target
 
+from tallyhouse.functions.concurrency import run_together
 from tallyhouse.operators.catalogue import METRICS, REPLACE, Metric, columns_of
 from tallyhouse.operators.regression import (
     MODEL_COLUMNS,
@@ -25,8 +25,6 @@ from tallyhouse.sources.metric_store import path_holds_files, stored_batches
 
 TRIGGER = "40 seconds"
 REGRESSION_TABLE = "sales_regression"
-# Metrics written at the same time; most of their jobs are too small to fill a cluster.
-PARALLEL_WRITES = 8
 
 
 def write_metric(
@@ -57,17 +55,13 @@ def write_batch(
     moment = now or datetime.now(timezone.utc)
     kept = events.persist()
     groups = metric_groups(kept, metrics, fused)
-    # Each thread takes over the stream's job group, so stopping the query stops its jobs.
-    write = inheritable_thread_target(events.sparkSession)(write_metric)
+    writes = [
+        partial(write_metric, metric, group.frame, root, batch_id, moment, preview)
+        for group in groups
+        for metric in group.metrics
+    ]
     try:
-        with ThreadPoolExecutor(PARALLEL_WRITES) as pool:
-            written = [
-                pool.submit(write, metric, group.frame, root, batch_id, moment, preview)
-                for group in groups
-                for metric in group.metrics
-            ]
-            for each in written:
-                each.result()
+        run_together(events.sparkSession, writes)
     finally:
         for group in groups:
             if group.shared:
