@@ -60,8 +60,9 @@ def money_text(amount: Column) -> Column:
 
 
 def percent_text(share: Column) -> Column:
-    """A share of one as ``12.34%``."""
-    return F.concat(F.format_string("%.2f", share.cast("double") * 100), F.lit("%"))
+    """A share of one as ``12.34%``; a tie rounds to the even digit, as in :func:`money_text`."""
+    percent = F.call_function("format_number", share.cast("double") * 100, F.lit("0.00"))
+    return F.concat(percent, F.lit("%"))
 
 
 def quoted(name: str) -> Column:

@@ -34,5 +34,6 @@ def write_report(report: DataFrame, path: str) -> None:
     A range sort spreads the lines over files whose names follow the order of the lines, so a
     report of any length is written by many tasks; the files one after the other are the report.
     """
-    ordered = report.orderBy("section", "seq", "key", "text")
+    lines = report.where(F.col("text").isNotNull())
+    ordered = lines.orderBy("section", "seq", "key", "text")
     ordered.select("text").write.mode("overwrite").text(path)
