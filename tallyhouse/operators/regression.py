@@ -21,14 +21,19 @@ def _labelled(sales: DataFrame) -> DataFrame:
 
 
 def fit_sales_model(sales: DataFrame, trees: int = 10, seed: int = 42) -> PipelineModel:
-    """Random forest on one feature. Only two columns are read, and the training is distributed."""
+    """Random forest on one feature.
+
+    Training passes over its rows many times, so the two columns it reads are spread evenly first,
+    however the events are spread over files or topic partitions. The spread follows from the values,
+    so a task that runs again gives the same rows.
+    """
     forest = RandomForestRegressor(
         labelCol=LABEL, featuresCol="features", numTrees=trees, seed=seed
     )
     assembler = VectorAssembler(
         inputCols=[FEATURE], outputCol="features", handleInvalid="skip"
     )
-    training = _labelled(sales).select(FEATURE, LABEL)
+    training = _labelled(sales).select(FEATURE, LABEL).repartition(FEATURE, LABEL)
     return Pipeline(stages=[assembler, forest]).fit(training)
 
 

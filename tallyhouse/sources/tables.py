@@ -5,6 +5,8 @@ line item finds exactly one row in the table it points to, the contract of the t
 joined only if a column is taken from it, so a metric by product reads no orders at all. With
 ``"enforced"`` all six tables are inner-joined and lines with a dangling key drop out.
 
+:func:`key_violations` tells whether given tables keep that contract.
+
 No join carries a broadcast hint: Spark broadcasts a side when its measured size is below
 ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles both, and adaptive execution splits
 a skewed key's partition. Orders meet customers and nations before they meet the line items, so the
@@ -14,6 +16,7 @@ large table is shuffled once per foreign key and never for a column of a column.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -178,3 +181,35 @@ def combined_sales(
         for name in metric.counts
     ]
     return joined.select(*kept, *_expressions(by_key, derived), *counters, EVENT_ROWS)
+
+
+# Child table, its foreign key, the table it points to, and the key there.
+_FOREIGN_KEYS = (
+    ("lineitem", "l_orderkey", "orders", "o_orderkey"),
+    ("lineitem", "l_partkey", "part", "p_partkey"),
+    ("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+    ("orders", "o_custkey", "customer", "c_custkey"),
+    ("customer", "c_nationkey", "nation", "n_nationkey"),
+)
+
+
+def key_violations(spark: SparkSession, path: str) -> DataFrame:
+    """Per foreign key, the rows that point nowhere and the keys that are not unique.
+
+    All zero means that trusted and enforced keys give the same view.
+    """
+    counts = []
+    for child, foreign, parent, key in _FOREIGN_KEYS:
+        pointing = _table(spark, path, child).groupBy(F.col(foreign).alias("k")).count()
+        owned = _table(spark, path, parent).groupBy(F.col(key).alias("k")).count()
+        dangling = pointing.join(owned, "k", "left_anti").agg(F.sum("count").alias("n"))
+        repeated = owned.where("count > 1").agg(F.count(F.lit(1)).alias("n"))
+        for problem, found in (("dangling", dangling), ("repeated", repeated)):
+            counts.append(
+                found.select(
+                    F.lit(f"{child}.{foreign}").alias("foreign_key"),
+                    F.lit(problem).alias("problem"),
+                    F.coalesce("n", F.lit(0)).alias("rows"),
+                )
+            )
+    return reduce(DataFrame.unionByName, counts)
