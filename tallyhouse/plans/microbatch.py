@@ -57,7 +57,7 @@ BASES = (
 
 @dataclass(frozen=True)
 class MetricGroup:
-    """Metrics that read one frame. A ``shared`` frame is persisted and to be released."""
+    """Metrics that read one frame. A ``shared`` frame is read several times, so worth keeping."""
 
     frame: DataFrame
     metrics: tuple[Metric, ...]
@@ -89,8 +89,7 @@ def metric_groups(
     for base in BASES if fused else ():
         members = tuple(chosen[name] for name in base.metrics if name in chosen)
         if len(members) > 1:
-            frame = _combined(events, base, members).persist()
-            groups.append(MetricGroup(frame, members, shared=True))
+            groups.append(MetricGroup(_combined(events, base, members), members, shared=True))
             for metric in members:
                 del chosen[metric.name]
     alone = [MetricGroup(events, (metric,), shared=False) for metric in chosen.values()]

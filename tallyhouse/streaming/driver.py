@@ -55,17 +55,18 @@ def write_batch(
     moment = now or datetime.now(timezone.utc)
     kept = events.persist()
     groups = metric_groups(kept, metrics, fused)
+    frames = [group.frame.persist() if group.shared else group.frame for group in groups]
     writes = [
-        partial(write_metric, metric, group.frame, root, batch_id, moment, preview)
-        for group in groups
+        partial(write_metric, metric, frame, root, batch_id, moment, preview)
+        for group, frame in zip(groups, frames)
         for metric in group.metrics
     ]
     try:
         run_together(events.sparkSession, writes)
     finally:
-        for group in groups:
+        for group, frame in zip(groups, frames):
             if group.shared:
-                group.frame.unpersist()
+                frame.unpersist()
         kept.unpersist()
 
 
