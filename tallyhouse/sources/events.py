@@ -29,12 +29,17 @@ def parse_payload(messages: DataFrame, schema: T.StructType = SALES_EVENT) -> Da
     A field of the wrong type is null and leaves the other fields of its event alone. Only when
     every field came out null is the text looked at again, to tell an event of bad fields from
     text that is no event at all.
+
+    The event passes through a one-element ``explode``: a filter on its fields would otherwise be
+    moved below the projection and parse the text again for each field it tests.
     """
     text = F.col("value").cast("string")
     flagged = T.StructType(schema.fields + [T.StructField(_CORRUPT, T.StringType())])
     parsed = messages.select(
         text.alias("payload"),
-        F.from_json(text, flagged, {"columnNameOfCorruptRecord": _CORRUPT}).alias("event"),
+        F.explode(
+            F.array(F.from_json(text, flagged, {"columnNameOfCorruptRecord": _CORRUPT}))
+        ).alias("event"),
     )
     fields = [F.col("event")[field.name] for field in schema.fields]
     suspect = F.col(f"event.{_CORRUPT}").isNotNull() & F.coalesce(

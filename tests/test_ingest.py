@@ -101,7 +101,8 @@ def test_renaming_ignores_case(spark):
     assert odd.withColumnsRenamed(SNAKE_NAMES).columns == ["location_store"]
 
 
-def test_parsing_is_one_expression_without_python(spark):
-    messages = spark.createDataFrame([("{}",)], "value string")
-    plan = events.parse_events(messages).groupBy("gender").agg(F.count("customer_id"))
-    assert "Python" not in plan._jdf.queryExecution().toString()
+def test_each_text_is_parsed_once(spark):
+    messages = spark.createDataFrame([("{}",)], "value string").repartition(2)
+    counted = events.parse_events(messages).groupBy("gender").agg(F.count("customer_id"))
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(StructField") == 1 and "Python" not in plan
