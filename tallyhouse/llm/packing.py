@@ -19,53 +19,98 @@ from __future__ import annotations
 import bisect
 import math
 import re
+import string
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.work_tables import WorkTables
 
-#: Between these characters no tokenizer here joins anything, and it drops them.
+#: Control characters that str.split() takes for blanks and the tokenizer does not.
+CONTROLS = re.compile("[\x1c-\x1f]")
 BLANKS = re.compile("[ \t\n\r]+")
-#: Words remembered by a task; beyond it the memory starts anew.
-REMEMBERED = 200_000
+#: Words, and parts of words, that a worker remembers; beyond it the memory starts anew.
+WORDS, PARTS = 300_000, 600_000
+#: Punctuation that the tokenizer splits off as one run behind letters; an apostrophe may start an ending.
+TAIL = "".join(c for c in string.punctuation if c != "'")
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def token_bytes(texts: list[str], tokenizer, known: dict[str, bytes]) -> Iterator[bytes]:
-    """Ids of each text as little-endian 32-bit numbers. Each distinct word is tokenized once."""
-    split = [BLANKS.split(t) for t in texts]
-    new = list({w for words in split for w in words} - known.keys())
-    if len(known) + len(new) > REMEMBERED:
-        known.clear()
-        new = list({w for words in split for w in words})
-    for word, got in zip(new, tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-        known[word] = np.asarray(got.ids, dtype="<u4").tobytes()
-    for words in split:
-        yield b"".join(map(known.__getitem__, words))
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: itself where it prints."""
+    prints = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return {b: chr(b if b in prints else next(others)) for b in range(256)}
+
+
+class WordIds(dict):
+    """Ids of blank-free words, as bytes of little-endian 32-bit numbers, tokenized once and remembered.
+
+    Words of letters and punctuation behind them are looked up by part and go to the tokenizer's model
+    directly; all others go through the whole tokenizer.
+    """
+
+    def __init__(self, path: str) -> None:
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.parts: dict[str, bytes] = {}
+        self.letters = byte_letters()
+
+    def part(self, text: str) -> bytes:
+        found = self.parts.get(text)
+        if found is None:
+            if len(self.parts) >= PARTS:
+                self.parts.clear()
+            shown = text if text.isascii() else "".join(map(self.letters.__getitem__, text.encode()))
+            ids = array("I", [t.id for t in self.tokenizer.model.tokenize(shown)])
+            found = self.parts[text] = ids.tobytes()
+        return found
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= WORDS:
+            self.clear()
+        bare = word.rstrip(TAIL)
+        core = bare.lower()
+        if core.isalpha() and "\u03a3" not in bare and unicodedata.is_normalized("NFC", bare):
+            ids = self.part(core)
+            if len(bare) < len(word):
+                ids += self.part(word[len(bare) :])
+        else:
+            ids = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        self[word] = ids
+        return ids
+
+    def of_text(self, text: str) -> bytes:
+        words = BLANKS.split(text) if CONTROLS.search(text) else text.split()
+        return b"".join(map(self.__getitem__, words))
+
+
+@lru_cache(maxsize=2)
+def word_ids(path: str) -> WordIds:
+    """One for each worker process; it outlives a task."""
+    return WordIds(path)
 
 
 def pieces_of(documents: DataFrame, tokenizer_path: str, capacity: int, end_id: int) -> DataFrame:
     """doc_id, piece, start, length and checksum of every piece."""
-    end = np.asarray([end_id], dtype="<u4").tobytes()
+    end = array("I", [end_id]).tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        tokenizer, known = Tokenizer.from_file(tokenizer_path), {}
+        known = word_ids(tokenizer_path)
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
-                texts = [t or "" for t in batch.column("text").to_pylist()]
                 rows = []
-                encoded = token_bytes(texts, tokenizer, known)
-                for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoded, strict=True):
-                    ids += end
+                for doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text")), strict=True):
+                    ids = known.of_text(text or "") + end
                     for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
                         part = ids[start : start + 4 * capacity]
                         rows.append((doc_id, piece, start // 4, len(part) // 4, zlib.crc32(part)))
@@ -122,7 +167,7 @@ def pack(
     *,
     capacity: int = 2048,
     end_id: int = 0,
-    pieces_per_part: int = 50_000,
+    pieces_per_part: int = 2048,
 ) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id and offset in the sequence."""
     spark = documents.sparkSession
