@@ -2,7 +2,84 @@
 
 from __future__ import annotations
 
-_WORDS_TEXT = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_BLANK_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+_NAME_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP1 = f"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, coalesce({_BLANK_WORDS.format(_LOWER)}, []) AS w FROM documents
+), s AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)
+), n AS (
+    SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), both_have AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k
+    FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2
+), links AS (
+    SELECT a, b FROM both_have JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+    WHERE 100 * k >= 75 * (na.n + nb.n - k)
+), edges AS (
+    SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach(node, root) AS (
+    SELECT doc_id, doc_id FROM d
+    UNION
+    SELECT e.b, r.root FROM reach r JOIN edges e ON e.a = r.node
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM d LEFT JOIN n USING (doc_id)
+JOIN (SELECT node AS doc_id, min(root) AS component_id FROM reach GROUP BY node) USING (doc_id)
+"""
+
+OP2 = f"""
+WITH d AS (
+    SELECT doc_id, coalesce({_NAME_WORDS}, []) AS w FROM documents
+), i AS (
+    SELECT CAST(item_id AS VARCHAR) AS item, {_NAME_WORDS} AS w FROM benchmark
+), iw AS (
+    SELECT DISTINCT item, w[k:k + 12] AS p
+    FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 11, 2))) AS k FROM i WHERE len(w) > 0)
+), lens AS (SELECT DISTINCT len(p) AS m FROM iw
+), dw AS (
+    SELECT doc_id, k, m, w[k:k + m - 1] AS p
+    FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS k FROM d, lens WHERE len(w) >= m)
+), hits AS (
+    SELECT doc_id, k, m, item FROM dw JOIN iw USING (p)
+), words AS (
+    SELECT doc_id, count(DISTINCT x) AS n_hit
+    FROM (SELECT doc_id, unnest(range(k, k + m)) AS x FROM hits) GROUP BY doc_id
+), items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+    FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+OP5 = f"""
+WITH d AS (
+    SELECT doc_id, coalesce({_BLANK_WORDS.format('text')}, []) AS w FROM documents
+), win AS (
+    SELECT doc_id, k, md5(array_to_string(w[k:k + 49], ' ')) AS h
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS k FROM d WHERE len(w) >= 50)
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(k, k + 50)) AS x
+    FROM win JOIN (SELECT h, min(doc_id) AS first_doc FROM win GROUP BY h) USING (h)
+    WHERE first_doc < doc_id
+), every AS (
+    SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS x FROM d
+), kept AS (
+    SELECT doc_id, count(*) FILTER (gone.x IS NOT NULL) AS n_removed,
+           string_agg(word, ' ' ORDER BY e.x) FILTER (gone.x IS NULL) AS text
+    FROM every e LEFT JOIN gone USING (doc_id, x) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
 
 OP7 = """
 WITH v AS (
@@ -50,4 +127,10 @@ FROM h LEFT JOIN (SELECT * FROM hits WHERE n = 1) x ON h.host = x.host AND h.pat
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op7_maxscore_search": OP7, "op9_url_filter": OP9}
+    return {
+        "op1_ngram_jaccard_join": OP1,
+        "op2_decontamination": OP2,
+        "op5_substring_dedup": OP5,
+        "op7_maxscore_search": OP7,
+        "op9_url_filter": OP9,
+    }

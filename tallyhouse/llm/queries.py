@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyhouse.llm.decontamination import judge_documents
+from tallyhouse.llm.ngram_join import near_duplicate_classes
 from tallyhouse.llm.packing import pack
+from tallyhouse.llm.substring_dedup import remove_repeats
 from tallyhouse.llm.topk_search import top_k
 from tallyhouse.llm.url_filter import ALLOW, BLOCK, judge_urls
 from tallyhouse.llm.warc import derivatives, responses
+from tallyhouse.llm.wordpiece import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,17 +38,35 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, path: str) -> DataFrame:
+    return near_duplicate_classes(table(spark, path, "documents")).drop("row_id")
+
+
+def op2_decontamination(spark: SparkSession, path: str) -> DataFrame:
+    judged = judge_documents(table(spark, path, "documents"), table(spark, path, "benchmark"))
+    ids = F.sha2(F.array_join("items", ","), 256)
+    return judged.withColumn("items_sha256", ids).drop("row_id", "items")
+
+
 def op3_warc_derivatives(spark: SparkSession, path: str) -> DataFrame:
     """Metadata and conversion records of every page's response record."""
     records = responses(table(spark, path, "pages"))
     return derivatives(records, id_column="page_id").drop("record")
 
 
+def op5_substring_dedup(spark: SparkSession, path: str) -> DataFrame:
+    return remove_repeats(table(spark, path, "documents")).drop("row_id", "removed")
+
+
 def op7_maxscore_search(spark: SparkSession, path: str) -> DataFrame:
     vectors = table(spark, path, "embeddings")
     return top_k(vectors, F.col("vec_id") % 100 == 0)
 
 
+def op8_token_counts(spark: SparkSession, path: str) -> DataFrame:
+    return token_counts(table(spark, path, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
 def op9_url_filter(spark: SparkSession, path: str) -> DataFrame:
     rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
     return judge_urls(table(spark, path, "pages"), rules)
@@ -56,8 +78,12 @@ def op10_best_fit_packing(spark: SparkSession, path: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Query]:
     return {
+        "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+        "op2_decontamination": op2_decontamination,
         "op3_warc_derivatives": op3_warc_derivatives,
+        "op5_substring_dedup": op5_substring_dedup,
         "op7_maxscore_search": op7_maxscore_search,
+        "op8_token_counts": op8_token_counts,
         "op9_url_filter": op9_url_filter,
         "op10_best_fit_packing": op10_best_fit_packing,
     }
