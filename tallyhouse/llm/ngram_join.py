@@ -3,21 +3,21 @@
 A text is the set of its 5-word shingles, as 64-bit hashes in one global order. Two sets of Jaccard at least t
 share at least `m` of their first `n - ceil(t n) + m` shingles: a longer prefix demands more shared
 shingles. Every text starts at the shortest level. A text whose prefix shares too few shingles with any
-other is done. For the rest the candidates are estimated from the lengths of their shingles' lists, divided
-by the matches a candidate needs; the more there are, the longer the prefix the text goes on with, and the
-more matches a pair needs before it is verified.
+other is done. For the rest the candidates are estimated: what the lists of their shingles hold, divided
+by the matches a candidate needs. The more there are, the longer the prefix the text goes on with, and the
+more matches a pair needs before it is verified; the longest is the whole set, where matches are overlaps.
 
 1. Copies (equal word sequences) are one text from the start, named by the hash of the sequence.
-2. Prefixes of the shortest level: who shares shingles, how many, and with which smallest text of the
-   shingle's list. Pairs with that text are verified exactly. So a group of near copies of any size costs a
-   few pairs for each member, and its pairs need not be listed.
-3. The texts that are left, now with the component found so far, show the prefixes of their levels. Shingles
-   that lie in one component only cannot link two; texts with too few others are done. What is left, usually
-   little, is joined shingle by shingle, pairs with enough matches are verified exactly, and the components
-   merge. No link between two components is missed; links within one add nothing to it.
-
-Lists of frequent shingles are shortened in the task that makes them: beyond `LONG_LIST` texts of a task, a
-text counts its match with the list's smallest there and then.
+2. All texts show the prefixes of the shortest level, which says how much each shares with others, and so
+   its level. Frequent shingles are counted in the task that makes them: beyond `LONG_LIST` texts of a task,
+   only the smallest and the largest go on to stand for the list.
+3. The texts that are left show the prefixes of their levels. In each shingle's list the text that shares
+   most stands as hub; texts with enough matches with a hub are verified against it. So a group of near
+   copies of any size costs a few pairs for each member, and its pairs need not be listed.
+4. Shingles that lie in one component found so far cannot link two. Counting only the others, most texts
+   have too few matches left. Between the rest, pairs in different components that can still have enough
+   matches are joined shingle by shingle, and those that have them are verified. No link between two
+   components is missed; links within one add nothing to it.
 
 Null and empty texts, and texts without words, have no shingles, link with nothing and are their own
 component; texts of fewer than 5 words have one shingle. Repeated rows and ids count as copies; a null id is
@@ -41,7 +41,7 @@ from tallyhouse.llm.work_tables import WorkTables
 #: Shared shingles demanded at each level, as hundredths of the text's shingles.
 LEVELS = (4, 25, 75)
 #: Estimated candidates up to which a text stays at a level.
-CANDIDATES = (16, 256)
+CANDIDATES = (8, 64)
 #: Texts of a task that share a shingle before the list is shortened there.
 LONG_LIST = 32
 #: Shingles gathered before a task gives them out.
@@ -72,10 +72,30 @@ def matches_at(n: int, level: int, hundredths: int) -> int:
     return min(overlap_needed(n, hundredths), max(1, -(-LEVELS[level] * n // 100)))
 
 
-def _matches(n: Column, level: Column | int, hundredths: int) -> Column:
-    share = F.element_at(F.array(*map(F.lit, LEVELS)), F.lit(level) + 1 if isinstance(level, int) else level + 1)
-    up = lambda x: F.ceil(x / F.lit(100))
-    return F.least(up(n * hundredths), F.greatest(F.lit(1), up(n * share)))
+def _hundredth_up(x: Column) -> Column:
+    return F.ceil(x / F.lit(100))
+
+
+def _matches(n: Column, level: Column, hundredths: int) -> Column:
+    """matches_at as a column."""
+    share = F.get(F.array(*map(F.lit, LEVELS)), level)
+    return F.least(_hundredth_up(n * hundredths), F.greatest(F.lit(1), _hundredth_up(n * share)))
+
+
+def _least_matches(n: Column, own: Column, level: int, hundredths: int) -> Column:
+    """What a text of n shingles and own matches shares at least with any partner at a level, whatever the
+    partner's size. The bound is linear in that size, so it is lowest at t n or n / t; 2 allow for rounding."""
+    t, f = hundredths / 100, LEVELS[level] / 100
+    share = min(f * t + t - t * t, f / t)
+    return F.greatest(F.lit(1), F.least(own, F.floor(n * share) - 2))
+
+
+def _pair_matches(x: str, y: str, hundredths: int) -> Column:
+    """What two texts that link share at least in their prefixes. Each prefix is by (overlap - needed of its
+    own) longer than its level's matches ask for."""
+    n, own = (lambda a, c: F.col(f"{a}.{c}")), (lambda a: _hundredth_up(F.col(f"{a}.n_shingles") * hundredths))
+    overlap = F.ceil((n(x, "n_shingles") + n(y, "n_shingles")) * hundredths / F.lit(100 + hundredths))
+    return F.least(*(n(a, "own") + overlap - own(a) for a in (x, y)))
 
 
 def _texts(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -89,41 +109,33 @@ def _texts(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBa
         )
 
 
-_FIRST = "shingle long, key long, hub long, matches int, list_size int"
+_FIRST = "shingle long, key long, counted int, others int"
 _FIRST_SCHEMA = pa.schema(
-    [("shingle", pa.int64()), ("key", pa.int64()), ("hub", pa.int64()), ("matches", pa.int32()),
-     ("list_size", pa.int32())]
-)
+    [("shingle", pa.int64()), ("key", pa.int64()), ("counted", pa.int32()), ("others", pa.int32())]
+)
 
 
 def _shorten(shingles: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
-    """(shingle, key) rows; of long lists only the smallest and largest key, the others' matches summed."""
+    """(shingle, key) rows. Of long lists only the smallest and largest key; for each other key, one row with
+    the number of its shingles counted here and of the others in their lists."""
     order = np.lexsort((keys, shingles))
     s, k = shingles[order], keys[order]
-    heads = np.flatnonzero(np.append(True, s[1:] != s[:-1])) if len(s) else np.empty(0, np.int64)
+    heads = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
     size = np.diff(np.append(heads, len(s)))
     of = np.repeat(np.arange(len(heads)), size)
     place = np.arange(len(s)) - heads[of]
     inner = (size[of] > LONG_LIST) & (place > 0) & (place < size[of] - 1)
-    pairs = np.stack([k[inner], k[heads[of[inner]]]])
-    order = np.lexsort(pairs)
-    pairs, lists = pairs[:, order], size[of[inner]][order]
-    new = np.append(True, (pairs[:, 1:] != pairs[:, :-1]).any(axis=0))[: pairs.shape[1]]
-    at = np.flatnonzero(new)
-    matches = np.diff(np.append(at, pairs.shape[1]))
-    total = np.add.reduceat(lists, at) if len(at) else at
-    key = np.concatenate([k[~inner], pairs[0, at]])
-    hub = np.concatenate([np.zeros(int((~inner).sum()), dtype=np.int64), pairs[1, at]])
-    counted = np.arange(len(key)) >= (~inner).sum()
-    spread = mix((pairs[0, at] * 31 + pairs[1, at]).view(U)).view(np.int64)
+    key, at = np.unique(k[inner], return_inverse=True)
+    counted = np.bincount(at, minlength=len(key))
+    others = np.bincount(at, weights=size[of[inner]] - 1, minlength=len(key))
+    none = np.zeros(int((~inner).sum()), dtype=np.int64)
     columns = (
-        np.concatenate([s[~inner].view(np.int64), spread]),
-        key,
-        pa.array(hub, mask=~counted),
-        np.concatenate([np.ones(int((~inner).sum()), dtype=np.int64), matches]),
-        np.concatenate([np.ones(int((~inner).sum()), dtype=np.int64), np.minimum(total, 2**30)]),
+        np.concatenate([s[~inner].view(np.int64), mix(key.view(U)).view(np.int64)]),
+        np.concatenate([k[~inner], key]),
+        np.concatenate([none, counted]),
+        np.concatenate([none, np.minimum(others, 2**30).astype(np.int64)]),
     )
-    arrays = [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, _FIRST_SCHEMA, strict=True)]
+    arrays = [pa.array(c, f.type) for c, f in zip(columns, _FIRST_SCHEMA, strict=True)]
     return pa.RecordBatch.from_arrays(arrays, schema=_FIRST_SCHEMA)
 
 
@@ -154,17 +166,17 @@ def _first_prefixes(batches: Iterator[pa.RecordBatch], size: int, hundredths: in
 def _level_prefixes(batches: Iterator[pa.RecordBatch], size: int, hundredths: int) -> Iterator[pa.RecordBatch]:
     for words in words_of(batches, lower=True):
         rows = words.rows
-        fields = ("key", "component", "level", "n_shingles")
+        fields = ("key", "level", "centrality")
         cols = [rows.column(f).to_numpy(zero_copy_only=False) for f in fields]
-        sets = shingle_sets(words, size)
         shown = []
-        for s, level in zip(sets, cols[2].tolist(), strict=True):
+        for s, level in zip(shingle_sets(words, size), cols[1].tolist(), strict=True):
             n = len(s)
             shown.append(s[: n - overlap_needed(n, hundredths) + matches_at(n, level, hundredths)])
         counts = np.array([len(s) for s in shown], dtype=np.int64)
+        kinds = (pa.int64(), pa.int32(), pa.int32())
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.concatenate([np.empty(0, U), *shown]).view(np.int64))]
-            + [pa.array(np.repeat(c, counts), t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int64()), strict=True)],
+            + [pa.array(np.repeat(c, counts), t) for c, t in zip(cols, kinds, strict=True)],
             names=["shingle", *fields],
         )
 
@@ -214,7 +226,8 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, hundredths: int) ->
 def near_duplicate_classes(
     documents: DataFrame, *, shingle_words: int = 5, hundredths: int = 75
 ) -> DataFrame:
-    """doc_id, row_id, n_shingles and component_id of every row; texts link at Jaccard >= hundredths / 100."""
+    """doc_id, row_id, n_shingles, component_id (the smallest id) and component (a name that no other component
+    has; null without shingles) of every row; texts link at Jaccard >= hundredths / 100."""
     work = WorkTables(documents.sparkSession, "ngram-join")
     size, t = shingle_words, hundredths
     rows = documents.select("doc_id", "text").withColumn("row_id", F.xxhash64("doc_id", "text"))
@@ -229,107 +242,122 @@ def near_duplicate_classes(
     )
 
     by_shingle = Window.partitionBy("shingle")
-    counted = F.col("hub").isNotNull()
-    listed = (
+    n, own = F.col("n_shingles"), F.col("own")
+    in_task = F.col("counted") > 0
+    shares = (
         rows.select("text")
         .mapInArrow(lambda b: _first_prefixes(b, size, t), _FIRST)
         .withColumn("low", F.min("key").over(by_shingle))
         .withColumn("high", F.max("key").over(by_shingle))
         .withColumn("list", F.count("*").over(by_shingle))
-        .where(counted | (F.col("low") < F.col("high")))
-        .groupBy("key", F.coalesce("hub", "low").alias("hub"))
+        .where(in_task | (F.col("low") < F.col("high")))
+        .groupBy("key")
         .agg(
-            F.sum("matches").alias("matches"),
-            F.sum(F.when(counted, F.col("list_size")).otherwise(F.col("list"))).alias("work"),
+            F.sum(F.when(in_task, F.col("counted")).otherwise(1)).alias("matches"),
+            F.sum(F.when(in_task, F.col("others")).otherwise(F.col("list") - 1)).alias("others"),
         )
     )
-    n = F.col("n_shingles")
-    smallest_partner = F.ceil(n * t / F.lit(100))
-    best = F.when(F.col("hub") != F.col("key"), F.struct("matches", "hub"))
+    prefix = n - _hundredth_up(n * t) + own
+    candidates = F.col("others") / own
     sharing = (
+        shares.join(distinct, "key")
+        .withColumn("own", _matches(n, F.lit(0), t))
+        .where(F.col("matches") >= _least_matches(n, own, 0, t))
+        .withColumn("level", F.when(candidates <= CANDIDATES[0], 0).when(candidates <= CANDIDATES[1], 1).otherwise(2))
+        .withColumn("centrality", F.least(16 * F.col("others") / prefix, F.lit(1 << 30)).cast("int"))
+        .select("key", "row_id", "n_shingles", "level", "centrality")
+    )
+    texts = work.keep(rows.join(sharing, "row_id").select("key", "n_shingles", "level", "centrality", "text"), "texts")
+    bare = texts.select("key", "text")
+    sizes = texts.select("key", "n_shingles", "level", _matches(n, F.col("level"), t).alias("own")).distinct()
+    sizes = work.keep(sizes, "sizes")
+
+    # Each text against the hubs of its shingles
+    shown = texts.mapInArrow(
+        lambda b: _level_prefixes(b, size, t), "shingle long, key long, level int, centrality int"
+    )
+    levels = range(len(LEVELS))
+    listed = shown.withColumn("hub", F.max(F.struct("centrality", "key")).over(by_shingle)["key"])
+    for k in levels:
+        at_level = F.col("level") == k
+        listed = listed.withColumn(f"n{k}", F.count_if(at_level).over(by_shingle) - at_level.cast("int"))
+    listed = listed.where(sum((F.col(f"n{k}") for k in levels), F.lit(0)) > 0).drop("level", "centrality")
+    listed = work.keep(listed, "listed")
+    possible = F.lit(False)
+    for k in levels:
+        possible = possible | (F.col(f"m{k}") >= _least_matches(n, own, k, t))
+    held = (
         listed.groupBy("key")
-        .agg(
-            F.sum("matches").alias("matches"),
-            F.sum("work").alias("work"),
-            F.slice(F.sort_array(F.collect_list(best), asc=False), 1, 2).alias("hubs"),
-        )
-        .join(distinct, "key")
-        .where(F.col("matches") >= _matches(smallest_partner, 0, t))
-        .withColumn("candidates", F.col("work") / _matches(n, 0, t))
-        .select(
-            "key",
-            "row_id",
-            "n_shingles",
-            F.when(F.col("candidates") <= CANDIDATES[0], 0)
-            .when(F.col("candidates") <= CANDIDATES[1], 1)
-            .otherwise(2)
-            .alias("level"),
-            F.transform("hubs", lambda h: h.hub).alias("hubs"),
-        )
+        .agg(*(F.count_if(F.col(f"n{k}") > 0).alias(f"m{k}") for k in levels))
+        .join(sizes, "key")
+        .where(possible)
+        .select("key", "n_shingles", "level", "own")
     )
-    sharing = work.keep(sharing, "sharing")
-    texts = work.keep(
-        rows.select("row_id", "text").join(sharing.drop("hubs"), "row_id").drop("row_id"), "texts"
+    held = work.keep(held, "held")
+    with_hub = (
+        listed.where(F.col("key") != F.col("hub")).groupBy("key", "hub").agg(F.count("*").alias("matches")).alias("m")
     )
-    bare = texts.select("key", "text")
-    pairs = sharing.select(F.col("key").alias("a"), F.explode("hubs").alias("b"))
+    x, y = held.alias("x"), held.alias("y")
+    pairs = (
+        with_hub.join(x, F.col("m.key") == F.col("x.key"))
+        .join(y, F.col("m.hub") == F.col("y.key"))
+        .where(F.col("matches") >= _pair_matches("x", "y", t))
+        .select(F.col("m.key").alias("a"), F.col("m.hub").alias("b"))
+    )
+    pairs = work.keep(pairs, "hub-pairs")
     links = work.keep(verified(pairs, bare, size, t), "links")
     found = components(links, work, "first")
 
     # What may still link two components
-    shown = (
-        texts.join(found.withColumnRenamed("node", "key"), "key", "left")
-        .select("key", F.coalesce("label", "key").alias("component"), "level", "n_shingles", "text")
-        .mapInArrow(
-            lambda b: _level_prefixes(b, size, t),
-            "shingle long, key long, component long, level int, n_shingles long",
-        )
+    parts = work.keep(
+        held.join(found.withColumnRenamed("node", "key"), "key", "left").withColumn(
+            "component", F.coalesce("label", "key")
+        ).drop("label"),
+        "parts",
     )
-    shown = work.keep(shown, "shown")
-    at_level = [F.when(F.col("level") == k, F.col("component")) for k in range(len(LEVELS))]
-    spans = (
-        shown.groupBy("shingle")
-        .agg(
-            *(F.min(c).alias(f"low{k}") for k, c in enumerate(at_level)),
-            *(F.max(c).alias(f"high{k}") for k, c in enumerate(at_level)),
-            F.min("component").alias("low"),
-            F.max("component").alias("high"),
-        )
-        .where(F.col("low") < F.col("high"))
-        .drop("low", "high")
+    crossing = listed.select("shingle", "key").join(parts.select("key", "level", "component"), "key")
+    elsewhere = {}
+    for k in levels:
+        at_level = F.when(F.col("level") == k, F.col("component"))
+        low, high = F.min(at_level).over(by_shingle), F.max(at_level).over(by_shingle)
+        elsewhere[f"e{k}"] = F.coalesce((low != F.col("component")) | (high != F.col("component")), F.lit(False))
+    crossing = crossing.withColumns(elsewhere).where(" OR ".join(elsewhere)).drop("component", "level")
+    crossing = work.keep(crossing, "crossing")
+    work.drop("listed")
+    left = (
+        crossing.groupBy("key")
+        .agg(*(F.count_if(f"e{k}").alias(f"m{k}") for k in levels))
+        .join(parts, "key")
+        .where(possible)
+        .withColumn("most", F.array(*(F.col(f"m{k}") for k in levels)))
+        .select("key", "n_shingles", "level", "own", "component", "most")
     )
-    crossing = work.keep(shown.join(spans, "shingle"), "crossing")
-    own = F.col("component")
-    possible = F.lit(False)
-    sums = []
-    for k in range(len(LEVELS)):
-        elsewhere = (F.col(f"low{k}") != own) | (F.col(f"high{k}") != own)
-        sums.append(F.count_if(elsewhere).alias(f"n{k}"))
-        needed = F.least(_matches(n, F.col("level"), t), _matches(smallest_partner, k, t))
-        possible = possible | (F.col(f"n{k}") >= needed)
-    left = crossing.groupBy("key", "level", "n_shingles").agg(*sums).where(possible)
-    needs = left.select("key", _matches(n, F.col("level"), t).alias("needed"))
-    lists = work.keep(crossing.join(needs, "key").select("shingle", "key", "component", "needed"), "lists")
-    one, other = lists.alias("x"), lists.alias("y")
+    left = work.keep(left, "left")
+    lists = work.keep(crossing.select("shingle", "key").join(left, "key"), "lists")
+    x, y = lists.alias("x"), lists.alias("y")
+    most = F.least(F.get("x.most", F.col("y.level")), F.get("y.most", F.col("x.level")))
+    needed = _pair_matches("x", "y", t)
     pairs = (
-        one.join(other, F.col("x.shingle") == F.col("y.shingle"))
-        .where((F.col("x.key") < F.col("y.key")) & (F.col("x.component") != F.col("y.component")))
+        x.join(y, F.col("x.shingle") == F.col("y.shingle"))
+        .where((F.col("x.key") < F.col("y.key")) & (F.col("x.component") != F.col("y.component")) & (most >= needed))
         .groupBy(F.col("x.key").alias("a"), F.col("y.key").alias("b"))
-        .agg(F.count("*").alias("matches"), F.min(F.least("x.needed", "y.needed")).alias("needed"))
+        .agg(F.count("*").alias("matches"), F.first(needed).alias("needed"))
         .where(F.col("matches") >= F.col("needed"))
         .select("a", "b")
     )
     pairs = work.keep(pairs, "pairs")
+    work.drop("crossing", "lists")
     more = work.keep(verified(pairs, bare, size, t), "more-links")
     merged = components(links.unionByName(more), work, "all")
+    work.drop("texts")
 
     named = (
         distinct.join(merged.withColumnRenamed("node", "key"), "key", "left")
         .select("key", F.coalesce("label", "key").alias("label"), "doc_id")
     )
     ids = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    of_key = work.keep(named.join(ids, "label").select("key", "component_id"), "components")
-    work.drop("shown", "crossing", "texts")
+    of_key = work.keep(named.join(ids, "label").select("key", "label", "component_id"), "components")
+    component_id = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return members.join(of_key, "key", "left").select(
-        "doc_id", "row_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
+        "doc_id", "row_id", "n_shingles", component_id.alias("component_id"), F.col("label").alias("component")
     )

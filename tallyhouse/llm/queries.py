@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.decontamination import judge_documents
+from tallyhouse.llm.language_id import identify
 from tallyhouse.llm.ngram_join import near_duplicate_classes
 from tallyhouse.llm.packing import pack
+from tallyhouse.llm.quality_cnn import quality_scores
 from tallyhouse.llm.substring_dedup import remove_repeats
 from tallyhouse.llm.topk_search import top_k
-from tallyhouse.llm.url_filter import ALLOW, BLOCK, judge_urls
+from tallyhouse.llm.url_filter import ALLOW, BLOCK, host_and_path, judge_urls
 from tallyhouse.llm.warc import derivatives, responses
 from tallyhouse.llm.wordpiece import token_counts
 
@@ -39,7 +41,7 @@ def tokenizer_file(name: str) -> str:
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, path: str) -> DataFrame:
-    return near_duplicate_classes(table(spark, path, "documents")).drop("row_id")
+    return near_duplicate_classes(table(spark, path, "documents")).drop("row_id", "component")
 
 
 def op2_decontamination(spark: SparkSession, path: str) -> DataFrame:
@@ -54,10 +56,30 @@ def op3_warc_derivatives(spark: SparkSession, path: str) -> DataFrame:
     return derivatives(records, id_column="page_id").drop("record")
 
 
+def op4_quality_cnn(spark: SparkSession, path: str) -> DataFrame:
+    return quality_scores(table(spark, path, "documents"), table(spark, path, "labels"))
+
+
 def op5_substring_dedup(spark: SparkSession, path: str) -> DataFrame:
     return remove_repeats(table(spark, path, "documents")).drop("row_id", "removed")
 
 
+def op6_language_id(spark: SparkSession, path: str) -> DataFrame:
+    """Language of every page, with text likelihoods from all documents."""
+    pages = table(spark, path, "pages").withColumnRenamed("url", "url_text")
+    host, _ = host_and_path(F.col("url_text"))
+    rows = pages.select(
+        F.col("page_id").alias("row_id"),
+        F.col("html").alias("text"),
+        host.alias("host"),
+        F.lit(None).cast("string").alias("declared"),
+    )
+    judged = identify(rows, table(spark, path, "documents"), markup=True)
+    return judged.select(
+        F.col("row_id").alias("page_id"), "host", "declared", "n_pairs", "text_language", "language", "probability"
+    )
+
+
 def op7_maxscore_search(spark: SparkSession, path: str) -> DataFrame:
     vectors = table(spark, path, "embeddings")
     return top_k(vectors, F.col("vec_id") % 100 == 0)
@@ -81,7 +103,9 @@ def llm_queries() -> dict[str, Query]:
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
         "op2_decontamination": op2_decontamination,
         "op3_warc_derivatives": op3_warc_derivatives,
+        "op4_quality_cnn": op4_quality_cnn,
         "op5_substring_dedup": op5_substring_dedup,
+        "op6_language_id": op6_language_id,
         "op7_maxscore_search": op7_maxscore_search,
         "op8_token_counts": op8_token_counts,
         "op9_url_filter": op9_url_filter,

@@ -204,9 +204,8 @@ def _resolve(batches: Iterator[pa.RecordBatch], width: int, gram: int, with_text
                         for s, e in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True)
                     ],
                 }
-                if with_text:
-                    whole = texts[i].as_py()
-                    result["kept_text"] = _cut(data, starts, ends, gone) if gone.any() else whole
+                if with_text and gone.any():
+                    result["kept_text"] = _cut(data, starts, ends, gone)
             byte_at += size
             out.append(result)
         yield pa.RecordBatch.from_pylist(out, schema=_RESULT_SCHEMA)
@@ -217,7 +216,8 @@ def remove_repeats(
 ) -> DataFrame:
     """Per document: row_id, doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by one blank)
     and removed (word intervals, end excluded). with_text: also kept_text, the text with those words cut out
-    and all other characters as they were. row_id tells rows with equal ids apart by their text."""
+    and all other characters as they were, null where nothing goes. row_id tells rows with equal ids apart by
+    their text."""
     work = WorkTables(documents.sparkSession, "substring-dedup")
     rows = documents.select("doc_id", "text").withColumn("row_id", F.xxhash64("doc_id", "text"))
     runs = rows.where(F.col("doc_id").isNotNull()).mapInArrow(
