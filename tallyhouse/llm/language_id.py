@@ -173,7 +173,7 @@ def fuse(
         total = F.aggregate(own, F.lit(0.0), lambda a, x: a + x)
         return F.transform(F.arrays_zip(own.alias("o"), above.alias("p")), lambda z: (z.o + smoothing * z.p) / (total + smoothing))
 
-    overall = np.array(level().first()["sums"] or [0.0] * k) + smoothing / k
+    overall = np.array([x or 0.0 for x in level().first()["sums"]]) + smoothing / k
     above = F.array(*map(F.lit, (overall / overall.sum()).tolist()))
     priors = level("suffix").withColumn("prior", smoothed(F.col("sums"), above))
     priors = priors.select("suffix", F.col("prior").alias("above"))

@@ -154,10 +154,12 @@ def _gradients(net: Network, signal: Signal, labels: np.ndarray) -> list[np.ndar
     features, hidden, place, start, steps = _forward(net, signal)
     error = (_sigmoid(features @ net.weights) - labels) / len(labels)
     text = np.repeat(np.arange(len(labels)), np.diff(start))
-    most = features[:, :FILTERS][text]
+    number = np.arange(len(text))[:, None]
+    at_most = np.where(hidden == features[:, :FILTERS][text], number, len(text))
+    is_most = number == np.minimum.reduceat(at_most, start[:-1], axis=0)[text]
     by_text = error[:, None] * net.weights[None, :-1]
     d_hidden = by_text[:, FILTERS:][text] / np.diff(start)[text][:, None]
-    d_hidden = d_hidden + np.where(hidden == most, by_text[:, :FILTERS][text], 0)
+    d_hidden = d_hidden + np.where(is_most, by_text[:, :FILTERS][text], 0)
     d_chunk = np.where(hidden > 0, d_hidden, 0).astype(np.float32)
     d_filters = np.zeros_like(net.filters)
     d_vectors = np.zeros_like(net.vectors)
