@@ -3,22 +3,26 @@
 A text is the set of its 5-word shingles, as 64-bit hashes in one global order. Two sets of Jaccard at least t
 share at least `m` of their first `n - ceil(t n) + m` shingles: a longer prefix demands more shared
 shingles. Every text starts at the shortest level. A text whose prefix shares too few shingles with any
-other is done. For the rest the candidates are estimated: what the lists of their shingles hold, divided
-by the matches a candidate needs. The more there are, the longer the prefix the text goes on with, and the
-more matches a pair needs before it is verified; the longest is the whole set, where matches are overlaps.
+other is done. For the rest the candidates are estimated by how many other texts the lists of their shared
+shingles hold in the mean. The more there are, the longer the prefix the text goes on with, and the more
+matches a pair needs before it is verified; the longest is the whole set, where matches are overlaps.
 
 1. Copies (equal word sequences) are one text from the start, named by the hash of the sequence.
 2. All texts show the prefixes of the shortest level, which says how much each shares with others, and so
    its level. Frequent shingles are counted in the task that makes them: beyond `LONG_LIST` texts of a task,
    only the smallest and the largest go on to stand for the list.
-3. The texts that are left show the prefixes of their levels. In each shingle's list the text that shares
-   most stands as hub; texts with enough matches with a hub are verified against it. So a group of near
-   copies of any size costs a few pairs for each member, and its pairs need not be listed.
+3. The texts that are left show the prefixes of their levels. In each shingle's list a few texts stand as
+   hubs: the one that shares most, and some by the order of digests, the same in all lists. Texts with enough
+   matches with a hub are verified against it. So a group of near copies of any size costs a few pairs for
+   each member, and its pairs need not be listed.
 4. Shingles that lie in one component found so far cannot link two. Counting only the others, most texts
    have too few matches left. Between the rest, pairs in different components that can still have enough
    matches are joined shingle by shingle, and those that have them are verified. No link between two
    components is missed; links within one add nothing to it.
 
+Between two texts that show their whole sets the matches are the overlap, so enough of them are a link; all
+other candidates are verified by their texts.
+
 Null and empty texts, and texts without words, have no shingles, link with nothing and are their own
 component; texts of fewer than 5 words have one shingle. Repeated rows and ids count as copies; a null id is
 never a component's id unless all its ids are null. Further columns are ignored.
@@ -41,11 +45,13 @@ from tallyhouse.llm.work_tables import WorkTables
 #: Shared shingles demanded at each level, as hundredths of the text's shingles.
 LEVELS = (4, 25, 75)
 #: Estimated candidates up to which a text stays at a level.
-CANDIDATES = (8, 64)
+CANDIDATES = (1.5, 3)
 #: Texts of a task that share a shingle before the list is shortened there.
 LONG_LIST = 32
 #: Shingles gathered before a task gives them out.
 FLUSH = 1_000_000
+#: Texts by order of digests that stand as hubs in every list, besides the one that shares most.
+HUBS = 4
 #: Members that meet one copy of the text they are compared with.
 MEMBERS_PER_GROUP = 512
 
@@ -223,6 +229,18 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, hundredths: int) ->
     )
 
 
+def _whole(x: str, y: str) -> Column:
+    """Whether both texts show their whole sets."""
+    return (F.col(f"{x}.level") == len(LEVELS) - 1) & (F.col(f"{y}.level") == len(LEVELS) - 1)
+
+
+def _links(pairs: DataFrame, texts: DataFrame, size: int, hundredths: int) -> DataFrame:
+    """The candidates (a, b, whole) that link: those of whole sets, and those that their texts verify."""
+    return pairs.where("whole").select("a", "b").unionByName(
+        verified(pairs.where("NOT whole").select("a", "b"), texts, size, hundredths)
+    )
+
+
 def near_duplicate_classes(
     documents: DataFrame, *, shingle_words: int = 5, hundredths: int = 75
 ) -> DataFrame:
@@ -258,7 +276,7 @@ def near_duplicate_classes(
         )
     )
     prefix = n - _hundredth_up(n * t) + own
-    candidates = F.col("others") / own
+    candidates = F.col("others") / F.col("matches")
     sharing = (
         shares.join(distinct, "key")
         .withColumn("own", _matches(n, F.lit(0), t))
@@ -277,7 +295,9 @@ def near_duplicate_classes(
         lambda b: _level_prefixes(b, size, t), "shingle long, key long, level int, centrality int"
     )
     levels = range(len(LEVELS))
-    listed = shown.withColumn("hub", F.max(F.struct("centrality", "key")).over(by_shingle)["key"])
+    orders = [F.col("centrality"), *(F.xxhash64(F.lit(r), "key") for r in range(HUBS))]
+    hubs = [F.max(F.struct(o.alias("order"), "key")).over(by_shingle)["key"] for o in orders]
+    listed = shown.withColumn("hubs", F.array(*hubs))
     for k in levels:
         at_level = F.col("level") == k
         listed = listed.withColumn(f"n{k}", F.count_if(at_level).over(by_shingle) - at_level.cast("int"))
@@ -295,17 +315,23 @@ def near_duplicate_classes(
     )
     held = work.keep(held, "held")
     with_hub = (
-        listed.where(F.col("key") != F.col("hub")).groupBy("key", "hub").agg(F.count("*").alias("matches")).alias("m")
+        listed.select("key", F.explode(F.array_distinct("hubs")).alias("hub"))
+        .where(F.col("key") != F.col("hub"))
+        .groupBy(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b"), "key")
+        .agg(F.count("*").alias("matches"))
+        .groupBy("a", "b")
+        .agg(F.max("matches").alias("matches"))
+        .alias("m")
     )
     x, y = held.alias("x"), held.alias("y")
     pairs = (
-        with_hub.join(x, F.col("m.key") == F.col("x.key"))
-        .join(y, F.col("m.hub") == F.col("y.key"))
+        with_hub.join(x, F.col("m.a") == F.col("x.key"))
+        .join(y, F.col("m.b") == F.col("y.key"))
         .where(F.col("matches") >= _pair_matches("x", "y", t))
-        .select(F.col("m.key").alias("a"), F.col("m.hub").alias("b"))
+        .select("m.a", "m.b", _whole("x", "y").alias("whole"))
     )
     pairs = work.keep(pairs, "hub-pairs")
-    links = work.keep(verified(pairs, bare, size, t), "links")
+    links = work.keep(_links(pairs, bare, size, t), "links")
     found = components(links, work, "first")
 
     # What may still link two components
@@ -341,13 +367,17 @@ def near_duplicate_classes(
         x.join(y, F.col("x.shingle") == F.col("y.shingle"))
         .where((F.col("x.key") < F.col("y.key")) & (F.col("x.component") != F.col("y.component")) & (most >= needed))
         .groupBy(F.col("x.key").alias("a"), F.col("y.key").alias("b"))
-        .agg(F.count("*").alias("matches"), F.first(needed).alias("needed"))
+        .agg(
+            F.count("*").alias("matches"),
+            F.first(needed).alias("needed"),
+            F.first(_whole("x", "y")).alias("whole"),
+        )
         .where(F.col("matches") >= F.col("needed"))
-        .select("a", "b")
+        .select("a", "b", "whole")
     )
     pairs = work.keep(pairs, "pairs")
     work.drop("crossing", "lists")
-    more = work.keep(verified(pairs, bare, size, t), "more-links")
+    more = work.keep(_links(pairs, bare, size, t), "more-links")
     merged = components(links.unionByName(more), work, "all")
     work.drop("texts")
 
