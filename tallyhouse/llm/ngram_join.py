@@ -16,12 +16,11 @@ matches a pair needs before it is verified; the longest is the whole set, where
    matches with a hub are verified against it. So a group of near copies of any size costs a few pairs for
    each member, and its pairs need not be listed.
 4. Shingles that lie in one component found so far cannot link two. Counting only the others, most texts
-   have too few matches left. Between the rest, pairs in different components that can still have enough
-   matches are joined shingle by shingle, and those that have them are verified. No link between two
-   components is missed; links within one add nothing to it.
-
-Between two texts that show their whole sets the matches are the overlap, so enough of them are a link; all
-other candidates are verified by their texts.
+   have too few matches left. Of the rest, a pair of which one shows less than its whole set is joined
+   shingle by shingle, and verified if it has the matches. Texts that show whole sets meet around their main
+   hubs: so many that the shingles of the others are no more than a link may lack. Around a hub, those outside
+   its largest component are held in blocks and all others stream past them, so no pair is listed.
+   No link between two components is missed; links within one add nothing to it.
 
 Null and empty texts, and texts without words, have no shingles, link with nothing and are their own
 component; texts of fewer than 5 words have one shingle. Repeated rows and ids count as copies; a null id is
@@ -36,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.window import Window, WindowSpec
 
 from tallyhouse.llm.components import components
 from tallyhouse.llm.text_arrays import NOT_BLANK, U, Words, mix, rolling, sequence_hash, words_of
@@ -50,8 +49,11 @@ CANDIDATES = (1.5, 3)
 LONG_LIST = 32
 #: Shingles gathered before a task gives them out.
 FLUSH = 1_000_000
-#: Texts by order of digests that stand as hubs in every list, besides the one that shares most.
-HUBS = 4
+#: Texts that stand as hubs in a list: the one that shares most, and those that do if the share of each text
+#: is raised by up to so many hundredths, by its digest.
+HUBS, RAISED = 5, 5
+#: Texts around a hub that a task holds while the others stream past them.
+BLOCK_TEXTS = 256
 #: Members that meet one copy of the text they are compared with.
 MEMBERS_PER_GROUP = 512
 
@@ -234,6 +236,34 @@ def _whole(x: str, y: str) -> Column:
     return (F.col(f"{x}.level") == len(LEVELS) - 1) & (F.col(f"{y}.level") == len(LEVELS) - 1)
 
 
+def _hubs(draws: range, by_shingle: WindowSpec) -> Column:
+    """The keys that stand as hubs in each shingle's list, one for each draw."""
+    orders = [F.col("centrality")] if 0 in draws else []
+    for r in draws[len(orders) :]:
+        raised = F.pmod(F.xxhash64(F.lit(r), "key"), F.lit(10 * RAISED))
+        orders.append(F.col("centrality") * (1000 + raised))
+    return F.array(*(F.max(F.struct(o.alias("order"), "key")).over(by_shingle)["key"] for o in orders))
+
+
+def _with_hubs(listed: DataFrame, held: DataFrame, hundredths: int) -> DataFrame:
+    """Pairs (a, b, whole) of held texts and hubs of their shingles that have enough matches."""
+    matches = (
+        listed.select("key", F.explode(F.array_distinct("hubs")).alias("hub"))
+        .where(F.col("key") != F.col("hub"))
+        .groupBy(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b"), "key")
+        .agg(F.count("*").alias("matches"))
+        .groupBy("a", "b")
+        .agg(F.max("matches").alias("matches"))
+        .alias("m")
+    )
+    return (
+        matches.join(held.alias("x"), F.col("m.a") == F.col("x.key"))
+        .join(held.alias("y"), F.col("m.b") == F.col("y.key"))
+        .where(F.col("matches") >= _pair_matches("x", "y", hundredths))
+        .select("m.a", "m.b", _whole("x", "y").alias("whole"))
+    )
+
+
 def _links(pairs: DataFrame, texts: DataFrame, size: int, hundredths: int) -> DataFrame:
     """The candidates (a, b, whole) that link: those of whole sets, and those that their texts verify."""
     return pairs.where("whole").select("a", "b").unionByName(
@@ -241,6 +271,121 @@ def _links(pairs: DataFrame, texts: DataFrame, size: int, hundredths: int) -> Da
     )
 
 
+def _around_hubs(crossing: DataFrame, whole: DataFrame, hundredths: int, work: WorkTables) -> DataFrame:
+    """(hub, key, component, in_main): the texts that meet around each hub. A text leaves out the hubs of its
+    fewest shingles, as long as those are no more than it may lack in a link. Two texts that link have
+    more in common than both may leave out together, so they meet around one hub at least."""
+    n = F.col("n_shingles")
+    fewest = Window.partitionBy("key").orderBy("matches", "hub")
+    kept = (
+        crossing.groupBy("key", "hub")
+        .agg(F.count("*").alias("matches"))
+        .join(whole.select("key", "n_shingles", "component"), "key")
+        .withColumn("all", F.sum("matches").over(Window.partitionBy("key")))
+        .withColumn("upto", F.sum("matches").over(fewest))
+        .where(F.col("all") >= _hundredth_up(n * hundredths))
+        .where(F.col("upto") > F.col("all") - _hundredth_up(n * hundredths))
+        .select("hub", "key", "component")
+    )
+    kept = work.keep(kept, "around")
+    by_component = kept.groupBy("hub", "component").agg(F.count("*").alias("n"))
+    main = by_component.groupBy("hub").agg(
+        F.max(F.struct("n", "component"))["component"].alias("main"),
+        F.sum("n").alias("n"),
+        F.max("n").alias("n_main"),
+    )
+    blocks = F.ceil((F.col("n") - F.col("n_main")) / BLOCK_TEXTS).cast("int")
+    some = main.where(F.col("n") > F.col("n_main")).select("hub", "main", blocks.alias("blocks"))
+    return kept.join(some, "hub").withColumn("outside", F.col("component") != F.col("main")).drop("main")
+
+
+def _meet(batches: Iterator[pa.RecordBatch], size: int, hundredths: int) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by group, in it the held texts first: links that join two components, each once in a group."""
+    group, held, label = None, None, {}
+
+    def root(component: int) -> int:
+        while label.setdefault(component, component) != component:
+            component = label[component]
+        return component
+
+    for words in words_of(batches, lower=True):
+        found: dict[str, list[int]] = {"a": [], "b": []}
+        columns = [words.rows.column(c).to_pylist() for c in ("hub", "block", "streams", "key", "component")]
+        for hub, block, streams, key, component, shown in zip(*columns, shingle_sets(words, size), strict=True):
+            if group != (hub, block):
+                group, held, label = (hub, block), _Held(), {}
+            if not streams:
+                held.add(key, component, shown)
+                continue
+            for other, other_component in held.links(shown, hundredths):
+                one, two = root(component), root(other_component)
+                if one != two:
+                    label[one] = two
+                    found["a"].append(key)
+                    found["b"].append(other)
+        yield pa.RecordBatch.from_pydict(found, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+
+
+class _Held:
+    """Some texts' shingles, looked up together."""
+
+    def __init__(self) -> None:
+        self.keys: list[tuple[int, int]] = []
+        self.sets: list[np.ndarray] = []
+        self.shingles: np.ndarray | None = None
+
+    def add(self, key: int, component: int, shingles: np.ndarray) -> None:
+        self.keys.append((key, component))
+        self.sets.append(shingles)
+
+    def links(self, shown: np.ndarray, hundredths: int) -> list[tuple[int, int]]:
+        if not self.sets:
+            return []
+        if self.shingles is None:
+            owner = np.repeat(np.arange(len(self.sets)), [len(s) for s in self.sets])
+            every = np.concatenate(self.sets)
+            order = np.argsort(every, kind="stable")
+            self.owner, every = owner[order], every[order]
+            self.start = np.flatnonzero(np.append(True, every[1:] != every[:-1]))
+            self.shingles = every[self.start]
+            self.start = np.append(self.start, len(every))
+            self.sizes = np.array([len(s) for s in self.sets])
+        at = np.searchsorted(self.shingles, shown)
+        at = at[self.shingles[np.minimum(at, len(self.shingles) - 1)] == shown]
+        first, count = self.start[at], self.start[at + 1] - self.start[at]
+        place = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
+        both = np.bincount(self.owner[place], minlength=len(self.sets))
+        linked = np.flatnonzero(100 * both >= hundredths * (self.sizes + len(shown) - both))
+        return [self.keys[i] for i in linked]
+
+
+def _block_links(around: DataFrame, texts: DataFrame, size: int, hundredths: int) -> DataFrame:
+    """Links (a, b) between components, found around hubs; every text meets all held ones of its hubs."""
+    placed = around.join(texts, "key")
+    held = placed.where("outside").select(
+        "hub",
+        F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("block"),
+        F.lit(False).alias("streams"),
+        "key",
+        "component",
+        "text",
+    )
+    streams = placed.select(
+        "hub",
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+        F.lit(True).alias("streams"),
+        "key",
+        "component",
+        "text",
+    )
+    return (
+        held.unionByName(streams)
+        .repartition("hub", "block")
+        .sortWithinPartitions("hub", "block", "streams")
+        .mapInArrow(lambda batches: _meet(batches, size, hundredths), "a long, b long")
+    )
+
+
 def near_duplicate_classes(
     documents: DataFrame, *, shingle_words: int = 5, hundredths: int = 75
 ) -> DataFrame:
@@ -295,9 +440,7 @@ def near_duplicate_classes(
         lambda b: _level_prefixes(b, size, t), "shingle long, key long, level int, centrality int"
     )
     levels = range(len(LEVELS))
-    orders = [F.col("centrality"), *(F.xxhash64(F.lit(r), "key") for r in range(HUBS))]
-    hubs = [F.max(F.struct(o.alias("order"), "key")).over(by_shingle)["key"] for o in orders]
-    listed = shown.withColumn("hubs", F.array(*hubs))
+    listed = shown.withColumn("hubs", _hubs(range(HUBS), by_shingle))
     for k in levels:
         at_level = F.col("level") == k
         listed = listed.withColumn(f"n{k}", F.count_if(at_level).over(by_shingle) - at_level.cast("int"))
@@ -314,23 +457,7 @@ def near_duplicate_classes(
         .select("key", "n_shingles", "level", "own")
     )
     held = work.keep(held, "held")
-    with_hub = (
-        listed.select("key", F.explode(F.array_distinct("hubs")).alias("hub"))
-        .where(F.col("key") != F.col("hub"))
-        .groupBy(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b"), "key")
-        .agg(F.count("*").alias("matches"))
-        .groupBy("a", "b")
-        .agg(F.max("matches").alias("matches"))
-        .alias("m")
-    )
-    x, y = held.alias("x"), held.alias("y")
-    pairs = (
-        with_hub.join(x, F.col("m.a") == F.col("x.key"))
-        .join(y, F.col("m.b") == F.col("y.key"))
-        .where(F.col("matches") >= _pair_matches("x", "y", t))
-        .select("m.a", "m.b", _whole("x", "y").alias("whole"))
-    )
-    pairs = work.keep(pairs, "hub-pairs")
+    pairs = work.keep(_with_hubs(listed, held, t), "hub-pairs")
     links = work.keep(_links(pairs, bare, size, t), "links")
     found = components(links, work, "first")
 
@@ -341,7 +468,7 @@ def near_duplicate_classes(
         ).drop("label"),
         "parts",
     )
-    crossing = listed.select("shingle", "key").join(parts.select("key", "level", "component"), "key")
+    crossing = listed.select("shingle", "key", F.get("hubs", F.lit(0)).alias("hub")).join(parts.select("key", "level", "component"), "key")
     elsewhere = {}
     for k in levels:
         at_level = F.when(F.col("level") == k, F.col("component"))
@@ -359,25 +486,30 @@ def near_duplicate_classes(
         .select("key", "n_shingles", "level", "own", "component", "most")
     )
     left = work.keep(left, "left")
-    lists = work.keep(crossing.select("shingle", "key").join(left, "key"), "lists")
-    x, y = lists.alias("x"), lists.alias("y")
+    last = len(LEVELS) - 1
+    whole = left.where(F.col("level") == last)
+    around = _around_hubs(crossing.select("shingle", "key", "hub"), whole, t, work)
+    more = work.keep(_block_links(around, bare, size, t), "links-around-hubs")
+
+    # A pair with a prefix: its shingles are those of the texts that show prefixes
+    lists = crossing.select("shingle", "key").join(left, "key")
+    of_prefixes = lists.where(F.col("level") < last).select("shingle").distinct()
+    lists = work.keep(lists.join(of_prefixes, "shingle"), "lists")
+    x, y = lists.where(F.col("level") < last).alias("x"), lists.alias("y")
     most = F.least(F.get("x.most", F.col("y.level")), F.get("y.most", F.col("x.level")))
     needed = _pair_matches("x", "y", t)
+    once = (F.col("x.key") < F.col("y.key")) | (F.col("y.level") == last)
     pairs = (
         x.join(y, F.col("x.shingle") == F.col("y.shingle"))
-        .where((F.col("x.key") < F.col("y.key")) & (F.col("x.component") != F.col("y.component")) & (most >= needed))
+        .where(once & (F.col("x.component") != F.col("y.component")) & (most >= needed))
         .groupBy(F.col("x.key").alias("a"), F.col("y.key").alias("b"))
-        .agg(
-            F.count("*").alias("matches"),
-            F.first(needed).alias("needed"),
-            F.first(_whole("x", "y")).alias("whole"),
-        )
+        .agg(F.count("*").alias("matches"), F.first(needed).alias("needed"))
         .where(F.col("matches") >= F.col("needed"))
-        .select("a", "b", "whole")
+        .select("a", "b", F.lit(False).alias("whole"))
     )
     pairs = work.keep(pairs, "pairs")
     work.drop("crossing", "lists")
-    more = work.keep(_links(pairs, bare, size, t), "more-links")
+    more = more.unionByName(work.keep(_links(pairs, bare, size, t), "links-of-prefixes"))
     merged = components(links.unionByName(more), work, "all")
     work.drop("texts")
 
