@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 _EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
 
+# Names and limits of the age bands.
 def age_group(age: Column) -> Column:
     """Age band; a missing age and an age below 18 are both "Unknown"."""
     return (
@@ -65,6 +66,22 @@ def percent_text(share: Column) -> Column:
     return F.concat(percent, F.lit("%"))
 
 
+def shown(value: Column) -> Column:
+    """A value as text; a missing one as None."""
+    return F.coalesce(value.cast("string"), F.lit("None"))
+
+
+def money_shown(amount: Column) -> Column:
+    """Money as text; a missing amount as None."""
+    return F.coalesce(money_text(amount), F.lit("None"))
+
+
+def as_doubles(df: DataFrame) -> DataFrame:
+    """Decimal columns as doubles, for readers that want no decimals."""
+    exact = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DecimalType)]
+    return df.withColumns({name: quoted(name).cast("double") for name in exact}) if exact else df
+
+
 def quoted(name: str) -> Column:
     """The column of exactly this name, whatever characters it holds."""
     return F.col("`" + name.replace("`", "``") + "`")

@@ -17,7 +17,7 @@ _DAY = 60 * 60 * 24
 def customer_lifetime_value(events: DataFrame) -> DataFrame:
     """Sales per customer."""
     return events.groupBy("customer_id").agg(
-        F.sum("total_sales_amount").cast("double").alias("customer_lifetime_value")
+        F.sum("total_sales_amount").alias("customer_lifetime_value")
     )
 
 
@@ -66,7 +66,7 @@ def rfm(events: DataFrame, as_of: int | datetime | Column | None = None) -> Data
         .agg(
             F.max("transaction_date").alias("last_purchase"),
             distinct_of(events, "order_id").alias("frequency"),
-            F.sum("total_sales_amount").cast("double").alias("monetary"),
+            F.sum("total_sales_amount").alias("monetary"),
         )
         .withColumn("recency", ratio(_epoch(as_of) - F.col("last_purchase"), F.lit(_DAY)))
         .drop("last_purchase")

@@ -14,8 +14,8 @@ def kpi_summary(events: DataFrame) -> DataFrame:
     orders, and ``total_inventory_value`` is the quantity sold."""
     total = F.sum("total_sales_amount")
     return events.agg(
-        total.cast("double").alias("total_sales"),
-        (total - F.sum("discount_amount")).cast("double").alias("revenue"),
+        total.alias("total_sales"),
+        (total - F.sum("discount_amount")).alias("revenue"),
         ratio(total, count_of(events, "order_id")).alias("avg_sales"),
         F.sum("quantity_sold").cast("bigint").alias("total_inventory_value"),
     )

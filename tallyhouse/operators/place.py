@@ -13,7 +13,7 @@ from tallyhouse.operators.combining import distinct_of
 
 def _sales_and_quantity(events: DataFrame, keys: Sequence[str]) -> DataFrame:
     return events.groupBy(*keys).agg(
-        F.sum("total_sales_amount").cast("double").alias("total_sales_amount"),
+        F.sum("total_sales_amount").alias("total_sales_amount"),
         F.sum("quantity_sold").cast("bigint").alias("total_quantity_sold"),
     )
 

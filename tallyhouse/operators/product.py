@@ -38,7 +38,7 @@ def product_performance(events: DataFrame) -> DataFrame:
     """Quantity and sales per product and moment of sale."""
     return events.groupBy("product_name", "transaction_date_readable").agg(
         F.sum("quantity_sold").cast("bigint").alias("quantity_sold"),
-        F.sum("total_sales_amount").cast("double").alias("total_sales_amount"),
+        F.sum("total_sales_amount").alias("total_sales_amount"),
     )
 
 
@@ -47,10 +47,10 @@ def product_profitability(events: DataFrame, by: Sequence[str] = ()) -> DataFram
     sales, discount = F.sum("total_sales_amount"), F.sum("discount_amount")
     tax, shipping = F.sum("tax_amount"), F.sum("shipping_fee")
     return events.groupBy(*by, "product_name").agg(
-        sales.cast("double").alias("total_sales_amount"),
-        discount.cast("double").alias("total_discount_amount"),
-        tax.cast("double").alias("total_tax_amount"),
-        shipping.cast("double").alias("total_shipping_fee"),
+        sales.alias("total_sales_amount"),
+        discount.alias("total_discount_amount"),
+        tax.alias("total_tax_amount"),
+        shipping.alias("total_shipping_fee"),
         F.sum("quantity_sold").cast("bigint").alias("total_quantity_sold"),
-        (sales - discount - tax - shipping).cast("double").alias("profit"),
+        (sales - discount - tax - shipping).alias("profit"),
     )

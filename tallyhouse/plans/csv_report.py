@@ -51,20 +51,6 @@ _NEEDS = {
     "Financial Metrics": ("amount", "quantity"),
     "Currency Analysis": ("currency", "amount"),
 }
-_SUMMARY = (
-    "Totals, sales by day, best-selling products, fulfillment, courier and order status, "
-    "quantities, margin and currencies of the uploaded table.",
-)
-_KPIS = (
-    "Total sales: overall revenue",
-    "Average order value: revenue per row",
-    "Daily sales: trend and peak days",
-    "Top selling products: what to keep in stock",
-    "Fulfillment, courier and order status: where orders stand",
-    "Total and average quantity: demand",
-    "Gross revenue and profit margin: earnings at the assumed unit cost",
-    "Sales by currency: reach of the business",
-)
 
 
 class MissingColumn(ValueError):
@@ -84,8 +70,12 @@ def with_roles(df: DataFrame, *needed: str) -> DataFrame:
     return df.select(*[_role(df, role, found[role]).alias(role) for role in wanted])
 
 
+# Roles whose columns are read as numbers.
+_NUMBERS = ("amount", "quantity")
+
+
 def _role(df: DataFrame, role: str, column: str) -> Column:
-    if role in ("amount", "quantity"):
+    if role in _NUMBERS:
         return number(df, column)
     return quoted(column).cast("string")
 
@@ -192,11 +182,22 @@ def _grouped(df: DataFrame, distributions: list[str]) -> DataFrame:
     ``role`` names the distribution of a row, null for the total. A marker row that counts as no
     row makes sure that a table without rows has a total.
     """
-    rows = with_roles(df)
-    for role in ("amount", "quantity"):
-        if role not in rows.columns:
+    found = find_roles(df.columns)
+    roles = [role for role in found if role in distributions or role in _NUMBERS]
+    unread = {
+        f"{role}_unread": quoted(found[role]).isNotNull() & number(df, found[role]).isNull()
+        for role in _NUMBERS
+        if role in found
+    }
+    rows = df.select(
+        *[_role(df, role, found[role]).alias(role) for role in roles],
+        *[flag.cast("int").alias(name) for name, flag in unread.items()],
+    )
+    for role in _NUMBERS:
+        if role not in found:
             rows = rows.withColumn(role, F.lit(None).cast("double"))
-    rows = rows.select(*distributions, "amount", "quantity", F.lit(1).alias("n"))
+            rows = rows.withColumn(f"{role}_unread", F.lit(0))
+    rows = rows.select(*distributions, *_NUMBERS, *[f"{r}_unread" for r in _NUMBERS], F.lit(1).alias("n"))
     empty = df.sparkSession.range(1).select(
         *[F.lit(None).cast(rows.schema[name].dataType).alias(name) for name in rows.columns[:-1]],
         F.lit(0).alias("n"),
@@ -205,6 +206,7 @@ def _grouped(df: DataFrame, distributions: list[str]) -> DataFrame:
         F.sum("amount").cast("double").alias("amount"),
         F.sum("quantity").cast("double").alias("quantity"),
         F.sum("n").alias("rows"),
+        *[F.coalesce(F.sum(f"{r}_unread"), F.lit(0)).alias(f"{r}_unread") for r in _NUMBERS],
     )
     both = rows.unionByName(empty)
     if not distributions:
@@ -219,7 +221,12 @@ def _grouped(df: DataFrame, distributions: list[str]) -> DataFrame:
         *[F.when(F.col(f"{role}_mark") == 0, F.lit(role)) for role in distributions]
     )
     return grouped.select(
-        role.alias("role"), F.coalesce(*distributions).alias("key"), "amount", "quantity", "rows"
+        role.alias("role"),
+        F.coalesce(*distributions).alias("key"),
+        "amount",
+        "quantity",
+        "rows",
+        *[f"{r}_unread" for r in _NUMBERS],
     ).where("role IS NULL OR rows > 0")
 
 
@@ -233,6 +240,7 @@ def _entry(section: str, seq: int, metric: str, value: Column, text: Column) ->
     )
 
 
+# The wording of the lines in this and the next function.
 def _total_entries(skipped: Iterable[str], unit_cost: float) -> list[Column]:
     amount, quantity, rows = F.col("amount"), F.col("quantity"), F.col("rows")
     gross, cost, margin = _financials(amount, quantity, unit_cost)
@@ -245,6 +253,11 @@ def _total_entries(skipped: Iterable[str], unit_cost: float) -> list[Column]:
                 average,
                 F.concat(F.lit("Average Order Value: "), money_text(average)),
             ),
+            (
+                "unreadable_amounts",
+                F.col("amount_unread"),
+                F.concat(F.lit("Amounts that are no number: "), F.col("amount_unread").cast("string")),
+            ),
         ],
         "Quantity Analysis": [
             (
@@ -257,6 +270,11 @@ def _total_entries(skipped: Iterable[str], unit_cost: float) -> list[Column]:
                 per_row,
                 F.concat(F.lit("Average Quantity Per Order: "), per_row.cast("string")),
             ),
+            (
+                "unreadable_quantities",
+                F.col("quantity_unread"),
+                F.concat(F.lit("Quantities that are no number: "), F.col("quantity_unread").cast("string")),
+            ),
         ],
         "Financial Metrics": [
             ("gross_revenue", gross, F.concat(F.lit("Gross Revenue: "), money_text(gross))),
@@ -330,15 +348,23 @@ def _top_products(df: DataFrame) -> DataFrame:
     )
 
 
-def csv_report(df: DataFrame, unit_cost: float = UNIT_COST) -> DataFrame:
-    """All sections in the long format. A section whose columns the table lacks is a remark."""
-    found = find_roles(df.columns)
+def csv_report(
+    df: DataFrame, unit_cost: float = UNIT_COST, products: DataFrame | None = None
+) -> DataFrame:
+    """All sections in the long format. A section whose columns the table lacks is a remark.
+
+    ``products`` is the frame for the ranking of products, where df is cheaper without that column.
+    """
+    ranking = df if products is None else products
+    found = find_roles([*df.columns, *(c for c in ranking.columns if c not in df.columns)])
     skipped = _skipped(found)
     lines = [(0, HEADING, TITLE)]
     lines += [(number, HEADING, title) for title, number in _NUMBER.items()]
     lines += [(_NUMBER[title], REMARK, reason) for title, reason in skipped.items()]
-    lines += [(_NUMBER["General Summary"], FIGURES, text) for text in _SUMMARY]
-    lines += [(_NUMBER["KPIs Summary"], FIGURES, text) for text in _KPIS]
+    shown = ", ".join(title for title in _NEEDS if title not in skipped) or "no section"
+    lines.append((_NUMBER["General Summary"], FIGURES, f"Of this table: {shown}"))
+    figures_shown = ", ".join(f"{role}: {column}" for role, column in found.items()) or "none"
+    lines.append((_NUMBER["KPIs Summary"], FIGURES, f"Columns read: {figures_shown}"))
     parts = [remarks(df.sparkSession, lines)]
 
     distributions = {
@@ -361,6 +387,6 @@ def csv_report(df: DataFrame, unit_cost: float = UNIT_COST) -> DataFrame:
             )
         )
     if "Product Performance" not in skipped:
-        parts.append(_top_products(df))
+        parts.append(_top_products(ranking))
     return joined(parts)
 

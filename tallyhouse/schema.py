@@ -41,8 +41,10 @@ SNAKE_NAMES = {wire: name for wire, name, _ in EVENT_FIELDS}
 WIRE_NAMES = {name: wire for wire, name, _ in EVENT_FIELDS}
 
 # Amounts are summed as decimals, so that a total does not depend on the order in which Spark
-# meets the rows; they become doubles only in a metric's result.
-MONEY = T.DecimalType(18, 4)
+# meets the rows, and are stored as decimals; they become doubles only where a reader asks for them.
+# 22 digits before the point and 6 behind it; `partly_unreadable` reports the events with an amount
+# that this does not hold exactly.
+MONEY = T.DecimalType(28, 6)
 MONEY_COLUMNS = (
     "order_total",
     "unit_price",

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 _TARGET = 128 * 1024 * 1024
-_MOST_PARTITIONS = 100_000
 
 
 def settings_for(input_bytes: int, cores: int) -> dict[str, str]:
@@ -12,7 +11,7 @@ def settings_for(input_bytes: int, cores: int) -> dict[str, str]:
     Shuffles start with partitions of about 128 MB of input, at least one per core; adaptive
     execution then merges small ones and splits those that a hot key makes large.
     """
-    partitions = min(max(input_bytes // _TARGET, cores, 1), _MOST_PARTITIONS)
+    partitions = max(input_bytes // _TARGET, cores, 1)
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(_TARGET),

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyhouse.functions.scalars import line_amount, session_end, session_seconds, utc_text
-from tallyhouse.schema import MONEY, MONEY_COLUMNS, SALES_EVENT, SNAKE_NAMES
+from tallyhouse.schema import MONEY, MONEY_COLUMNS, SALES_EVENT, SNAKE_NAMES, WIRE_NAMES
 
 _CORRUPT = "_corrupt_record"
 
@@ -51,9 +53,27 @@ def parse_payload(messages: DataFrame, schema: T.StructType = SALES_EVENT) -> Da
     return parsed.withColumn("malformed", F.coalesce(malformed, F.lit(False)))
 
 
-def parse_events(messages: DataFrame, schema: T.StructType = SALES_EVENT) -> DataFrame:
-    """JSON messages as flat sales events with snake_case names; malformed messages are left out."""
-    events = parse_payload(messages, schema).where(~F.col("malformed"))
+def event_schema(columns: Iterable[str] | None = None) -> T.StructType:
+    """The fields of the given columns, by which only these are parsed; all without columns."""
+    if columns is None:
+        return SALES_EVENT
+    wanted = {WIRE_NAMES[name] for name in columns}
+    return T.StructType([field for field in SALES_EVENT.fields if field.name in wanted])
+
+
+def parse_events(messages: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
+    """JSON messages as flat sales events with snake_case names; malformed messages are left out.
+
+    Give the columns that are needed: a field that is not asked for here is parsed all the same if a
+    later projection drops it, since the event passes through an ``explode``.
+    """
+    schema = event_schema(columns)
+    return flat_events(parse_payload(messages, schema), schema)
+
+
+def flat_events(parsed: DataFrame, schema: T.StructType = SALES_EVENT) -> DataFrame:
+    """The events of parsed messages, as :func:`parse_events` gives them."""
+    events = parsed.where(~F.col("malformed"))
     flat = events.select(*[F.col("event")[field.name].alias(field.name) for field in schema.fields])
     return with_decimal_money(flat.withColumnsRenamed(SNAKE_NAMES))
 
@@ -64,9 +84,15 @@ def rejects(messages: DataFrame, schema: T.StructType = SALES_EVENT) -> DataFram
 
 
 def partly_unreadable(messages: DataFrame, schema: T.StructType = SALES_EVENT) -> DataFrame:
-    """Events kept although at least one of their fields had the wrong type, as ``payload``."""
-    bad_field = F.col(f"event.{_CORRUPT}").isNotNull() & ~F.col("malformed")
-    return parse_payload(messages, schema).where(bad_field).select("payload")
+    """Events kept although at least one of their fields was lost or changed, as ``payload``: it had
+    the wrong type, or it is an amount that the decimals of this package do not hold exactly."""
+    bad_field = F.col(f"event.{_CORRUPT}").isNotNull()
+    for field in schema.fields:
+        if SNAKE_NAMES.get(field.name) in MONEY_COLUMNS:
+            amount = F.col("event")[field.name]
+            kept = amount.try_cast(MONEY).cast("double")
+            bad_field = bad_field | (amount.isNotNull() & ~kept.eqNullSafe(amount.cast("double")))
+    return parse_payload(messages, schema).where(bad_field & ~F.col("malformed")).select("payload")
 
 
 def with_decimal_money(events: DataFrame) -> DataFrame:

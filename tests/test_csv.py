@@ -1,4 +1,4 @@
-"""The CSV report: column look-up, missing columns, empty tables, types as inferred."""
+"""The CSV report: column look-up, missing columns, empty tables, values that are no number."""
 
 import pytest
 
@@ -92,7 +92,7 @@ def test_report_text(table):
 def test_iso_dates_group_as_written(table):
     iso = [row.replace("04-30-22", "2022-04-30").replace("05-01-22", "2022-05-01") for row in ROWS]
     df = table(rows=iso)
-    assert dict(df.dtypes)["date"] == "date"
+    assert dict(df.dtypes)["date"] == "string"
     assert rows(report.csv_daily_sales(df))[0] == ("2022-04-30", 100.5)
 
 
@@ -157,8 +157,18 @@ def test_both_amount_names(table):
     assert rows(report.csv_sales_overview(df)) == [(30.0, 15.0)]
 
 
-def test_sampled_inference(table):
-    assert table(sampling_ratio=1.0).count() == 4
+def test_a_late_fraction_is_not_lost(table):
+    whole = [f"d,s,A,c,1,INR,{n},e" for n in range(1, 3001)]
+    df = table(rows=[*whole, "d,s,A,c,1,INR,9.75,e"])
+    assert rows(report.csv_sales_overview(df))[0][0] == sum(range(1, 3001)) + 9.75
+
+
+def test_values_that_are_no_number_are_counted(table):
+    df = table(rows=[*ROWS, "d,s,A,c,many,INR,n/a,e", "d,s,A,c,,INR,,e"])
+    found = figures(report.csv_report(df))
+    assert found[1, "unreadable_amounts"] == {None: 1.0}
+    assert found[7, "unreadable_quantities"] == {None: 1.0}
+    assert found[1, "total_sales"] == {None: 350.5}
 
 
 def test_report_reads_the_table_twice(table):

@@ -44,6 +44,23 @@ def test_money_is_decimal(spark):
     assert row.total_sales_amount == Decimal("12.3400") and row.unit_price == Decimal("100.0000")
 
 
+@pytest.mark.parametrize(
+    ("amount", "kept", "exact"),
+    [
+        ("200000000000000", Decimal("200000000000000"), True),
+        ("1.23456", Decimal("1.23456"), True),
+        ("0.00004", Decimal("0.00004"), True),
+        ("0.00000004", Decimal(0), False),
+        ("1e30", None, False),
+    ],
+)
+def test_no_amount_is_lost_unseen(spark, amount, kept, exact):
+    text = f'{{"Total Sales Amount": {amount}}}'
+    assert parsed(spark, text).first().total_sales_amount == kept
+    messages = spark.createDataFrame([(text,)], "value string")
+    assert events.partly_unreadable(messages).count() == (0 if exact else 1)
+
+
 def test_text_that_is_no_event_goes_to_the_rejects(spark):
     bad = ["{bad", "", '{"Age": 3', "[]", '"text"', "5", "null"]
     messages = spark.createDataFrame([(t,) for t in [*bad, '{"Age": 3}']] + [(None,)], "value string")
