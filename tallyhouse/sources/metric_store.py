@@ -1,49 +1,34 @@
-"""Stored metrics: one Parquet directory per metric, one partition per micro-batch."""
+"""Stored metrics: one directory per metric, in it one per micro-batch and attempt at it.
+
+A batch writes all its tables and then publishes one marker, `_committed/<batch>.<attempt>`. Readers take
+the batches that have a marker, so a batch that is being written, or whose writer failed between two tables,
+is not there yet. A batch that is run again writes a new attempt and moves the marker.
+
+Old batches of appended metrics are compacted into one directory from time to time, so that what a reader
+lists stays short. The rows carry their batch's id, so compacted metrics give the same totals.
+"""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.schema import BATCH_COLUMN
+FORMAT = "parquet"
+_COMMITTED, _COMPACTED, _BATCH = "_committed", "_compacted", "batch="
 
 
 def metric_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
-def batch_path(root: str, name: str, batch_id: int) -> str:
-    return f"{metric_path(root, name)}/{BATCH_COLUMN}={batch_id}"
-
+def attempt_path(root: str, name: str, batch_id: int, attempt: int) -> str:
+    return f"{metric_path(root, name)}/{_BATCH}{batch_id}/attempt={attempt}"
 
-def newest_batch(rows: DataFrame) -> DataFrame:
-    """The rows of the newest micro-batch. The id is a partition column, so Spark finds it without
-    reading data and opens the files of that one partition only."""
-    newest = rows.agg(F.max(BATCH_COLUMN)).scalar()
-    return rows.where(F.col(BATCH_COLUMN) == newest)
-
-
-def read_metric(
-    spark: SparkSession,
-    root: str,
-    name: str,
-    latest: bool = False,
-    empty_schema: T.StructType | None = None,
-) -> DataFrame:
-    """All stored rows of a metric, or those of its newest batch.
 
-    With ``empty_schema`` a metric that has no batch yet reads as an empty frame.
-    """
-    try:
-        stored = spark.read.parquet(metric_path(root, name))
-    except AnalysisException as error:
-        if empty_schema is None or error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], empty_schema)
-    rows = stored.withColumn(BATCH_COLUMN, F.col(BATCH_COLUMN).cast("bigint"))
-    return newest_batch(rows) if latest else rows
+def _compacted_path(root: str, name: str, upto: int) -> str:
+    return f"{metric_path(root, name)}/compacted={upto}"
 
 
 def _directory(spark: SparkSession, path: str):
@@ -51,19 +36,96 @@ def _directory(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
-def path_holds_files(spark: SparkSession, path: str) -> bool:
+def _names(spark: SparkSession, path: str) -> list[str]:
+    files, where = _directory(spark, path)
+    if not files.exists(where):
+        return []
+    return [status.getPath().getName() for status in files.listStatus(where)]
+
+
+def _touch(spark: SparkSession, path: str) -> None:
+    files, where = _directory(spark, path)
+    files.create(where, True).close()
+
+
+def _delete(spark: SparkSession, path: str) -> None:
     files, where = _directory(spark, path)
-    return files.exists(where) and len(files.listStatus(where)) > 0
+    files.delete(where, True)
+
+
+def path_holds_files(spark: SparkSession, path: str) -> bool:
+    return bool(_names(spark, path))
+
+
+def committed(spark: SparkSession, root: str) -> dict[int, int]:
+    """The attempt that counts of every batch whose tables are all written."""
+    found: dict[int, int] = {}
+    for name in _names(spark, f"{root.rstrip('/')}/{_COMMITTED}"):
+        batch_id, attempt = map(int, name.split("."))
+        found[batch_id] = max(attempt, found.get(batch_id, attempt))
+    return found
+
+
+def next_attempt(spark: SparkSession, root: str, batch_id: int) -> int:
+    return committed(spark, root).get(batch_id, -1) + 1
+
+
+def publish(spark: SparkSession, root: str, batch_id: int, attempt: int) -> None:
+    """Let readers see the batch; earlier attempts at it no longer count."""
+    markers = f"{root.rstrip('/')}/{_COMMITTED}"
+    _touch(spark, f"{markers}/{batch_id}.{attempt}")
+    for earlier in range(attempt):
+        _delete(spark, f"{markers}/{batch_id}.{earlier}")
+
+
+def _compactions(spark: SparkSession, root: str, name: str) -> list[int]:
+    return sorted(map(int, _names(spark, f"{metric_path(root, name)}/{_COMPACTED}")))
+
+
+def _written(spark: SparkSession, root: str, name: str) -> set[int]:
+    names = _names(spark, metric_path(root, name))
+    return {int(n[len(_BATCH) :]) for n in names if n.startswith(_BATCH)}
 
 
 def stored_batches(spark: SparkSession, root: str, name: str) -> list[int]:
-    """Ids of the stored batches, oldest first. Lists directory names only."""
-    files, where = _directory(spark, metric_path(root, name))
-    if not files.exists(where):
-        return []
-    prefix = f"{BATCH_COLUMN}="
-    names = [status.getPath().getName() for status in files.listStatus(where)]
-    return sorted(int(name[len(prefix) :]) for name in names if name.startswith(prefix))
+    """Ids of the committed batches of a metric that are not compacted, oldest first."""
+    upto = max(_compactions(spark, root, name), default=-1)
+    found = committed(spark, root).keys() & _written(spark, root, name)
+    return sorted(batch_id for batch_id in found if batch_id > upto)
+
+
+def newest_batch(spark: SparkSession, root: str) -> int | None:
+    """The newest committed batch. A report reads all its tables as of one batch."""
+    return max(committed(spark, root), default=None)
+
+
+def read_metric(
+    spark: SparkSession,
+    root: str,
+    name: str,
+    latest: bool = False,
+    empty_schema: T.StructType | None = None,
+    fmt: str = FORMAT,
+    upto: int | None = None,
+) -> DataFrame:
+    """All stored rows of a metric, or those of its newest batch; with ``upto``, as of that batch.
+
+    Only the directories of the wanted batches are given to Spark, so no other is listed or read. With
+    ``empty_schema`` a metric that has no batch yet reads as an empty frame.
+    """
+    attempts = committed(spark, root)
+    compactions = _compactions(spark, root, name)
+    batches = [b for b in stored_batches(spark, root, name) if upto is None or b <= upto]
+    paths = [attempt_path(root, name, b, attempts[b]) for b in batches]
+    if latest:
+        paths = paths[-1:]
+    elif compactions:
+        paths.insert(0, _compacted_path(root, name, compactions[-1]))
+    if paths:
+        return spark.read.format(fmt).load(paths)
+    if empty_schema is None:
+        return spark.read.format(fmt).load(metric_path(root, name))
+    return spark.createDataFrame([], empty_schema)
 
 
 def expire_batches(spark: SparkSession, root: str, name: str, keep: int) -> list[int]:
@@ -72,6 +134,36 @@ def expire_batches(spark: SparkSession, root: str, name: str, keep: int) -> list
         raise ValueError("at least one batch must stay")
     old = stored_batches(spark, root, name)[:-keep]
     for batch_id in old:
-        files, where = _directory(spark, batch_path(root, name, batch_id))
-        files.delete(where, True)
+        _delete(spark, f"{metric_path(root, name)}/{_BATCH}{batch_id}")
     return old
+
+
+def compact_batches(
+    spark: SparkSession, root: str, names: Iterable[str], keep: int = 2, fmt: str = FORMAT
+) -> None:
+    """Merge all but the newest ``keep`` batches of appended metrics into one directory each.
+
+    What the last compaction but one replaced is deleted now, so that a reader that started before
+    this one is not disturbed.
+    """
+    upto = max(sorted(committed(spark, root))[:-keep], default=None)
+    if upto is None:
+        return
+    before = -1
+    for name in names:
+        done = _compactions(spark, root, name)
+        before = max(done, default=-1)
+        batches = [b for b in stored_batches(spark, root, name) if b <= upto]
+        if batches:
+            merged = read_metric(spark, root, name, fmt=fmt, upto=upto)
+            merged.write.format(fmt).mode("overwrite").save(_compacted_path(root, name, upto))
+            _touch(spark, f"{metric_path(root, name)}/{_COMPACTED}/{upto}")
+        for old in done[:-1]:
+            _delete(spark, _compacted_path(root, name, old))
+            _delete(spark, f"{metric_path(root, name)}/{_COMPACTED}/{old}")
+        for batch_id in _written(spark, root, name):
+            if batch_id <= before:
+                _delete(spark, f"{metric_path(root, name)}/{_BATCH}{batch_id}")
+    for batch_id, attempt in committed(spark, root).items():
+        if batch_id <= before:
+            _delete(spark, f"{root.rstrip('/')}/{_COMMITTED}/{batch_id}.{attempt}")

@@ -1,41 +1,94 @@
-"""The streaming job: events in, stored metrics out, batch by batch."""
+"""The streaming job: messages in, stored metrics out, batch by batch."""
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Iterable
 from datetime import datetime, timezone
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
-from tallyhouse.functions.concurrency import run_together
-from tallyhouse.operators.catalogue import METRICS, REPLACE, Metric, columns_of
+from tallyhouse.functions.concurrency import WIDTH, run_together
+from tallyhouse.operators.catalogue import APPEND, METRICS, REPLACE, Metric, columns_of
 from tallyhouse.operators.regression import (
+    FEATURE,
+    LABEL,
     MODEL_COLUMNS,
     fit_sales_model,
     predict_sales,
     regression_mse,
 )
 from tallyhouse.plans.microbatch import compute_metric, metric_groups
-from tallyhouse.sinks.metrics import append_metric, audited, replace_metric
-from tallyhouse.sources.events import rejects
-from tallyhouse.sources.metric_store import path_holds_files, stored_batches
+from tallyhouse.sinks.metrics import KEPT_BATCHES, audited, batch_attempt, write_rows
+from tallyhouse.sources.events import event_schema, flat_events, parse_payload
+from tallyhouse.sources.metric_store import (
+    FORMAT,
+    committed,
+    compact_batches,
+    expire_batches,
+    path_holds_files,
+)
 
 TRIGGER = "40 seconds"
 REGRESSION_TABLE = "sales_regression"
+REJECTS_TABLE = "rejects"
+COMPACT_EVERY = 500
+
+Write = Callable[[int], None]
+
+
+def _fill(df: DataFrame) -> None:
+    """Compute all blocks of a persisted frame by one job, before several jobs read it: jobs that
+    start together would each compute what none has stored yet."""
+    df.count()
 
 
-def write_metric(
-    metric: Metric, frame: DataFrame, root: str, batch_id: int, now: datetime, preview: bool
+def _metric_writes(
+    events: DataFrame,
+    root: str,
+    batch_id: int,
+    metrics: Iterable[Metric],
+    moment: datetime,
+    fused: bool,
+    preview: bool,
+    width: int,
+    fmt: str,
+    persisted: list[DataFrame],
+) -> list[Write]:
+    groups = metric_groups(events, metrics, fused)
+    bases = [group.frame for group in groups if group.shared]
+    for base in bases:
+        persisted.append(base.persist())
+    run_together(events.sparkSession, [partial(_fill, base) for base in bases], width)
+
+    def write(metric: Metric, frame: DataFrame, attempt: int) -> None:
+        result = compute_metric(metric, frame, as_of=int(moment.timestamp()))
+        stored = audited(result, moment, metric.row_uuid)
+        if preview:
+            stored.show()
+        write_rows(stored, root, metric.table, batch_id, attempt, fmt)
+
+    return [partial(write, metric, group.frame) for group in groups for metric in group.metrics]
+
+
+def _write_error(
+    events: DataFrame, root: str, batch_id: int, moment: datetime, preview: bool, fmt: str, attempt: int
 ) -> None:
-    result = compute_metric(metric, frame, as_of=int(now.timestamp()))
-    stored = audited(result, now, metric.row_uuid)
-    if preview:
-        stored.show()
-    write = replace_metric if metric.mode == REPLACE else append_metric
-    write(stored, root, metric.table, batch_id)
+    """Fit the regression on the batch and store its error; a failing fit leaves the metrics alone."""
+    known = events.select(*MODEL_COLUMNS).dropna(subset=[FEATURE, LABEL])
+    if known.isEmpty():
+        return
+    try:
+        predictions = predict_sales(fit_sales_model(known), known)
+        if preview:
+            predictions.show()
+        error = audited(regression_mse(predictions), moment)
+        write_rows(error, root, REGRESSION_TABLE, batch_id, attempt, fmt)
+    except Exception:
+        logging.getLogger(__name__).exception("no regression for batch %d", batch_id)
 
 
 def write_batch(
@@ -46,138 +99,108 @@ def write_batch(
     now: datetime | None = None,
     fused: bool = True,
     preview: bool = False,
+    width: int = WIDTH,
+    fmt: str = FORMAT,
+    keep: int = KEPT_BATCHES,
+    regression: bool = False,
+    rejects: DataFrame | None = None,
 ) -> None:
-    """Compute and store all metrics of one batch of events.
+    """Compute and store all metrics of one batch of events, and publish them together.
 
-    The events are kept for the length of the batch, since every base reads them, and so are the
-    bases. Lost blocks are computed again from the source.
+    The events and the bases that several metrics read are kept for the length of the batch, each
+    filled by one job. Lost blocks are computed again from the source.
     """
-    moment = now or datetime.now(timezone.utc)
-    kept = events.persist()
-    groups = metric_groups(kept, metrics, fused)
-    frames = [group.frame.persist() if group.shared else group.frame for group in groups]
-    writes = [
-        partial(write_metric, metric, frame, root, batch_id, moment, preview)
-        for group, frame in zip(groups, frames)
-        for metric in group.metrics
-    ]
+    metrics = tuple(metrics)
+    spark, moment = events.sparkSession, now or datetime.now(timezone.utc)
+    persisted: list[DataFrame] = []
     try:
-        run_together(events.sparkSession, writes)
+        persisted.append(events.persist())
+        _fill(events)
+        writes = _metric_writes(
+            events, root, batch_id, metrics, moment, fused, preview, width, fmt, persisted
+        )
+        if regression:
+            writes.append(partial(_write_error, events, root, batch_id, moment, preview, fmt))
+        if rejects is not None:
+            kept = audited(rejects, moment)
+            writes.append(lambda attempt: write_rows(kept, root, REJECTS_TABLE, batch_id, attempt, fmt))
+        with batch_attempt(spark, root, batch_id) as attempt:
+            run_together(spark, [partial(write, attempt) for write in writes], width)
+        for metric in metrics:
+            if metric.mode == REPLACE:
+                expire_batches(spark, root, metric.table, keep)
     finally:
-        for group, frame in zip(groups, frames):
-            if group.shared:
-                frame.unpersist()
-        kept.unpersist()
+        for frame in persisted:
+            frame.unpersist()
 
 
 def batch_writer(
     root: str,
     metrics: Iterable[Metric] = tuple(METRICS.values()),
-    fused: bool = True,
-    preview: bool = False,
+    regression: bool = True,
+    keep_rejects: bool = True,
+    compact_every: int = COMPACT_EVERY,
+    **options,
 ) -> Callable[[DataFrame, int], None]:
-    """The function a stream calls per micro-batch; an empty batch is skipped."""
-
-    def process_batch(events: DataFrame, batch_id: int) -> None:
-        if not events.isEmpty():
-            write_batch(events, root, batch_id, metrics, fused=fused, preview=preview)
+    """The function a stream calls per micro-batch of messages; an empty batch is skipped.
 
-    return process_batch
+    The messages are read and parsed once, for the fields that are needed, and kept; metrics,
+    regression and rejects are consumers of that.
+    """
+    metrics = tuple(metrics)
+    schema = event_schema([*columns_of(metrics), *(MODEL_COLUMNS if regression else ())])
 
+    def process_batch(messages: DataFrame, batch_id: int) -> None:
+        parsed = parse_payload(messages, schema)
+        # Only the text of rejected messages is needed again
+        parsed = parsed.withColumn("payload", F.when(F.col("malformed"), F.col("payload")))
+        try:
+            parsed.persist()
+            counts = {r["malformed"]: r["count"] for r in parsed.groupBy("malformed").count().collect()}
+            if not counts:
+                return
+            bad = parsed.where("malformed").select("payload") if keep_rejects else None
+            events = flat_events(parsed, schema)
+            write_batch(events, root, batch_id, metrics, regression=regression, rejects=bad, **options)
+        finally:
+            parsed.unpersist()
+        if batch_id and batch_id % compact_every == 0:
+            tables = [m.table for m in metrics if m.mode == APPEND]
+            tables += [REGRESSION_TABLE] * regression + [REJECTS_TABLE] * keep_rejects
+            compact_batches(messages.sparkSession, root, tables, fmt=options.get("fmt", FORMAT))
 
-def _start(
-    writer: DataStreamWriter, checkpoint: str, trigger: str, available_now: bool
-) -> StreamingQuery:
-    timed = (
-        writer.trigger(availableNow=True)
-        if available_now
-        else writer.trigger(processingTime=trigger)
-    )
-    return timed.option("checkpointLocation", checkpoint).start()
+    return process_batch
 
 
-def _refuse_foreign_batches(
-    spark: SparkSession, root: str, checkpoint: str, tables: Iterable[str]
-) -> None:
-    """A new checkpoint counts batches from 0 and would overwrite those of an older one."""
-    if path_holds_files(spark, checkpoint):
-        return
-    for table in tables:
-        if stored_batches(spark, root, table):
-            raise ValueError(
-                f"{root} holds batches of {table}, but checkpoint {checkpoint} is new: "
-                "use one root per checkpoint"
-            )
+def _refuse_foreign_batches(spark: SparkSession, root: str, checkpoint: str) -> None:
+    """A new checkpoint counts batches from 0 and would replace those of an older one."""
+    if not path_holds_files(spark, checkpoint) and committed(spark, root):
+        raise ValueError(
+            f"{root} holds batches, but checkpoint {checkpoint} is new: use one root per checkpoint"
+        )
 
 
 def run_stream(
-    events: DataFrame,
+    messages: DataFrame,
     root: str,
     checkpoint: str,
     metrics: Iterable[Metric] = tuple(METRICS.values()),
     trigger: str = TRIGGER,
     available_now: bool = False,
-    fused: bool = True,
-    preview: bool = False,
-) -> StreamingQuery:
-    """Start the job that stores the metrics of each micro-batch of a stream of parsed events.
-
-    The columns are pruned here: inside the batch function Spark no longer can. With the named
-    checkpoint a restarted job goes on where it stopped.
-    """
-    metrics = tuple(metrics)
-    _refuse_foreign_batches(
-        events.sparkSession, root, checkpoint, [metric.table for metric in metrics]
-    )
-    pruned = events.select(*columns_of(metrics))
-    writer = pruned.writeStream.foreachBatch(batch_writer(root, metrics, fused, preview))
-    return _start(writer, checkpoint, trigger, available_now)
-
-
-def run_regression(
-    events: DataFrame,
-    root: str,
-    checkpoint: str,
-    trigger: str = TRIGGER,
-    available_now: bool = False,
-    preview: bool = False,
+    **options,
 ) -> StreamingQuery:
-    """Start the job that fits the sales regression on each micro-batch and stores its error.
+    """Start the job that stores metrics, the error of the regression and the rejected messages of
+    each micro-batch of a stream of messages.
 
-    It is a query of its own, so a failing fit leaves the metrics alone.
+    With the named checkpoint a restarted job goes on where it stopped. Options are those of
+    :func:`batch_writer` and :func:`write_batch`: ``regression``, ``keep_rejects``, ``fused``,
+    ``preview``, ``width`` (jobs at a time), ``fmt`` (format of the store), ``keep`` (batches of a
+    replaced metric that stay) and ``compact_every`` (batches).
     """
-    _refuse_foreign_batches(events.sparkSession, root, checkpoint, [REGRESSION_TABLE])
-
-    def fit_batch(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.dropna(subset=list(MODEL_COLUMNS[:2])).persist()
-        try:
-            if kept.isEmpty():
-                return
-            predictions = predict_sales(fit_sales_model(kept), kept)
-            if preview:
-                predictions.show()
-            now = datetime.now(timezone.utc)
-            append_metric(
-                audited(regression_mse(predictions), now), root, REGRESSION_TABLE, batch_id
-            )
-        finally:
-            kept.unpersist()
-
-    writer = events.select(*MODEL_COLUMNS).writeStream.foreachBatch(fit_batch)
-    return _start(writer, checkpoint, trigger, available_now)
-
-
-def run_rejects(
-    messages: DataFrame,
-    path: str,
-    checkpoint: str,
-    trigger: str = TRIGGER,
-    available_now: bool = False,
-) -> StreamingQuery:
-    """Start the job that keeps the messages that are no events."""
-    stored = rejects(messages).withColumn("stored_at", F.current_timestamp())
-    writer = stored.writeStream.format("parquet").option("path", path)
-    return _start(writer, checkpoint, trigger, available_now)
+    _refuse_foreign_batches(messages.sparkSession, root, checkpoint)
+    writer = messages.writeStream.foreachBatch(batch_writer(root, metrics, **options))
+    timed = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger)
+    return timed.option("checkpointLocation", checkpoint).start()
 
 
 def await_streams(spark: SparkSession) -> None:

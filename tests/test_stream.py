@@ -12,13 +12,8 @@ from tallyhouse.sinks.publishing import to_kafka_records, to_wire
 from tallyhouse.sources.events import parse_events, read_events_stream
 from tallyhouse.sources.metric_store import read_metric, stored_batches
 from tallyhouse.sources.tables import sales_view
-from tallyhouse.streaming.driver import (
-    batch_writer,
-    run_regression,
-    run_rejects,
-    run_stream,
-    write_batch,
-)
+from tallyhouse.streaming import driver
+from tallyhouse.streaming.driver import batch_writer, run_stream, write_batch
 
 AUDIT = ("stored_at", "batch_id", "micro_batch_id")
 
@@ -55,10 +50,13 @@ def plain(df):
 def test_stream_equals_batch_and_restart_adds_nothing(spark, inbox, tmp_path):
     root, checkpoint = str(tmp_path / "metrics"), str(tmp_path / "checkpoint")
     for _ in range(2):
-        events = parse_events(messages(spark, inbox))
-        finish(run_stream(events, root, checkpoint, available_now=True))
+        finish(run_stream(messages(spark, inbox), root, checkpoint, available_now=True))
     assert stored_batches(spark, root, "gender_counts") == [0, 1, 2]
     assert stored_batches(spark, root, "rfm") == [1, 2]
+    rejected = read_metric(spark, root, "rejects")
+    assert [r.payload for r in rejected.collect()] == ["{broken"] * 3
+    errors = read_metric(spark, root, "sales_regression")
+    assert errors.count() == 3 and errors.where("mse > 0").count() == 3
 
     per_batch = read_metric(spark, root, "bounce_rate").groupBy("micro_batch_id")
     assert {r[1] for r in per_batch.agg(F.sum("orders_count")).collect()} == {200}
@@ -69,13 +67,50 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark, inbox, tmp_path):
     last.unpersist()
 
 
+def test_source_is_read_once_per_batch(spark, inbox, tmp_path):
+    """For metrics, regression and rejects together: Spark counts the rows of every scan."""
+    query = run_stream(
+        messages(spark, inbox), str(tmp_path / "m"), str(tmp_path / "c"), available_now=True, width=3
+    )
+    finish(query)
+    assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [201] * 3
+
+
+def test_failing_fit_leaves_the_metrics(spark, inbox, tmp_path, monkeypatch):
+    def fail(_):
+        raise ValueError("no fit")
+
+    monkeypatch.setattr(driver, "fit_sales_model", fail)
+    root = str(tmp_path / "metrics")
+    finish(run_stream(messages(spark, inbox), root, str(tmp_path / "c"), available_now=True))
+    assert stored_batches(spark, root, "gender_counts") == [0, 1, 2]
+    assert stored_batches(spark, root, "sales_regression") == []
+
+
+def test_only_wanted_fields_are_parsed(spark, inbox):
+    text = spark.read.text(str(inbox))
+    plan = parse_events(text, ["gender", "age"])._jdf.queryExecution().executedPlan().toString()
+    assert "Gender" in plan and "Payment Method" not in plan
+    assert parse_events(text, ["gender"]).count() == 600
+
+
 def test_new_checkpoint_refuses_a_root_in_use(spark, inbox, tmp_path):
     root = str(tmp_path / "metrics")
-    events = parse_events(messages(spark, inbox))
     some = [METRICS["stock_sold"]]
-    finish(run_stream(events, root, str(tmp_path / "a"), some, available_now=True))
+    finish(run_stream(messages(spark, inbox), root, str(tmp_path / "a"), some, available_now=True))
     with pytest.raises(ValueError, match="one root per checkpoint"):
-        run_stream(events, root, str(tmp_path / "b"), some, available_now=True)
+        run_stream(messages(spark, inbox), root, str(tmp_path / "b"), some, available_now=True)
+
+
+def test_stream_compacts(spark, inbox, tmp_path):
+    root, some = str(tmp_path / "metrics"), [METRICS["stock_sold"]]
+    finish(
+        run_stream(
+            messages(spark, inbox), root, str(tmp_path / "c"), some, available_now=True, compact_every=2
+        )
+    )
+    assert stored_batches(spark, root, "stock_levels") == [1, 2]
+    assert read_metric(spark, root, "stock_levels").select("micro_batch_id").distinct().count() == 3
 
 
 def test_replayed_batch_changes_nothing(spark, sales, tmp_path):
@@ -88,7 +123,7 @@ def test_replayed_batch_changes_nothing(spark, sales, tmp_path):
 
 def test_empty_batch_is_skipped(spark, sales, tmp_path):
     root = str(tmp_path / "metrics")
-    batch_writer(root)(sales.limit(0), 5)
+    batch_writer(root)(sales.sparkSession.createDataFrame([], "value string"), 5)
     assert stored_batches(spark, root, "gender_counts") == []
 
 
@@ -101,17 +136,3 @@ def test_nothing_stays_cached(spark, sales, tmp_path):
 def test_preview_shows_the_rows(sales, tmp_path, capsys):
     write_batch(sales, str(tmp_path / "m"), 0, [METRICS["stock_sold"]], preview=True)
     assert "stock_sold" in capsys.readouterr().out
-
-
-def test_rejects_are_kept(spark, inbox, tmp_path):
-    path = str(tmp_path / "rejects")
-    finish(run_rejects(messages(spark, inbox), path, str(tmp_path / "c"), available_now=True))
-    assert [r.payload for r in spark.read.parquet(path).collect()] == ["{broken"] * 3
-
-
-def test_regression_per_batch(spark, inbox, tmp_path):
-    root = str(tmp_path / "metrics")
-    events = parse_events(messages(spark, inbox))
-    finish(run_regression(events, root, str(tmp_path / "c"), available_now=True))
-    errors = read_metric(spark, root, "sales_regression")
-    assert errors.count() == 3 and errors.where("mse > 0").count() == 3
