@@ -236,49 +236,92 @@ ORDER BY md5(concat('0:', location_store)), location_store LIMIT 5""",
 }
 
 
-def _lines(section: int, source: str, key: str, *measures: str, seq: int = 2) -> list[str]:
+def _lines(
+    section: int, source: str, key: str, *measures: str, seq: int = 2, text: str | None = None
+) -> list[str]:
+    """Figures of a report; with a text, the first measure carries it."""
+    texts = [f", {text if place == 0 else 'NULL'} AS text" if text else "" for place in range(len(measures))]
     return [
         f"""SELECT {section} AS section, {seq + place} AS seq, '{name}' AS metric, {key} AS key,
-                   round(cast({name} AS double), 6) AS value
+                   round(cast({name} AS double), 6) AS value{texts[place]}
             FROM ({source})"""
         for place, name in enumerate(measures)
     ]
 
 
+def _money(amount: str) -> str:
+    return f"'$' || format('{{:,.2f}}', cast({amount} AS double))"
+
+
 _POINTS = f"SELECT * FROM ({_METRICS['product_profitability']}) ORDER BY product_name LIMIT 15"
 _KPI_NAMES = ("total_sales", "revenue", "avg_sales", "total_inventory_value")
 
 _INSIGHTS = " UNION ALL ".join(
     [
-        *_lines(1, _METRICS["payment_method_counts"], "payment_method", "customer_count"),
+        *_lines(
+            1,
+            _METRICS["payment_method_counts"],
+            "payment_method",
+            "customer_count",
+            text="payment_method || ': ' || customer_count || ' customers'",
+        ),
         *_lines(
             2,
             _SERVING["product_performance_series"],
             "transaction_date_readable",
             "total_sales_amount",
             "quantity_sold",
+            text="transaction_date_readable || ': Quantity Sold - ' || quantity_sold "
+            f"|| ', Total Sales - ' || {_money('total_sales_amount')}",
         ),
+        *[
+            line
+            for place, word in enumerate(("Male", "Female"))
+            for line in _lines(
+                3,
+                f"{_METRICS['gender_counts']} HAVING gender = '{word.lower()}'",
+                "gender",
+                "customer_count",
+                seq=2 + place,
+                text=f"'{word} Count - ' || customer_count || ' customers'",
+            )
+        ],
         *_lines(
-            3, f"{_METRICS['gender_counts']} HAVING gender = 'male'", "gender", "customer_count"
+            4, _METRICS["rfm"], "NULL", "monetary", text=f"'Monetary - ' || {_money('monetary')}"
         ),
         *_lines(
-            3,
-            f"{_METRICS['gender_counts']} HAVING gender = 'female'",
-            "gender",
-            "customer_count",
-            seq=3,
+            5,
+            _POINTS,
+            "NULL",
+            "total_sales_amount",
+            "total_discount_amount",
+            text=f"'Total Sales - ' || {_money('total_sales_amount')} || ', Total Discount - ' "
+            f"|| {_money('total_discount_amount')}",
         ),
-        *_lines(4, _METRICS["rfm"], "NULL", "monetary"),
-        *_lines(5, _POINTS, "NULL", "total_sales_amount", "total_discount_amount"),
         *_lines(
             6,
             _METRICS["location_performance"],
             "location_store",
             "total_sales_amount",
             "total_quantity_sold",
+            text=f"'Location - ' || location_store || ', Total Sales - ' || {_money('total_sales_amount')} "
+            "|| ', Total Quantity Sold - ' || total_quantity_sold || ' units'",
+        ),
+        *[
+            line
+            for place, (name, label) in enumerate(
+                zip(
+                    _KPI_NAMES,
+                    ("Total Sales", "Revenue", "Average Sales", "Total Inventory Value"),
+                )
+            )
+            for line in _lines(
+                7, _METRICS["kpi_summary"], "NULL", name, seq=2 + place, text=f"'{label}: ' || {_money(name)}"
+            )
+        ],
+        *_lines(
+            8, _SERVING["inventory_table"], "product_name", "inventory_turnover", text="NULL"
         ),
-        *_lines(7, _METRICS["kpi_summary"], "NULL", *_KPI_NAMES),
-        *_lines(8, _SERVING["inventory_table"], "product_name", "inventory_turnover"),
     ]
 )
 
@@ -334,6 +377,7 @@ def _renamed(query: str, metric: str) -> str:
 _CSV_REPORT = " UNION ALL ".join(
     [
         *_lines(1, _CSV["csv_sales_overview"], "NULL", "total_sales", "average_order_value"),
+        *_lines(1, "SELECT 0 AS unreadable_amounts", "NULL", "unreadable_amounts", seq=4),
         *_lines(2, _CSV["csv_daily_sales"], "date", "total_sales"),
         *_ranked_lines(),
         *_lines(
@@ -356,6 +400,7 @@ _CSV_REPORT = " UNION ALL ".join(
             seq=3,
         ),
         *_lines(7, _CSV["csv_quantity"], "NULL", "total_quantity", "average_quantity"),
+        *_lines(7, "SELECT 0 AS unreadable_quantities", "NULL", "unreadable_quantities", seq=4),
         *_lines(
             8,
             _CSV["csv_financials"],
@@ -399,12 +444,38 @@ FROM sales GROUP BY transaction_type, payment_method""",
 }
 
 
+_CHECKS = {
+    "website_traffic_check": """
+SELECT count(DISTINCT customer_id) AS exact, true AS is_near FROM sales""",
+    "predict_sales_check": """
+SELECT count(*) AS n_rows, round(cast(sum(total_sales_amount) AS double), 2) AS total_sales_amount,
+       true AS in_range FROM sales""",
+    "regression_mse_check": "SELECT count(*) AS n_rows, true AS error_is_small FROM sales",
+}
+
+_FOREIGN_KEYS = (
+    ("lineitem", "l_orderkey", "orders", "o_orderkey"),
+    ("lineitem", "l_partkey", "part", "p_partkey"),
+    ("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+    ("orders", "o_custkey", "customer", "c_custkey"),
+    ("customer", "c_nationkey", "nation", "n_nationkey"),
+)
+_KEY_VIOLATIONS = " UNION ALL ".join(
+    f"""
+SELECT '{child}.{foreign}' AS foreign_key, 'dangling' AS problem, count(*) AS rows
+FROM {child} WHERE {foreign} IS NULL OR {foreign} NOT IN (SELECT {key} FROM {parent})
+UNION ALL
+SELECT '{child}.{foreign}', 'repeated', count(*) FROM (SELECT {key} FROM {parent} GROUP BY {key} HAVING count(*) > 1)"""
+    for child, foreign, parent, key in _FOREIGN_KEYS
+)
+
+
 def oracle_sql() -> dict[str, str]:
-    texts = {**_METRICS, **_SERVING, **_CSV, **_INGEST}
+    texts = {**_METRICS, **_SERVING, **_CSV, **_INGEST, **_CHECKS}
     texts["insights_report"] = _INSIGHTS
     texts["csv_report"] = _CSV_REPORT
     over_sales = {name: _over_sales(select) for name, select in texts.items()}
     over_batches = {
         name: _over_sales(select, batches) for name, (batches, select) in _CUMULATIVE.items()
     }
-    return {**over_sales, **over_batches}
+    return {**over_sales, **over_batches, "key_violations": _KEY_VIOLATIONS}

@@ -15,9 +15,10 @@ def ranked(df: DataFrame, measure: str, *ties: str, limit: int | None = None) ->
     return ordered if limit is None else ordered.limit(limit)
 
 
-def first_rows(df: DataFrame, *keys: str, limit: int) -> DataFrame:
-    """The first rows in the order of the keys."""
-    return df.orderBy(*[quoted(key).asc() for key in keys]).limit(limit)
+def first_rows(df: DataFrame, *keys: str, limit: int | None) -> DataFrame:
+    """The first rows in the order of the keys, all of them without a limit."""
+    ordered = df.orderBy(*[quoted(key).asc() for key in keys])
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def sampled(df: DataFrame, key: str, k: int, seed: int = 0) -> DataFrame:

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallyhouse.functions.scalars import money_text
-from tallyhouse.operators.catalogue import METRICS, REPLACE
+from tallyhouse.functions.scalars import money_shown, shown
+from tallyhouse.operators.catalogue import METRICS, REPLACE, Metric
 from tallyhouse.plans import serving
-from tallyhouse.plans.reports import FIGURES, HEADING, REMARK, figures, joined, remarks
-from tallyhouse.sources.metric_store import read_metric
+from tallyhouse.plans.reports import FIGURES, HEADING, figures, joined, remarks
+from tallyhouse.schema import EVENT_FIELDS, MONEY, MONEY_COLUMNS
+from tallyhouse.sources.metric_store import newest_batch, read_metric
 
 # The metrics a report is made of, by the name of the metric.
 REPORT_METRICS = (
@@ -37,36 +39,37 @@ SECTIONS = (
     "Key E-commerce Metrics",
     "Inventory Turnover Data",
 )
-_REMARKS = (
-    "How many events were paid by each method; shows which methods the checkout should favour.",
-    "Quantity and sales of each product at its first moments of sale; shows demand over time.",
-    "Events by customers' gender; of use for addressing campaigns.",
-    "What each customer spent; shows the spread that prices have to fit.",
-    "Sales against discounts, product by product; shows which products carry their discounts.",
-    "Sales and quantity by location; shows where stock is needed.",
-    "Totals of the newest batch.",
-    "Quantity sold per moment of sale, by product.",
-)
 
 
 def _headings(spark: SparkSession) -> DataFrame:
     lines = [(0, HEADING, TITLE)]
-    for number, (title, remark) in enumerate(zip(SECTIONS, _REMARKS), start=1):
-        lines += [(number, HEADING, title), (number, REMARK, remark)]
+    lines += [(number, HEADING, title) for number, title in enumerate(SECTIONS, start=1)]
     return remarks(spark, lines)
 
 
-def insights_report(metrics: Mapping[str, DataFrame]) -> DataFrame:
-    """The report from the rows of its metrics: six lists, the key figures and the turnover."""
+def insights_report(
+    metrics: Mapping[str, DataFrame],
+    series_rows: int | None = serving.SERIES_ROWS,
+    point_rows: int | None = serving.POINT_ROWS,
+    turnover_rows: int | None = serving.TURNOVER_ROWS,
+) -> DataFrame:
+    """The report from the rows of its metrics: six lists, the key figures and the turnover.
+
+    Three lists show their first rows only; None shows all. A figure that is missing prints as None,
+    key figures as zero.
+    """
     payment = serving.payment_method_table(metrics["payment_method_counts"])
-    series = serving.product_performance_series(metrics["product_performance"])
+    series = serving.product_performance_series(metrics["product_performance"], series_rows)
     genders = serving.gender_totals(metrics["gender_counts"])
     monetary = serving.monetary_values(metrics["rfm"])
-    points = serving.profitability_points(metrics["product_profitability"])
+    points = serving.profitability_points(metrics["product_profitability"], point_rows)
     locations = serving.location_table(metrics["location_performance"])
+    turnover = serving.inventory_table(metrics["inventory_turnover"], turnover_rows)
     kpis = serving.latest_kpis(metrics["kpi_summary"])
-    turnover = serving.inventory_table(metrics["inventory_turnover"])
+    # One row, also where no batch has been stored yet
+    kpis = kpis.agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in kpis.columns])
 
+    # The wording of the lines.
     sales, nothing = F.col("total_sales_amount"), F.lit(None)
     parts = [
         _headings(payment.sparkSession),
@@ -75,20 +78,18 @@ def insights_report(metrics: Mapping[str, DataFrame]) -> DataFrame:
             1,
             F.col("payment_method"),
             [("customer_count", F.col("customer_count"))],
-            F.format_string("%s: %d customers", "payment_method", "customer_count"),
+            _line("{}: {} customers", shown(F.col("payment_method")), shown(F.col("customer_count"))),
         ),
         figures(
             series,
             2,
             F.col("transaction_date_readable"),
             [("total_sales_amount", sales), ("quantity_sold", F.col("quantity_sold"))],
-            F.concat(
-                F.format_string(
-                    "%s: Quantity Sold - %d, Total Sales - ",
-                    "transaction_date_readable",
-                    "quantity_sold",
-                ),
-                money_text(sales),
+            _line(
+                "{}: Quantity Sold - {}, Total Sales - {}",
+                shown(F.col("transaction_date_readable")),
+                shown(F.col("quantity_sold")),
+                money_shown(sales),
             ),
         ),
         *[
@@ -97,7 +98,7 @@ def insights_report(metrics: Mapping[str, DataFrame]) -> DataFrame:
                 3,
                 F.lit(word.lower()),
                 [("customer_count", F.col(f"{word.lower()}_count"))],
-                F.format_string(f"{word} Count - %d customers", f"{word.lower()}_count"),
+                _line(f"{word} Count - {{}} customers", shown(F.col(f"{word.lower()}_count"))),
                 seq=FIGURES + place,
             )
             for place, word in enumerate(("Male", "Female"))
@@ -107,7 +108,7 @@ def insights_report(metrics: Mapping[str, DataFrame]) -> DataFrame:
             4,
             nothing,
             [("monetary", F.col("monetary"))],
-            F.concat(F.lit("Monetary - "), money_text(F.col("monetary"))),
+            _line("Monetary - {}", money_shown(F.col("monetary"))),
         ),
         figures(
             points,
@@ -117,11 +118,10 @@ def insights_report(metrics: Mapping[str, DataFrame]) -> DataFrame:
                 ("total_sales_amount", sales),
                 ("total_discount_amount", F.col("total_discount_amount")),
             ],
-            F.concat(
-                F.lit("Total Sales - "),
-                money_text(sales),
-                F.lit(", Total Discount - "),
-                money_text(F.col("total_discount_amount")),
+            _line(
+                "Total Sales - {}, Total Discount - {}",
+                money_shown(sales),
+                money_shown(F.col("total_discount_amount")),
             ),
         ),
         figures(
@@ -129,12 +129,11 @@ def insights_report(metrics: Mapping[str, DataFrame]) -> DataFrame:
             6,
             F.col("location_store"),
             [("total_sales_amount", sales), ("total_quantity_sold", F.col("total_quantity_sold"))],
-            F.concat(
-                F.lit("Location - "),
-                F.coalesce(F.col("location_store"), F.lit("None")),
-                F.lit(", Total Sales - "),
-                money_text(sales),
-                F.format_string(", Total Quantity Sold - %d units", "total_quantity_sold"),
+            _line(
+                "Location - {}, Total Sales - {}, Total Quantity Sold - {} units",
+                shown(F.col("location_store")),
+                money_shown(sales),
+                shown(F.col("total_quantity_sold")),
             ),
         ),
         *[
@@ -143,7 +142,7 @@ def insights_report(metrics: Mapping[str, DataFrame]) -> DataFrame:
                 7,
                 nothing,
                 [(name, F.col(name))],
-                F.concat(F.lit(f"{label}: "), money_text(F.coalesce(F.col(name), F.lit(0)))),
+                _line(f"{label}: {{}}", money_shown(F.col(name))),
                 seq=FIGURES + place,
             )
             for place, (name, label) in enumerate(
@@ -160,17 +159,40 @@ def insights_report(metrics: Mapping[str, DataFrame]) -> DataFrame:
             8,
             F.col("product_name"),
             [("inventory_turnover", F.col("inventory_turnover"))],
-            F.format_string("| %s | %s |", "product_name", "inventory_turnover"),
+            _line("| {} | {} |", shown(F.col("product_name")), shown(F.col("inventory_turnover"))),
         ),
     ]
     return joined(parts)
 
 
-def stored_metrics(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The rows of the report's metrics as a reader of the store sees them."""
+def _line(form: str, *values: Column) -> Column:
+    """The form with its places filled in."""
+    texts = form.split("{}")
+    rest = [part for value, text in zip(values, texts[1:], strict=True) for part in (value, F.lit(text))]
+    return F.concat(F.lit(texts[0]), *rest)
+
+
+def _schema_of(spark: SparkSession, metric: Metric) -> T.StructType:
+    """Columns of a metric that has not been stored yet."""
+    kinds = {name: kind for _, name, kind in EVENT_FIELDS}
+    kinds |= dict.fromkeys(MONEY_COLUMNS, MONEY)
+    fields = [T.StructField(name, kinds[name]) for name in metric.columns]
+    return metric.compute(spark.createDataFrame([], T.StructType(fields))).schema
+
+
+def stored_metrics(spark: SparkSession, root: str, fmt: str = "parquet") -> dict[str, DataFrame]:
+    """The rows of the report's metrics as a reader of the store sees them, all as of one batch.
+    Metrics without a batch have no rows."""
+    newest = newest_batch(spark, root)
     return {
         name: read_metric(
-            spark, root, METRICS[name].table, latest=METRICS[name].mode == REPLACE
+            spark,
+            root,
+            METRICS[name].table,
+            latest=METRICS[name].mode == REPLACE,
+            empty_schema=_schema_of(spark, METRICS[name]),
+            fmt=fmt,
+            upto=newest,
         )
         for name in REPORT_METRICS
     }

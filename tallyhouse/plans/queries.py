@@ -2,25 +2,22 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 from dataclasses import replace
-from functools import partial
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.functions.concurrency import run_together
+from tallyhouse.functions.scalars import as_doubles
 from tallyhouse.operators import regression
-from tallyhouse.operators.catalogue import METRICS, REPLACE, TRAFFIC_EXACT, Metric
+from tallyhouse.operators.catalogue import METRICS, TRAFFIC_EXACT, Metric
 from tallyhouse.operators.ranking import ranked
 from tallyhouse.plans import csv_report, insights, serving
 from tallyhouse.schema import BATCH_COLUMN, EVENT_FIELDS, MONEY_COLUMNS
-from tallyhouse.sinks.metrics import append_metric, replace_metric
 from tallyhouse.sinks.publishing import to_kafka_records, to_wire
 from tallyhouse.sources import events
-from tallyhouse.sources.tables import combined_sales, sales_view
+from tallyhouse.sources.tables import combined_sales, key_violations, sales_view
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,7 +39,8 @@ def metric_over_tables(spark: SparkSession, path: str, metric: Metric, **options
 
 def _metric(name: str, *ratios: str, rank: tuple[str, ...] = (), **options) -> Query:
     def run(spark: SparkSession, path: str) -> DataFrame:
-        result = rounded(metric_over_tables(spark, path, METRICS[name], **options), *ratios)
+        result = metric_over_tables(spark, path, METRICS[name], **options)
+        result = rounded(as_doubles(result), *ratios)
         return ranked(result, *rank) if rank else result
 
     return run
@@ -99,7 +97,7 @@ def _by_batch(spark: SparkSession, path: str, name: str) -> DataFrame:
 
 def _cumulative(name: str, keys: list[str], sums: list[str]) -> Query:
     def run(spark: SparkSession, path: str) -> DataFrame:
-        return serving.cumulative(_by_batch(spark, path, name), keys, sums)
+        return as_doubles(serving.cumulative(_by_batch(spark, path, name), keys, sums))
 
     return run
 
@@ -139,7 +137,8 @@ def _serving(name: str, serve: Callable[[DataFrame], DataFrame], *ratios: str, *
     """A dashboard query over a replaced metric, whose newest batch is the whole table."""
 
     def run(spark: SparkSession, path: str) -> DataFrame:
-        return rounded(serve(metric_over_tables(spark, path, METRICS[name], **options)), *ratios)
+        served = serve(metric_over_tables(spark, path, METRICS[name], **options))
+        return rounded(as_doubles(served), *ratios)
 
     return run
 
@@ -148,7 +147,7 @@ def _serving_batches(name: str, serve: Callable[[DataFrame], DataFrame]) -> Quer
     """A dashboard query over an appended metric of several batches."""
 
     def run(spark: SparkSession, path: str) -> DataFrame:
-        return serve(_by_batch(spark, path, name))
+        return as_doubles(serve(_by_batch(spark, path, name)))
 
     return run
 
@@ -158,27 +157,17 @@ def _trend(points: DataFrame) -> DataFrame:
     return rounded(rounded(line, "slope", "r2"), "intercept", digits=1)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder for tables that a query writes: in the folder that the cluster names for
-    checkpoints, or a local one where none is named, as in tests."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/tallyhouse-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix="tallyhouse-")
-
-
 def _insights(spark: SparkSession, path: str) -> DataFrame:
-    """The report as a reader of the store gets it: the metrics are written first."""
-    root = shared_folder(spark)
+    """The report from the metrics of the whole tables. Lines of the turnover list keep their
+    figures only: how a ratio prints differs between engines in the last digit."""
 
-    def store(metric: Metric) -> None:
-        options = {"as_of": AS_OF} if metric.name == "rfm" else {}
-        write = replace_metric if metric.mode == REPLACE else append_metric
-        write(metric_over_tables(spark, path, metric, **options), root, metric.table, 0)
+    def rows(name: str) -> DataFrame:
+        options = {"as_of": AS_OF} if name == "rfm" else {}
+        return metric_over_tables(spark, path, METRICS[name], **options)
 
-    run_together(spark, [partial(store, METRICS[name]) for name in insights.REPORT_METRICS])
-    report = insights.insights_report(insights.stored_metrics(spark, root))
-    return _figures_only(report)
+    report = insights.insights_report({name: rows(name) for name in insights.REPORT_METRICS})
+    text = F.when(F.col("section") < len(insights.SECTIONS), F.col("text"))
+    return rounded(report.where("metric IS NOT NULL").withColumn("text", text), "value")
 
 
 def _figures_only(report: DataFrame) -> DataFrame:
@@ -232,7 +221,12 @@ def _uploaded(section: Callable[[DataFrame], DataFrame], columns: list[str], *ra
 
 
 def _uploaded_report(spark: SparkSession, path: str) -> DataFrame:
-    return _figures_only(csv_report.csv_report(uploaded_view(spark, path)))
+    """Only the ranking reads the products, so the pass over all distributions does not join them."""
+    ranked_by = ["product_name", "quantity_sold", "total_sales_amount"]
+    rest = [name for name in UPLOADED if name != "product_name"]
+    products = uploaded_view(spark, path, *ranked_by)
+    report = csv_report.csv_report(uploaded_view(spark, path, *rest), products=products)
+    return _figures_only(report)
 
 
 CSV_QUERIES: dict[str, Query] = {
@@ -294,7 +288,8 @@ def _ingested(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _predictions(spark: SparkSession, path: str) -> DataFrame:
-    sales = sales_view(spark, path, regression.MODEL_COLUMNS)
+    """The sales are kept between fit and prediction, so that they are joined once."""
+    sales = sales_view(spark, path, regression.MODEL_COLUMNS).persist(StorageLevel.DISK_ONLY)
     return regression.predict_sales(regression.fit_sales_model(sales), sales)
 
 
@@ -302,8 +297,44 @@ def _mse(spark: SparkSession, path: str) -> DataFrame:
     return regression.regression_mse(_predictions(spark, path))
 
 
+def _traffic_check(spark: SparkSession, path: str) -> DataFrame:
+    """The exact number of customers, and whether the approximate one is within 15 % of it."""
+    exact = _traffic_exact(spark, path).select(F.col("website_traffic").alias("exact"))
+    near = metric_over_tables(spark, path, METRICS["website_traffic"])
+    off = F.abs(near.select("website_traffic").scalar() - F.col("exact"))
+    return exact.withColumn("is_near", off <= 0.15 * F.col("exact"))
+
+
+def _prediction_check(spark: SparkSession, path: str) -> DataFrame:
+    """Rows and sum of the amounts, and whether every prediction is within their range."""
+    label, prediction = F.col(regression.LABEL), F.col("prediction")
+    return _predictions(spark, path).agg(
+        F.count("*").alias("n_rows"),
+        F.round(F.sum(label.cast("decimal(28,6)")).cast("double"), 2).alias("total_sales_amount"),
+        ((F.min(prediction) >= F.min(label)) & (F.max(prediction) <= F.max(label))).alias("in_range"),
+    )
+
+
+def _error_check(spark: SparkSession, path: str) -> DataFrame:
+    """Rows, and whether the error is at most 1 % above the variance of the amounts."""
+    error = F.col(regression.LABEL) - F.col("prediction")
+    return _predictions(spark, path).agg(
+        F.count("*").alias("n_rows"),
+        (F.avg(error * error) <= 1.01 * F.var_pop(regression.LABEL)).alias("error_is_small"),
+    )
+
+
 INGEST_QUERIES: dict[str, Query] = {"enriched_events": _enriched, "ingested_events": _ingested}
-MODEL_QUERIES: dict[str, Query] = {"predict_sales": _predictions, "regression_mse": _mse}
+MODEL_QUERIES: dict[str, Query] = {
+    "predict_sales": _predictions,
+    "regression_mse": _mse,
+    "predict_sales_check": _prediction_check,
+    "regression_mse_check": _error_check,
+}
+CHECK_QUERIES: dict[str, Query] = {
+    "website_traffic_check": _traffic_check,
+    "key_violations": key_violations,
+}
 
 
 def all_queries() -> dict[str, Query]:
@@ -314,4 +345,5 @@ def all_queries() -> dict[str, Query]:
         **CSV_QUERIES,
         **INGEST_QUERIES,
         **MODEL_QUERIES,
+        **CHECK_QUERIES,
     }

@@ -22,13 +22,14 @@ TURNOVER_ROWS = 12
 BUCKET_WIDTH = 50
 LOCATIONS_SHOWN = 5
 
-_EXACT = "decimal(38,4)"
+# Wide enough for a sum of stored sums, exact to the digits that amounts have.
+_EXACT = "decimal(38,6)"
 
 
 def _total(rows: DataFrame, name: str) -> Column:
     """Sum over batches; amounts as decimals, so the total does not depend on the rows' order."""
-    if isinstance(rows.schema[name].dataType, T.DoubleType):
-        return F.sum(quoted(name).cast(_EXACT)).cast("double").alias(name)
+    if isinstance(rows.schema[name].dataType, (T.DecimalType, T.FractionalType)):
+        return F.sum(quoted(name).cast(_EXACT)).cast(_EXACT).alias(name)
     return F.sum(quoted(name)).cast("bigint").alias(name)
 
 
@@ -50,7 +51,7 @@ def gender_totals(gender_counts: DataFrame) -> DataFrame:
 
 
 def product_performance_series(
-    product_performance: DataFrame, limit: int = SERIES_ROWS
+    product_performance: DataFrame, limit: int | None = SERIES_ROWS
 ) -> DataFrame:
     """The earliest moments of sale with quantity and sales."""
     first = first_rows(
@@ -65,7 +66,9 @@ def profit_by_product(product_profitability: DataFrame) -> DataFrame:
     )
 
 
-def profitability_points(product_profitability: DataFrame, limit: int = POINT_ROWS) -> DataFrame:
+def profitability_points(
+    product_profitability: DataFrame, limit: int | None = POINT_ROWS
+) -> DataFrame:
     """Sales and discount of the first products by name, over all batches."""
     first = first_rows(profit_by_product(product_profitability), "product_name", limit=limit)
     return first.select("total_sales_amount", "total_discount_amount")
@@ -91,7 +94,9 @@ def latest_kpis(kpis: DataFrame) -> DataFrame:
     return kpis.select("total_sales", "revenue", "avg_sales", "total_inventory_value")
 
 
-def inventory_table(inventory_turnover: DataFrame, limit: int = TURNOVER_ROWS) -> DataFrame:
+def inventory_table(
+    inventory_turnover: DataFrame, limit: int | None = TURNOVER_ROWS
+) -> DataFrame:
     """Turnover of the first products by name."""
     first = first_rows(inventory_turnover, "product_name", limit=limit)
     return first.select("product_name", "inventory_turnover")
@@ -99,14 +104,14 @@ def inventory_table(inventory_turnover: DataFrame, limit: int = TURNOVER_ROWS) -
 
 def monetary_histogram(rfm: DataFrame, width: float = BUCKET_WIDTH) -> DataFrame:
     """Customers per bucket of their monetary value, by the bucket's lower bound."""
-    bucket = (F.floor(F.col("monetary") / width) * width).cast("double")
+    bucket = (F.floor(F.col("monetary").cast("double") / width) * width).cast("double")
     return rfm.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("customers"))
 
 
 def profitability_trend(product_profitability: DataFrame) -> DataFrame:
     """Straight line of discount over sales, through all products over all batches."""
     points = profit_by_product(product_profitability)
-    line = (F.col("total_discount_amount"), F.col("total_sales_amount"))
+    line = (F.col("total_discount_amount").cast("double"), F.col("total_sales_amount").cast("double"))
     return points.agg(
         F.regr_slope(*line).alias("slope"),
         F.regr_intercept(*line).alias("intercept"),

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions.scalars import epoch_of, utc_text
 from tallyhouse.operators.catalogue import Metric
-from tallyhouse.operators.combining import EVENT_ROWS, combine, counter
+from tallyhouse.operators.combining import EVENT_ROWS, combine, counter, distinct_counter
 
 TRUSTED = "trusted"
 ENFORCED = "enforced"
@@ -148,11 +148,14 @@ def combined_sales(
 
     When the metric takes columns from one other table only, its measures are summed per key of
     that table first. The join then needs no second shuffle of the lines, and a key that holds a
-    large part of all lines reaches it as a single row. Where two tables are needed, where none is,
-    or where keys are enforced, this is the plain view.
+    large part of all lines reaches it as a single row. A metric by product and moment of sale meets
+    the orders line by line, is summed per part and moment, and then meets the parts. In all other
+    cases, or where keys are enforced, this is the plain view.
     """
     wanted = list(metric.columns)
     dimensions = _dimensions(spark, path, wanted, foreign_keys == ENFORCED)
+    if foreign_keys != ENFORCED and _by_product_and_moment(metric):
+        return _sales_by_product_and_moment(spark, path, metric)
     if foreign_keys == ENFORCED or len(dimensions) != 1:
         return sales_view(spark, path, wanted, foreign_keys)
 
@@ -173,6 +176,11 @@ def combined_sales(
     joined = combined.join(dimension, key)
 
     derived = [name for name in metric.keys + metric.distincts if name in by_key]
+    ones = []
+    if "order_id" in metric.distincts and "order_id" in derived and not grouping:
+        # A row is an order, so that counting orders is adding ones
+        derived.remove("order_id")
+        ones = [F.lit(1).cast("bigint").alias(distinct_counter("order_id"))]
     kept = [name for name in wanted if name in dimension.columns or name in grouping + sums]
     counters = [
         F.col(counter(name))
@@ -180,7 +188,34 @@ def combined_sales(
         else F.when(F.col(name).isNotNull(), F.col(EVENT_ROWS)).alias(counter(name))
         for name in metric.counts
     ]
-    return joined.select(*kept, *_expressions(by_key, derived), *counters, EVENT_ROWS)
+    return joined.select(*kept, *_expressions(by_key, derived), *ones, *counters, EVENT_ROWS)
+
+
+def _by_product_and_moment(metric: Metric) -> bool:
+    dimensions = {"product_name", "transaction_date_readable"}
+    measures_of_lines = set(metric.sums) <= _LINE.keys() and not metric.counts + metric.maxes
+    return measures_of_lines and set(metric.keys + metric.distincts) == dimensions
+
+
+def _sales_by_product_and_moment(spark: SparkSession, path: str, metric: Metric) -> DataFrame:
+    """The moment stays a number until the lines are summed per part and moment, so that what is
+    shuffled to the parts is small, and a product with many lines is one row per moment and task."""
+    orders = _table(spark, path, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), epoch_of(F.col("o_orderdate")).alias("moment")
+    )
+    lines = _table(spark, path, "lineitem").select(
+        "l_orderkey", "l_partkey", *_expressions(_LINE, metric.sums)
+    )
+    combined = combine(lines.join(orders, "l_orderkey"), ["l_partkey", "moment"], sums=metric.sums)
+    parts = _table(spark, path, "part").select(
+        F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("product_name")
+    )
+    return combined.join(parts, "l_partkey").select(
+        "product_name",
+        utc_text(F.col("moment")).alias("transaction_date_readable"),
+        *metric.sums,
+        EVENT_ROWS,
+    )
 
 
 # Child table, its foreign key, the table it points to, and the key there.

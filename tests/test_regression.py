@@ -8,11 +8,11 @@ def test_error_equals_the_evaluator_and_nulls_are_dropped(spark):
     sales = sales_view(
         spark,
         "/root/testdata/sf0.001",
-        ("transaction_date", "total_sales_amount", "transaction_date_readable"),
+        ("transaction_date", "total_sales_amount", "transaction_date_readable", "sales_id"),
     )
     gaps = spark.createDataFrame(
-        [(None, None, "x"), (5, None, "y"), (None, 1.0, "z")],
-        "transaction_date bigint, total_sales_amount double, transaction_date_readable string",
+        [(None, None, "x", "1"), (5, None, "y", "2"), (None, 1.0, "z", "3")],
+        "transaction_date bigint, total_sales_amount double, transaction_date_readable string, sales_id string",
     )
     model = fit_sales_model(sales.unionByName(gaps))
     predictions = predict_sales(model, sales.unionByName(gaps))

@@ -2,6 +2,8 @@
 
 from pathlib import Path
 
+from pyspark.sql import functions as F
+
 from tallyhouse.operators.catalogue import METRICS
 from tallyhouse.plans import insights, serving
 from tallyhouse.sinks.publishing import write_report
@@ -32,6 +34,41 @@ def test_lines(spark, sales, tmp_path):
         assert line in lines, line
 
 
+def test_empty_store_gives_zeros_and_no_lists(spark, tmp_path):
+    report = insights.insights_report(insights.stored_metrics(spark, str(tmp_path)))
+    lines = [row.text for row in report.collect()]
+    assert "Revenue: $0.00" in lines and "Male Count - 0 customers" in lines
+    assert not any(line.startswith("Location - ") for line in lines if line)
+
+
+def test_partial_store(spark, sales, tmp_path):
+    write_batch(sales, str(tmp_path), 0, [METRICS["location_performance"]])
+    report = insights.insights_report(insights.stored_metrics(spark, str(tmp_path)))
+    lines = [row.text for row in report.collect()]
+    assert "Location - Goa, Total Sales - $60.60, Total Quantity Sold - 6 units" in lines
+    assert "Revenue: $0.00" in lines
+
+
+def test_no_line_is_lost_for_a_missing_figure(spark, sales, tmp_path):
+    gaps = sales.withColumn("discount_amount", F.lit(None).cast("decimal(28,6)")).withColumn(
+        "total_sales_amount",
+        F.when(F.col("location_store") != "Goa", F.col("total_sales_amount")),
+    )
+    lines = [row.text for row in report_of(spark, gaps, str(tmp_path)).collect()]
+    assert sum("Total Discount - None" in line for line in lines if line) == 4
+    assert "Location - Goa, Total Sales - None, Total Quantity Sold - 6 units" in lines
+    assert sum(line.startswith("Monetary - ") for line in lines if line) == 4
+
+
+def test_limits_are_arguments(spark, sales, tmp_path):
+    write_batch(sales, str(tmp_path), 0, [METRICS[name] for name in insights.REPORT_METRICS])
+    metrics = insights.stored_metrics(spark, str(tmp_path))
+    one = insights.insights_report(metrics, series_rows=1, point_rows=1, turnover_rows=1)
+    full = insights.insights_report(metrics, series_rows=None, point_rows=None, turnover_rows=None)
+    assert one.where("section = 8 AND seq > 1").count() == 1
+    assert full.where("section = 8 AND seq > 1").count() == 4
+
+
 def test_file_holds_the_lines_in_order(spark, sales, tmp_path):
     report = report_of(spark, sales, str(tmp_path / "metrics"))
     write_report(report, str(tmp_path / "report"))

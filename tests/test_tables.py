@@ -116,3 +116,26 @@ def test_lines_are_combined_before_the_join(spark):
     lines = plan[plan.index("SortMergeJoin [l_orderkey") :]
     assert lines.index("HashAggregate") < lines.index("Exchange")
     assert lines.index("partial_sum") < lines.index("FileScan")
+
+
+def without_broadcast(spark):
+    session = spark.newSession()
+    session.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    session.conf.set("spark.sql.adaptive.enabled", "false")
+    return session
+
+
+def test_orders_are_counted_without_a_shuffle_by_order(spark):
+    for name in ("rfm", "avg_order_value"):
+        metric = METRICS[name]
+        combined = combined_sales(without_broadcast(spark), PATH, metric)
+        assert "order_id_distinct" in combined.columns and "order_id" not in combined.columns
+        plan = plan_of(compute_metric(metric, combined, 0))
+        assert "order_id#" not in plan.replace("order_id_distinct#", "")
+
+
+def test_lines_are_summed_per_part_and_moment_before_the_parts_are_joined(spark):
+    metric = METRICS["product_performance"]
+    plan = plan_of(compute_metric(metric, combined_sales(without_broadcast(spark), PATH, metric), 0))
+    joined, summed = plan.index("SortMergeJoin [l_partkey"), plan.index("keys=[l_partkey")
+    assert joined < summed  # the plan prints from the result down to the tables
