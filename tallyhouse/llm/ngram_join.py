@@ -54,6 +54,8 @@ FLUSH = 1_000_000
 HUBS, RAISED = 5, 5
 #: Texts around a hub that a task holds while the others stream past them.
 BLOCK_TEXTS = 256
+#: Texts around a hub that stream past one copy of a block.
+STREAM_TEXTS = 4096
 #: Members that meet one copy of the text they are compared with.
 MEMBERS_PER_GROUP = 512
 
@@ -272,7 +274,8 @@ def _links(pairs: DataFrame, texts: DataFrame, size: int, hundredths: int) -> Da
 
 
 def _around_hubs(crossing: DataFrame, whole: DataFrame, hundredths: int, work: WorkTables) -> DataFrame:
-    """(hub, key, component, in_main): the texts that meet around each hub. A text leaves out the hubs of its
+    """(hub, key, component, blocks, streams, outside): the texts that meet around each hub, into how many
+    blocks those outside its main component go and into how many streams all of them do. A text leaves out the hubs of its
     fewest shingles, as long as those are no more than it may lack in a link. Two texts that link have
     more in common than both may leave out together, so they meet around one hub at least."""
     n = F.col("n_shingles")
@@ -295,7 +298,10 @@ def _around_hubs(crossing: DataFrame, whole: DataFrame, hundredths: int, work: W
         F.max("n").alias("n_main"),
     )
     blocks = F.ceil((F.col("n") - F.col("n_main")) / BLOCK_TEXTS).cast("int")
-    some = main.where(F.col("n") > F.col("n_main")).select("hub", "main", blocks.alias("blocks"))
+    streams = F.ceil(F.col("n") / STREAM_TEXTS).cast("int")
+    some = main.where(F.col("n") > F.col("n_main")).select(
+        "hub", "main", blocks.alias("blocks"), streams.alias("streams")
+    )
     return kept.join(some, "hub").withColumn("outside", F.col("component") != F.col("main")).drop("main")
 
 
@@ -310,11 +316,12 @@ def _meet(batches: Iterator[pa.RecordBatch], size: int, hundredths: int) -> Iter
 
     for words in words_of(batches, lower=True):
         found: dict[str, list[int]] = {"a": [], "b": []}
-        columns = [words.rows.column(c).to_pylist() for c in ("hub", "block", "streams", "key", "component")]
-        for hub, block, streams, key, component, shown in zip(*columns, shingle_sets(words, size), strict=True):
-            if group != (hub, block):
-                group, held, label = (hub, block), _Held(), {}
-            if not streams:
+        names = ("hub", "block", "stream", "passes", "key", "component")
+        columns = [words.rows.column(c).to_pylist() for c in names]
+        for *of, passes, key, component, shown in zip(*columns, shingle_sets(words, size), strict=True):
+            if group != of:
+                group, held, label = of, _Held(), {}
+            if not passes:
                 held.add(key, component, shown)
                 continue
             for other, other_component in held.links(shown, hundredths):
@@ -362,26 +369,24 @@ class _Held:
 def _block_links(around: DataFrame, texts: DataFrame, size: int, hundredths: int) -> DataFrame:
     """Links (a, b) between components, found around hubs; every text meets all held ones of its hubs."""
     placed = around.join(texts, "key")
+
+    def numbers(count: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    def one_of(count: str) -> Column:
+        return F.pmod(F.xxhash64("key"), F.col(count)).cast("int")
+
+    rest = ["key", "component", "text"]
     held = placed.where("outside").select(
-        "hub",
-        F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("block"),
-        F.lit(False).alias("streams"),
-        "key",
-        "component",
-        "text",
+        "hub", one_of("blocks").alias("block"), numbers("streams").alias("stream"), F.lit(False).alias("passes"), *rest
     )
-    streams = placed.select(
-        "hub",
-        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
-        F.lit(True).alias("streams"),
-        "key",
-        "component",
-        "text",
+    passing = placed.select(
+        "hub", numbers("blocks").alias("block"), one_of("streams").alias("stream"), F.lit(True).alias("passes"), *rest
     )
     return (
-        held.unionByName(streams)
-        .repartition("hub", "block")
-        .sortWithinPartitions("hub", "block", "streams")
+        held.unionByName(passing)
+        .repartition("hub", "block", "stream")
+        .sortWithinPartitions("hub", "block", "stream", "passes")
         .mapInArrow(lambda batches: _meet(batches, size, hundredths), "a long, b long")
     )
 

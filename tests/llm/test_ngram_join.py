@@ -94,3 +94,19 @@ def test_prefix_lemma_holds_for_any_levels():
 
 def test_empty_table(spark):
     assert near_duplicate_classes(cases.empty(spark)).count() == 0
+
+
+def test_blocks_around_a_hub_miss_no_link(spark, monkeypatch):
+    """Copies with many edits each, of which few pairs link, compared in small blocks and streams."""
+    monkeypatch.setattr(ngram_join, "BLOCK_TEXTS", 7)
+    monkeypatch.setattr(ngram_join, "STREAM_TEXTS", 13)
+    monkeypatch.setattr(ngram_join, "HUBS", 1)
+    draw = random.Random(9)
+    base = [f"b{i}" for i in range(120)]
+    rows = []
+    for i in range(90):
+        copy = list(base)
+        for at in draw.sample(range(120), draw.choice([2, 3, 4, 5])):
+            copy[at] = f"x{draw.randrange(40)}"
+        rows.append((i, " ".join(copy), None, None, 0, 0, ""))
+    assert found(spark, rows) == brute(rows)
