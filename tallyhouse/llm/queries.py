@@ -17,6 +17,7 @@ from tallyhouse.llm.topk_search import top_k
 from tallyhouse.llm.url_filter import ALLOW, BLOCK, host_and_path, judge_urls
 from tallyhouse.llm.warc import derivatives, responses
 from tallyhouse.llm.wordpiece import token_counts
+from tallyhouse.llm.work_tables import reach_workers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +32,7 @@ RULES = [
 
 
 def table(spark: SparkSession, path: str, name: str) -> DataFrame:
+    reach_workers(spark)
     return spark.read.parquet(f"{path}/{name}.parquet")
 
 

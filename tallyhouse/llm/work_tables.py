@@ -7,19 +7,34 @@ machine) a temporary folder of this machine takes its place.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from functools import lru_cache
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@lru_cache(maxsize=1)
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="run-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder; a temporary one where the cluster names none."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return (named or _own_folder()).rstrip("/")
+
+
+def reach_workers(spark: SparkSession) -> None:
+    """Let Python workers on this machine find the package where the driver has it. On a cluster it is
+    installed, or shipped with --py-files."""
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
 
 
 class WorkTables:
@@ -29,6 +44,7 @@ class WorkTables:
     """
 
     def __init__(self, spark: SparkSession, job: str) -> None:
+        reach_workers(spark)
         self.spark = spark
         self.root = f"{shared_folder(spark)}/{job}-{uuid.uuid4().hex}"
 
