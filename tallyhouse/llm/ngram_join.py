@@ -4,7 +4,7 @@ A text is the set of its 5-word shingles, as 64-bit hashes in one global order.
 share at least `m` of their first `n - ceil(t n) + m` shingles: a longer prefix demands more shared
 shingles. Every text starts at the shortest level. A text whose prefix shares too few shingles with any
 other is done. For the rest the candidates are estimated by how many other texts the lists of their shared
-shingles hold in the mean. The more there are, the longer the prefix the text goes on with, and the more
+shingles hold, in the mean and together. The more there are, the longer the prefix the text goes on with, and the more
 matches a pair needs before it is verified; the longest is the whole set, where matches are overlaps.
 
 1. Copies (equal word sequences) are one text from the start, named by the hash of the sequence.
@@ -43,12 +43,13 @@ from tallyhouse.llm.work_tables import WorkTables
 
 #: Shared shingles demanded at each level, as hundredths of the text's shingles.
 LEVELS = (4, 25, 75)
-#: Estimated candidates up to which a text stays at a level.
-CANDIDATES = (1.5, 3)
+#: Up to how many candidates a text stays at a level: by the other texts in its shared shingles' lists in the
+#: mean, and by all of them together, divided by the matches a candidate needs.
+CANDIDATES = ((1.5, 8), (3, 16))
 #: Texts of a task that share a shingle before the list is shortened there.
 LONG_LIST = 32
 #: Shingles gathered before a task gives them out.
-FLUSH = 1_000_000
+FLUSH = 500_000
 #: Texts that stand as hubs in a list: the one that shares most, and those that do if the share of each text
 #: is raised by up to so many hundredths, by its digest.
 HUBS, RAISED = 5, 5
@@ -162,7 +163,7 @@ def _first_prefixes(batches: Iterator[pa.RecordBatch], size: int, hundredths: in
                 continue
             seen.add(key)
             shown = shown[: n - overlap_needed(n, hundredths) + matches_at(n, 0, hundredths)]
-            shingles.append(shown)
+            shingles.append(shown.copy())
             keys.append(np.full(len(shown), key, dtype=np.int64))
             held += len(shown)
         if held >= FLUSH:
@@ -233,6 +234,12 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, hundredths: int) ->
     )
 
 
+def _sizes_allow(x: str, y: str, hundredths: int) -> Column:
+    """Whether the smaller set is large enough to be most of the larger one."""
+    sizes = F.col(f"{x}.n_shingles"), F.col(f"{y}.n_shingles")
+    return 100 * F.least(*sizes) >= hundredths * F.greatest(*sizes)
+
+
 def _whole(x: str, y: str) -> Column:
     """Whether both texts show their whole sets."""
     return (F.col(f"{x}.level") == len(LEVELS) - 1) & (F.col(f"{y}.level") == len(LEVELS) - 1)
@@ -261,7 +268,7 @@ def _with_hubs(listed: DataFrame, held: DataFrame, hundredths: int) -> DataFrame
     return (
         matches.join(held.alias("x"), F.col("m.a") == F.col("x.key"))
         .join(held.alias("y"), F.col("m.b") == F.col("y.key"))
-        .where(F.col("matches") >= _pair_matches("x", "y", hundredths))
+        .where(_sizes_allow("x", "y", hundredths) & (F.col("matches") >= _pair_matches("x", "y", hundredths)))
         .select("m.a", "m.b", _whole("x", "y").alias("whole"))
     )
 
@@ -423,15 +430,22 @@ def near_duplicate_classes(
         .agg(
             F.sum(F.when(in_task, F.col("counted")).otherwise(1)).alias("matches"),
             F.sum(F.when(in_task, F.col("others")).otherwise(F.col("list") - 1)).alias("others"),
+            F.sum("counted").alias("in_long_lists"),
         )
     )
     prefix = n - _hundredth_up(n * t) + own
-    candidates = F.col("others") / F.col("matches")
+    # Lists that tasks shortened are longer than they counted; too few of these make no candidate
+    few = [
+        (F.col("others") <= mean * F.col("matches"))
+        & (F.col("others") <= together * own)
+        & (F.col("in_long_lists") < own)
+        for mean, together in CANDIDATES
+    ]
     sharing = (
         shares.join(distinct, "key")
         .withColumn("own", _matches(n, F.lit(0), t))
         .where(F.col("matches") >= _least_matches(n, own, 0, t))
-        .withColumn("level", F.when(candidates <= CANDIDATES[0], 0).when(candidates <= CANDIDATES[1], 1).otherwise(2))
+        .withColumn("level", F.when(few[0], 0).when(few[1], 1).otherwise(2))
         .withColumn("centrality", F.least(16 * F.col("others") / prefix, F.lit(1 << 30)).cast("int"))
         .select("key", "row_id", "n_shingles", "level", "centrality")
     )
@@ -506,7 +520,7 @@ def near_duplicate_classes(
     once = (F.col("x.key") < F.col("y.key")) | (F.col("y.level") == last)
     pairs = (
         x.join(y, F.col("x.shingle") == F.col("y.shingle"))
-        .where(once & (F.col("x.component") != F.col("y.component")) & (most >= needed))
+        .where(once & _sizes_allow("x", "y", t) & (F.col("x.component") != F.col("y.component")) & (most >= needed))
         .groupBy(F.col("x.key").alias("a"), F.col("y.key").alias("b"))
         .agg(F.count("*").alias("matches"), F.first(needed).alias("needed"))
         .where(F.col("matches") >= F.col("needed"))

@@ -36,7 +36,7 @@ from tallyhouse.llm.work_tables import WorkTables
 CONTROLS = re.compile("[\x1c-\x1f]")
 BLANKS = re.compile("[ \t\n\r]+")
 #: Words, and parts of words, that a worker remembers; beyond it the memory starts anew.
-WORDS, PARTS = 150_000, 400_000
+WORDS, PARTS = 100_000, 250_000
 #: Punctuation that the tokenizer splits off as one run behind letters; an apostrophe may start an ending.
 TAIL = "".join(c for c in string.punctuation if c != "'")
 

@@ -35,7 +35,7 @@ from tallyhouse.llm.work_tables import WorkTables
 #: Low bits of a sliding minimum that hold the word's place in the chunk.
 PLACE_BITS = U(28)
 #: Runs gathered before equal ones are settled in the task.
-FLUSH_RUNS = 400_000
+FLUSH_RUNS = 200_000
 
 _RUNS = "anchor long, run long, doc_id long, row_id long, start int, windows int, settled boolean"
 _RUN_SCHEMA = pa.schema(

@@ -8,6 +8,7 @@ Whole texts are read; only the number of texts held at once is bounded.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -17,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text taken at once (a longer text is taken alone), and bytes hashed at once.
-CHUNK_BYTES, BLOCK_BYTES = 2 << 20, 1 << 18
+CHUNK_BYTES, BLOCK_BYTES = 1 << 20, 1 << 18
 
 U = np.uint64
 _BYTE_BASE, _WORD_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
@@ -50,6 +51,14 @@ class Words(NamedTuple):
     first: np.ndarray
 
 
+def release_memory() -> None:
+    """Give freed memory back to the machine; a worker process lives on and would keep it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim:
+        trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers after which all bits depend on all."""
     x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
@@ -125,6 +134,7 @@ def words_of(
             start, end = np.flatnonzero(starts), np.flatnonzero(ends) + 1
             first = np.searchsorted(start, offsets)
             yield Words(rows, data, start, end, spans_hash(data, start, end, _BYTE_BASE), first)
+        release_memory()
 
 
 def sequence_hash(words: Words) -> np.ndarray:
