@@ -449,7 +449,9 @@ def near_duplicate_classes(
         .withColumn("centrality", F.least(16 * F.col("others") / prefix, F.lit(1 << 30)).cast("int"))
         .select("key", "row_id", "n_shingles", "level", "centrality")
     )
-    texts = work.keep(rows.join(sharing, "row_id").select("key", "n_shingles", "level", "centrality", "text"), "texts")
+    # Repeated rows share the row_id; counted twice, their shingles would make overlaps too large
+    once_each = rows.join(sharing, "row_id").dropDuplicates(["row_id"])
+    texts = work.keep(once_each.select("key", "n_shingles", "level", "centrality", "text"), "texts")
     bare = texts.select("key", "text")
     sizes = texts.select("key", "n_shingles", "level", _matches(n, F.col("level"), t).alias("own")).distinct()
     sizes = work.keep(sizes, "sizes")

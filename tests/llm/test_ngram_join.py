@@ -110,3 +110,14 @@ def test_blocks_around_a_hub_miss_no_link(spark, monkeypatch):
             copy[at] = f"x{draw.randrange(40)}"
         rows.append((i, " ".join(copy), None, None, 0, 0, ""))
     assert found(spark, rows) == brute(rows)
+
+
+def test_repeated_rows_do_not_count_twice(spark):
+    """Texts that share half of their words, of which some rows are repeated and some have copies without id."""
+    base = [f"b{i}" for i in range(60)]
+    rows = []
+    for i in range(12):
+        rows.append((i, " ".join(base + [f"x{i}y{k}" for k in range(60)]), None, None, 0, 0, ""))
+    rows += rows[:4] + [(None, *r[1:]) for r in rows[4:7] for _ in range(2)]
+    assert found(spark, rows) == brute(rows)
+    assert {c for d, _, c in found(spark, rows) if d is not None} == set(range(12))
