@@ -13,7 +13,8 @@ broadcasts them below its threshold, and beyond it both sides are shuffled.
 
 Words are runs of ASCII letters and digits and of all characters beyond ASCII, A-Z lower-cased. Null or empty
 texts have no words and no matches; items without words have no windows. Rows with the same id are judged
-each by their own text. Items that repeat an id count once for it. Empty tables give no matches. Further
+each by their own text. Items that repeat an id count once for it; items without an id match like all others,
+count as one item together and stand as a null at the end of the ids. Empty tables give no matches. Further
 columns are ignored.
 """
 
@@ -49,8 +50,10 @@ def item_windows(items: DataFrame, width: int) -> DataFrame:
         F.col("item_id").cast("string").alias("item"), words_of(F.col("text")).alias("words")
     ).where(F.size("words") > 0)
     starts = F.sequence(F.lit(0), F.greatest(F.size("words") - width, F.lit(0)))
+    # A null adds nothing to a hash, so that the next value would take its place
+    named = F.struct(F.col("item").isNull().alias("none"), F.coalesce("item", F.lit("")).alias("id"))
     return (
-        words.withColumn("text_id", F.xxhash64("item", "words"))
+        words.withColumn("text_id", F.xxhash64(named, "words"))
         .dropDuplicates(["text_id"])
         .select("item", "text_id", "words", F.explode(starts).alias("at"))
         .select("item", "text_id", "at", F.slice("words", F.col("at") + 1, width).alias("phrase"))
@@ -61,7 +64,8 @@ class BenchmarkIndex:
     """Probes of the items' windows and the documents' postings of their terms.
 
     rows: documents as (doc_id, row_id, text). probes: (item, text_id, at, term, offset, rank), offset being
-    the term's place in the item. postings: (term, row_id, position).
+    the term's place in the item. postings: (term, row_id, position). A text_id stands for one item, which may
+    be null, and its words; joins are by text_id alone.
     """
 
     def __init__(self, documents: DataFrame, items: DataFrame, *, width: int = 13, probes: int = 3) -> None:
@@ -95,20 +99,20 @@ class BenchmarkIndex:
 
     def phrase_matches(self) -> DataFrame:
         """row_id, item, start, length: every exact occurrence of a window, in words of the document."""
-        places = self.probes.select("item", "text_id", "offset", "term").distinct()
+        places = self.probes.select("text_id", "offset", "term").distinct()
         starts = (
             self.postings.join(places, "term")
             .withColumn("start", F.col("position") - F.col("offset"))
-            .groupBy("row_id", "item", "text_id", "start")
+            .groupBy("row_id", "text_id", "start")
             .agg(F.collect_set("offset").alias("agreed"))
         )
         wanted = (
-            self.probes.groupBy("item", "text_id", "at")
+            self.probes.groupBy("text_id", "at")
             .agg(F.collect_set("offset").alias("offsets"))
-            .join(self.windows, ["item", "text_id", "at"])
+            .join(self.windows, ["text_id", "at"])
         )
         candidates = (
-            starts.join(wanted, ["item", "text_id"])
+            starts.join(wanted, "text_id")
             .where(F.size(F.array_except("offsets", "agreed")) == 0)
             .where(F.col("start") + F.col("at") >= 0)
             .groupBy("row_id")
@@ -138,22 +142,22 @@ class BenchmarkIndex:
 
     def proximity_matches(self, slop: int) -> DataFrame:
         """row_id, item, at, start, spread: windows whose probes occur in their order up to `slop` words."""
-        key = ["row_id", "item", "text_id", "at"]
+        key = ["row_id", "text_id", "at"]
         seen = self.postings.join(self.probes, "term").select(
-            *key, "rank", (F.col("position") - F.col("offset")).alias("start")
+            *key, "item", "rank", (F.col("position") - F.col("offset")).alias("start")
         )
         first = seen.where(F.col("rank") == 1).select(*key, F.col("start").alias("anchor"))
-        n_probes = self.probes.groupBy("item", "text_id", "at").agg(F.count("*").alias("n_probes"))
+        n_probes = self.probes.groupBy("text_id", "at").agg(F.count("*").alias("n_probes"))
         return (
             first.join(seen, key)
             .where(F.abs(F.col("start") - F.col("anchor")) <= slop)
-            .groupBy(*key, "anchor")
+            .groupBy(*key, "item", "anchor")
             .agg(
                 F.count_distinct("rank").alias("agreed"),
                 F.min("start").alias("start"),
                 (F.max("start") - F.min("start")).alias("spread"),
             )
-            .join(n_probes, ["item", "text_id", "at"])
+            .join(n_probes, ["text_id", "at"])
             .where(F.col("agreed") == F.col("n_probes"))
             .select("row_id", "item", "at", (F.col("start") + F.col("at")).alias("start"), "spread")
             .distinct()
@@ -181,7 +185,9 @@ def judge_documents(
             F.sum(F.greatest(F.col("end") - F.greatest("start", "covered"), F.lit(0))).alias("n_hit")
         )
     )
-    found = hits.groupBy("row_id").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    # A set of bare ids would leave the null out
+    ids = F.transform(F.collect_set(F.struct("item")), lambda x: x["item"])
+    found = hits.groupBy("row_id").agg(F.array_sort(ids).alias("items"))
     judged = index.work.keep(covered.join(found, "row_id"), "judged")
     n_words = F.coalesce(F.size(words_of(F.col("text"))), F.lit(0))
     counted = index.rows.select("doc_id", "row_id", F.greatest(n_words, F.lit(0)).cast("long").alias("n_words"))

@@ -51,6 +51,28 @@ def test_proximity(spark):
     assert {of[r.row_id] for r in index.proximity_matches(1).collect()} == {1}
 
 
+def test_items_without_an_id(spark):
+    """The words behind item 10 are, with the id before them, those of an item without one."""
+    one, two = "alpha beta gamma delta epsilon", "10 " + "zeta eta theta"
+    items = [(None, one), (None, two), (10, "zeta eta theta"), (3, "gamma delta")]
+    rows = [(1, f"{one} so"), (2, f"x {two}"), (3, "zeta eta theta iota"), (4, "none of them")]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    index = BenchmarkIndex(documents, spark.createDataFrame(items, "item_id long, text string"))
+    of = {r.row_id: r.doc_id for r in index.rows.collect()}
+    near = {(of[r.row_id], r["item"]) for r in index.proximity_matches(0).collect()}
+    assert near == {(1, None), (1, "3"), (2, None), (2, "10"), (3, "10")}
+    found = judge_documents(documents, spark.createDataFrame(items, "item_id long, text string")).collect()
+    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items, r["items"], r.contaminated) for r in found}
+    assert got == {
+        1: (6, 5, 2, ["3", None], True),
+        2: (5, 4, 2, ["10", None], True),
+        3: (4, 3, 1, ["10"], True),
+        4: (3, 0, 0, [], False),
+    }
+    brute_hits = {d: (hit, bad) for d, _, hit, _, bad in brute(rows, items)}
+    assert {d: (v[1], v[4]) for d, v in got.items()} == brute_hits
+
+
 def test_empty_tables(spark):
     items = spark.createDataFrame([], "item_id long, text string")
     assert judge_documents(cases.empty(spark), items).count() == 0
