@@ -4,6 +4,7 @@ Greedy word-piece tokenization takes the longest piece that starts a word, then
 piece, and so on. The automaton does it in one pass over a word: a trie of the pieces, and for every node a
 failure link to where matching goes on once the next byte has no edge, with the number of pieces that are
 then complete. Pieces themselves are never built. A word that has no such split is one unknown token.
+The blank before a word may be a piece of its own: an initial piece of no bytes, taken where no longer one fits.
 
 Distinct words of a chunk of texts run through the automaton side by side, one byte a step, and their counts
 are spread to all their occurrences. Words are runs without white space (`[^\\x20\\x09-\\x0D]+`), matched as
@@ -34,7 +35,8 @@ LONG_WORD = 256
 
 
 class Automaton:
-    """initial: pieces that start a word; continuing: pieces further inside. Both as bytes."""
+    """initial: pieces that start a word, that of no bytes among them if a word may start with a continuing
+    one; continuing: pieces further inside. Both as bytes."""
 
     def __init__(self, initial: set[bytes], continuing: set[bytes]) -> None:
         # Nodes 0 and 1: the start of a word, and the place behind a piece
@@ -57,6 +59,8 @@ class Automaton:
         for node in range(2, len(ends)):
             depth[node] = depth[parent[node]] + 1
         link, popped = [NOTHING] * len(ends), [0] * len(ends)
+        if b"" in initial:
+            link[0], popped[0] = 1, 1
         for node in sorted(range(2, len(ends)), key=depth.__getitem__):
             if ends[node]:
                 link[node], popped[node] = 1, 1
@@ -137,7 +141,8 @@ class Automaton:
 
 @lru_cache(maxsize=2)
 def automaton(path: str) -> Automaton:
-    """From a byte-level vocabulary file: pieces behind a blank start words, all others continue them."""
+    """From a byte-level vocabulary file: pieces behind a blank, and the blank alone, start words; all others
+    continue them."""
     with open(path, encoding="utf-8") as file:
         vocabulary = json.load(file)["model"]["vocab"]
     byte_of = {letter: byte for byte, letter in byte_letters().items()}
@@ -147,7 +152,7 @@ def automaton(path: str) -> Automaton:
         if all(c in byte_of for c in piece):
             starts = piece.startswith(blank)
             encoded = bytes(byte_of[c] for c in piece[starts:])
-            if encoded and END not in encoded:
+            if (encoded or starts) and END not in encoded:
                 (initial if starts else continuing).add(encoded)
     return Automaton(initial, continuing)
 
