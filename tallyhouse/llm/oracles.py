@@ -125,6 +125,47 @@ SELECT page_id, h.host, h.path, rule, coalesce(verdict, 'allow') AS verdict
 FROM h LEFT JOIN (SELECT * FROM hits WHERE n = 1) x ON h.host = x.host AND h.path = x.path
 """
 
+OP11 = rf"""
+WITH RECURSIVE bytes_of AS (
+    SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS steps
+), runs AS (
+    SELECT doc_id, run, count(*) AS k
+    FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents)
+    WHERE length(run) >= 7 GROUP BY doc_id, run
+), checked AS (
+    SELECT run, k, CASE WHEN x IS NOT NULL THEN xor(list_reduce(list_concat([4294967295],
+        list_transform(range(length(x) // 2), lambda i: CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT))),
+        lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])), 4294967295) END AS h
+    FROM (SELECT run, k, hex(doc_id || ':' || run) AS x FROM runs), bytes_of
+), words AS (
+    SELECT word, CAST(sum(k) AS BIGINT) AS n
+    FROM (SELECT CASE WHEN h % 31 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, k
+          FROM checked)
+    WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2
+), less AS (
+    SELECT word, i, word[:i - 1] || word[i + 1:] AS short
+    FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)
+), pairs AS (
+    SELECT a.word, b.word AS other FROM less a JOIN less b USING (i, short) WHERE a.word <> b.word
+    UNION SELECT l.word, w.word FROM less l JOIN words w ON w.word = l.short
+    UNION SELECT w.word, l.word FROM less l JOIN words w ON w.word = l.short
+), near AS (
+    SELECT p.word, p.other, w.n AS other_n, count(*) OVER (PARTITION BY p.word) AS n_near,
+           row_number() OVER (PARTITION BY p.word ORDER BY w.n DESC, p.other) AS place
+    FROM pairs p JOIN words w ON w.word = p.other
+), formed AS (
+    SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 10 * w.n THEN other END AS form,
+           CASE WHEN other_n >= 10 * w.n THEN other_n END AS form_n
+    FROM words w LEFT JOIN (SELECT * FROM near WHERE place = 1) t USING (word)
+), walk(word, reached) AS (
+    SELECT word, word FROM formed
+    UNION ALL SELECT k.word, f.form FROM walk k JOIN formed f ON f.word = k.reached WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, k.reached AS root, f.n, f.n_near, f.form_n
+FROM formed f JOIN walk k ON k.word = f.word JOIN formed last ON last.word = k.reached AND last.form IS NULL
+"""
+
 
 def llm_oracles() -> dict[str, str]:
     return {
@@ -133,4 +174,5 @@ def llm_oracles() -> dict[str, str]:
         "op5_substring_dedup": OP5,
         "op7_maxscore_search": OP7,
         "op9_url_filter": OP9,
+        "op11_spelling_variants": OP11,
     }

@@ -12,6 +12,7 @@ from tallyhouse.llm.language_id import identify
 from tallyhouse.llm.ngram_join import near_duplicate_classes
 from tallyhouse.llm.packing import pack
 from tallyhouse.llm.quality_cnn import quality_scores
+from tallyhouse.llm.spelling_variants import spelling_variants
 from tallyhouse.llm.substring_dedup import remove_repeats
 from tallyhouse.llm.topk_search import top_k
 from tallyhouse.llm.url_filter import ALLOW, BLOCK, host_and_path, judge_urls
@@ -100,6 +101,10 @@ def op10_best_fit_packing(spark: SparkSession, path: str) -> DataFrame:
     return pack(table(spark, path, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+def op11_spelling_variants(spark: SparkSession, path: str) -> DataFrame:
+    return spelling_variants(table(spark, path, "documents"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
@@ -112,4 +117,5 @@ def llm_queries() -> dict[str, Query]:
         "op8_token_counts": op8_token_counts,
         "op9_url_filter": op9_url_filter,
         "op10_best_fit_packing": op10_best_fit_packing,
+        "op11_spelling_variants": op11_spelling_variants,
     }
