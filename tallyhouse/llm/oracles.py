@@ -166,6 +166,60 @@ SELECT f.word, f.form, k.reached AS root, f.n, f.n_near, f.form_n
 FROM formed f JOIN walk k ON k.word = f.word JOIN formed last ON last.word = k.reached AND last.form IS NULL
 """
 
+OP12 = r"""
+WITH steps_of AS (
+    SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS steps
+), turns AS (
+    SELECT conv_id, md5(length(r) || ':' || r || t) AS said, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS words,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS place
+    FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t
+          FROM conversations WHERE conv_id IS NOT NULL)
+), convs AS (
+    SELECT conv_id, xor(list_reduce(list_concat([4294967295],
+               list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(unicode(x) AS BIGINT))),
+               lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])), 4294967295) % 4 AS h
+    FROM (SELECT DISTINCT conv_id FROM turns), steps_of
+), rebuilt AS (
+    SELECT c.conv_id, t.said, t.words, t.place - 4 AS place
+    FROM convs c JOIN turns t ON t.conv_id = c.conv_id - c.conv_id % 20 AND t.place <= c.h
+    UNION ALL
+    SELECT c.conv_id, t.said, t.words, t.place FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.place > c.h
+), ways AS (
+    SELECT conv_id, coalesce(said, []) AS said, coalesce(words, []) AS words
+    FROM convs LEFT JOIN (
+        SELECT conv_id, list(said ORDER BY place) AS said, list(words ORDER BY place) AS words
+        FROM rebuilt GROUP BY conv_id) USING (conv_id)
+), nodes AS (
+    SELECT way, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(w) AS words,
+           coalesce(string_agg(conv_id, ',' ORDER BY conv_id) FILTER (n = depth), '') AS ends
+    FROM (SELECT said[1:depth] AS way, depth, conv_id, words[depth] AS w, len(said) AS n
+          FROM (SELECT *, unnest(range(0, len(said) + 1)) AS depth FROM ways))
+    GROUP BY way, depth
+), linked AS (
+    SELECT n.*, p.conv_id AS parent_conv_id,
+           (SELECT count(*) FROM nodes c WHERE c.depth = n.depth + 1 AND c.way[1:n.depth] = n.way) AS n_children
+    FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.way = n.way[1:n.depth - 1]
+)
+SELECT v.conv_id, v.depth, any_value(v.parent_conv_id) AS parent_conv_id, any_value(v.n_convs) AS n_convs,
+       any_value(v.n_children) AS n_children, count(*) FILTER (x.n_children = 0) AS n_leaves,
+       CAST(sum((x.n_convs - 1) * coalesce(x.words, 0)) AS BIGINT) AS saved_tokens,
+       sha256(any_value(v.ends)) AS ends_sha256
+FROM linked v JOIN linked x ON x.depth >= v.depth AND x.way[1:v.depth] = v.way
+GROUP BY v.conv_id, v.depth
+"""
+
+OP13 = r"""
+WITH d AS (
+    SELECT doc_id, length(coalesce(text, '')) AS n, row_number() OVER () AS place,
+           regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm
+    FROM documents
+)
+SELECT doc_id, first_value(doc_id) OVER same AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
+       row_number() OVER same = 1 AS kept, sha256(norm) AS text_sha256
+FROM d WINDOW same AS (PARTITION BY norm ORDER BY n DESC, doc_id, place)
+"""
+
 
 def llm_oracles() -> dict[str, str]:
     return {
@@ -175,4 +229,6 @@ def llm_oracles() -> dict[str, str]:
         "op7_maxscore_search": OP7,
         "op9_url_filter": OP9,
         "op11_spelling_variants": OP11,
+        "op12_prefix_trie": OP12,
+        "op13_exact_dedup": OP13,
     }

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.decontamination import judge_documents
+from tallyhouse.llm.exact_dedup import exact_duplicates
 from tallyhouse.llm.language_id import identify
 from tallyhouse.llm.ngram_join import near_duplicate_classes
 from tallyhouse.llm.packing import pack
+from tallyhouse.llm.prefix_trie import prefix_trie
 from tallyhouse.llm.quality_cnn import quality_scores
 from tallyhouse.llm.spelling_variants import spelling_variants
 from tallyhouse.llm.substring_dedup import remove_repeats
@@ -105,6 +107,14 @@ def op11_spelling_variants(spark: SparkSession, path: str) -> DataFrame:
     return spelling_variants(table(spark, path, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, path: str) -> DataFrame:
+    return prefix_trie(table(spark, path, "conversations"))
+
+
+def op13_exact_dedup(spark: SparkSession, path: str) -> DataFrame:
+    return exact_duplicates(table(spark, path, "documents"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
@@ -118,4 +128,6 @@ def llm_queries() -> dict[str, Query]:
         "op9_url_filter": op9_url_filter,
         "op10_best_fit_packing": op10_best_fit_packing,
         "op11_spelling_variants": op11_spelling_variants,
+        "op12_prefix_trie": op12_prefix_trie,
+        "op13_exact_dedup": op13_exact_dedup,
     }

@@ -26,6 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.llm.presence import maybe_present, presence_bitmap
 from tallyhouse.llm.text_arrays import U, mix, release_memory
 from tallyhouse.llm.work_tables import WorkTables
 
@@ -33,8 +34,6 @@ from tallyhouse.llm.work_tables import WorkTables
 LEAST_LETTERS, LEAST_COUNT, FORM_FACTOR = 7, 2, 10
 #: One distinct run of a document in so many, by checksum, loses a letter.
 DROP_EVERY = 31
-#: Bits of the bitmap that filters neighbours (8 MB), whatever the vocabulary.
-FILTER_BITS = 1 << 26
 #: Distinct words, and bytes of them, that a task counts before it passes its counts on.
 HELD_WORDS, HELD_BYTES = 400_000, 16 << 20
 #: Letters of which the neighbourhoods are built at once, and letters of the words taken at once (a longer
@@ -43,7 +42,6 @@ BLOCK_LETTERS, TAKEN_LETTERS = 1 << 15, 1 << 15
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = U(pow(_BASE, -1, 1 << 64))
-_BITMAP_ROW = 1 << 15  # bits in a row of Spark's bitmap functions
 
 
 def _runs(least: int) -> re.Pattern:
@@ -173,8 +171,7 @@ def _neighbourhoods(symbols: int, present):
             found_word, found_hash = [], []
             for word, hashes in _Letters(rows.column("word"), symbols).neighbours(symbols):
                 hashes = mix(hashes)
-                bit = hashes & U(FILTER_BITS - 1)
-                maybe = (bitmap[bit >> U(3)] >> (bit & U(7)).astype(np.uint8)) & np.uint8(1) > 0
+                maybe = maybe_present(bitmap, hashes)
                 found_word.append(word[maybe])
                 found_hash.append(hashes[maybe])
             word, hashes = np.concatenate(found_word), np.concatenate(found_hash)
@@ -197,28 +194,12 @@ def _neighbourhoods(symbols: int, present):
     return generate
 
 
-def _bitmap(reduced: DataFrame) -> np.ndarray:
-    """The bitmap of all reduced words: at most FILTER_BITS / 2**15 rows of 4 KB reach the driver."""
-    bit = F.col("reduced").bitwiseAND(F.lit(FILTER_BITS - 1))
-    rows = (
-        reduced.select(bit.alias("bit"))
-        .groupBy(F.floor(F.col("bit") / _BITMAP_ROW).alias("part"))
-        .agg(F.bitmap_construct_agg((F.col("bit") % _BITMAP_ROW)).alias("bits"))
-    )
-    bitmap = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
-    width = _BITMAP_ROW // 8
-    for part, bits in rows.toLocalIterator():
-        bitmap[part * width : part * width + len(bits)] = np.frombuffer(bytes(bits), dtype=np.uint8)
-    return bitmap
-
-
-def near_pairs(vocabulary: DataFrame, work: WorkTables, symbols: int | None = None) -> DataFrame:
+def near_pairs(vocabulary: DataFrame, symbols: int | None = None) -> DataFrame:
     """(word, n, other, other_n) of all words exactly one edit apart, each pair from both sides."""
-    spark = vocabulary.sparkSession
     symbols = symbols or alphabet_size(vocabulary.count())
     schema = "reduced long, word string, n long"
     reduced = vocabulary.mapInArrow(_reduced(symbols), schema)
-    present = spark.sparkContext.broadcast(_bitmap(reduced))
+    present = presence_bitmap(reduced, F.col("reduced"))
     near = vocabulary.mapInArrow(_neighbourhoods(symbols, present), schema)
     others = reduced.select("reduced", F.col("word").alias("other"), F.col("n").alias("other_n"))
     met = near.join(others, "reduced").where(F.col("word") != F.col("other"))
@@ -255,7 +236,7 @@ def spelling_variants(
     changes the work and not the result."""
     work = WorkTables(documents.sparkSession, "spelling")
     vocabulary = work.keep(word_counts(documents, least_letters, least_count), "vocabulary")
-    pairs = near_pairs(vocabulary, work, symbols)
+    pairs = near_pairs(vocabulary, symbols)
     best = F.min(F.struct((-F.col("other_n")).alias("order"), F.col("other").alias("form")))
     near = work.keep(
         pairs.groupBy("word", "n")
