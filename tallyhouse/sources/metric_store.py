@@ -4,8 +4,10 @@ A batch writes all its tables and then publishes one marker, `_committed/<batch>
 the batches that have a marker, so a batch that is being written, or whose writer failed between two tables,
 is not there yet. A batch that is run again writes a new attempt and moves the marker.
 
-Old batches of appended metrics are compacted into one directory from time to time, so that what a reader
-lists stays short. The rows carry their batch's id, so compacted metrics give the same totals.
+Old batches of appended metrics are compacted from time to time, so that what a reader lists stays short.
+Each compaction takes the batches since the last one; when COMPACTED_TOGETHER folders of one level stand side by
+side they become one of the next level, so a row is written again only as often as there are levels. Rows
+carry their batch's id, so compacted metrics give the same totals and can be read as of an older batch.
 """
 
 from __future__ import annotations
@@ -13,9 +15,13 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyhouse.schema import BATCH_COLUMN
+
 FORMAT = "parquet"
+COMPACTED_TOGETHER = 8
 _COMMITTED, _COMPACTED, _BATCH = "_committed", "_compacted", "batch="
 
 
@@ -27,8 +33,8 @@ def attempt_path(root: str, name: str, batch_id: int, attempt: int) -> str:
     return f"{metric_path(root, name)}/{_BATCH}{batch_id}/attempt={attempt}"
 
 
-def _compacted_path(root: str, name: str, upto: int) -> str:
-    return f"{metric_path(root, name)}/compacted={upto}"
+def _compacted_path(root: str, name: str, part: tuple[int, int, int]) -> str:
+    return f"{metric_path(root, name)}/compacted={'.'.join(map(str, part))}"
 
 
 def _directory(spark: SparkSession, path: str):
@@ -48,6 +54,16 @@ def _touch(spark: SparkSession, path: str) -> None:
     files.create(where, True).close()
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file in one go."""
+    files, where = _directory(spark, path)
+    out = files.create(where, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     files, where = _directory(spark, path)
     files.delete(where, True)
@@ -78,8 +94,19 @@ def publish(spark: SparkSession, root: str, batch_id: int, attempt: int) -> None
         _delete(spark, f"{markers}/{batch_id}.{earlier}")
 
 
-def _compactions(spark: SparkSession, root: str, name: str) -> list[int]:
-    return sorted(map(int, _names(spark, f"{metric_path(root, name)}/{_COMPACTED}")))
+def _all_compactions(spark: SparkSession, root: str, name: str) -> list[tuple[int, int, int]]:
+    """(level, first batch, last batch) of every finished compaction, also of those that went into a later one."""
+    names = _names(spark, f"{metric_path(root, name)}/{_COMPACTED}")
+    return [tuple(map(int, n.split("."))) for n in names]
+
+
+def _compactions(spark: SparkSession, root: str, name: str) -> list[tuple[int, int, int]]:
+    """Those that count, oldest batches first: the highest level of every batch."""
+    found: list[tuple[int, int, int]] = []
+    for level, first, last in sorted(_all_compactions(spark, root, name), reverse=True):
+        if not any(f <= first and last <= l for _, f, l in found):
+            found.append((level, first, last))
+    return sorted(found, key=lambda part: part[1])
 
 
 def _written(spark: SparkSession, root: str, name: str) -> set[int]:
@@ -89,7 +116,7 @@ def _written(spark: SparkSession, root: str, name: str) -> set[int]:
 
 def stored_batches(spark: SparkSession, root: str, name: str) -> list[int]:
     """Ids of the committed batches of a metric that are not compacted, oldest first."""
-    upto = max(_compactions(spark, root, name), default=-1)
+    upto = max((last for _, _, last in _compactions(spark, root, name)), default=-1)
     found = committed(spark, root).keys() & _written(spark, root, name)
     return sorted(batch_id for batch_id in found if batch_id > upto)
 
@@ -110,22 +137,37 @@ def read_metric(
 ) -> DataFrame:
     """All stored rows of a metric, or those of its newest batch; with ``upto``, as of that batch.
 
-    Only the directories of the wanted batches are given to Spark, so no other is listed or read. With
-    ``empty_schema`` a metric that has no batch yet reads as an empty frame.
+    Only the directories of the wanted batches are given to Spark, so no other is listed or read. A metric that
+    has no batch yet reads as an empty frame with ``empty_schema`` and is an error without it; what an unfinished
+    batch has written is never read.
     """
     attempts = committed(spark, root)
-    compactions = _compactions(spark, root, name)
     batches = [b for b in stored_batches(spark, root, name) if upto is None or b <= upto]
     paths = [attempt_path(root, name, b, attempts[b]) for b in batches]
-    if latest:
+    older = [p for p in _compactions(spark, root, name) if upto is None or p[1] <= upto]
+    if latest and paths:
         paths = paths[-1:]
-    elif compactions:
-        paths.insert(0, _compacted_path(root, name, compactions[-1]))
-    if paths:
-        return spark.read.format(fmt).load(paths)
-    if empty_schema is None:
-        return spark.read.format(fmt).load(metric_path(root, name))
-    return spark.createDataFrame([], empty_schema)
+    else:
+        paths = [_compacted_path(root, name, part) for part in older] + paths
+    if not paths:
+        if empty_schema is None:
+            raise LookupError(f"no committed batch of {name} below {root}")
+        return spark.createDataFrame([], empty_schema)
+    rows = spark.read.format(fmt).load(paths)
+    if upto is not None and any(last > upto for _, _, last in older):
+        rows = rows.where(F.col(BATCH_COLUMN) <= upto)
+    if latest and not batches:
+        newest = rows.agg(F.max(BATCH_COLUMN)).scalar()
+        rows = rows.where(F.col(BATCH_COLUMN) == newest)
+    return rows
+
+
+def newest_of(spark: SparkSession, root: str, name: str) -> tuple[int, str] | None:
+    """The newest committed batch that holds a table, and the table's folder there."""
+    batches = stored_batches(spark, root, name)
+    if not batches:
+        return None
+    return batches[-1], attempt_path(root, name, batches[-1], committed(spark, root)[batches[-1]])
 
 
 def expire_batches(spark: SparkSession, root: str, name: str, keep: int) -> list[int]:
@@ -138,32 +180,49 @@ def expire_batches(spark: SparkSession, root: str, name: str, keep: int) -> list
     return old
 
 
+def _compact(spark: SparkSession, root: str, name: str, part: tuple[int, int, int], paths: list[str], fmt: str) -> None:
+    spark.read.format(fmt).load(paths).write.format(fmt).mode("overwrite").save(_compacted_path(root, name, part))
+    _touch(spark, f"{metric_path(root, name)}/{_COMPACTED}/{'.'.join(map(str, part))}")
+
+
 def compact_batches(
-    spark: SparkSession, root: str, names: Iterable[str], keep: int = 2, fmt: str = FORMAT
+    spark: SparkSession,
+    root: str,
+    names: Iterable[str],
+    keep: int = 2,
+    fmt: str = FORMAT,
+    together: int = COMPACTED_TOGETHER,
 ) -> None:
-    """Merge all but the newest ``keep`` batches of appended metrics into one directory each.
+    """Put all but the newest ``keep`` batches of appended metrics that are not compacted yet into one folder
+    each, and folders of one level that are ``together`` into one of the next.
 
-    What the last compaction but one replaced is deleted now, so that a reader that started before
-    this one is not disturbed.
+    What an earlier compaction replaced is deleted now, so that a reader that started before this one is not
+    disturbed.
     """
     upto = max(sorted(committed(spark, root))[:-keep], default=None)
     if upto is None:
         return
-    before = -1
+    attempts, before = committed(spark, root), []
     for name in names:
-        done = _compactions(spark, root, name)
-        before = max(done, default=-1)
-        batches = [b for b in stored_batches(spark, root, name) if b <= upto]
-        if batches:
-            merged = read_metric(spark, root, name, fmt=fmt, upto=upto)
-            merged.write.format(fmt).mode("overwrite").save(_compacted_path(root, name, upto))
-            _touch(spark, f"{metric_path(root, name)}/{_COMPACTED}/{upto}")
-        for old in done[:-1]:
-            _delete(spark, _compacted_path(root, name, old))
-            _delete(spark, f"{metric_path(root, name)}/{_COMPACTED}/{old}")
+        counted = _compactions(spark, root, name)
+        before.append(max((last for _, _, last in counted), default=-1))
+        for part in set(_all_compactions(spark, root, name)) - set(counted):
+            _delete(spark, f"{metric_path(root, name)}/{_COMPACTED}/{'.'.join(map(str, part))}")
+            _delete(spark, _compacted_path(root, name, part))
         for batch_id in _written(spark, root, name):
-            if batch_id <= before:
+            if batch_id <= before[-1]:
                 _delete(spark, f"{metric_path(root, name)}/{_BATCH}{batch_id}")
-    for batch_id, attempt in committed(spark, root).items():
-        if batch_id <= before:
+        batches = [b for b in stored_batches(spark, root, name) if b <= upto]
+        if batches:
+            paths = [attempt_path(root, name, b, attempts[b]) for b in batches]
+            _compact(spark, root, name, (0, batches[0], batches[-1]), paths, fmt)
+            counted.append((0, batches[0], batches[-1]))
+        level = 0
+        while len(side := [part for part in counted if part[0] == level]) >= together:
+            whole = (level + 1, side[0][1], side[-1][2])
+            _compact(spark, root, name, whole, [_compacted_path(root, name, part) for part in side], fmt)
+            counted = [part for part in counted if part[0] != level] + [whole]
+            level += 1
+    for batch_id, attempt in attempts.items():
+        if batch_id <= min(before, default=-1):
             _delete(spark, f"{root.rstrip('/')}/{_COMMITTED}/{batch_id}.{attempt}")

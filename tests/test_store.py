@@ -1,10 +1,10 @@
 """Stored metrics: appending, replacing, replays, compaction, and what a reader sees."""
 
+import os
 from datetime import datetime, timezone
 from decimal import Decimal
 
 import pytest
-from pyspark.errors import AnalysisException
 
 from tallyhouse.operators import kpi, product
 from tallyhouse.plans import serving
@@ -116,10 +116,38 @@ def test_metric_without_a_batch_reads_as_empty_when_asked(spark, sales, root):
     schema = kpi.kpi_summary(sales).schema
     empty = read_metric(spark, root, "kpis", empty_schema=schema)
     assert serving.latest_kpis(empty).count() == 0
-    with pytest.raises(AnalysisException):
+    with pytest.raises(LookupError):
         read_metric(spark, root, "kpis")
 
 
+def test_first_batch_of_a_writer_that_failed_is_not_seen(spark, sales, root):
+    rows = product.stock_sold(sales)
+    with pytest.raises(RuntimeError), batch_attempt(spark, root, 0) as attempt:
+        write_rows(rows, root, "stock_levels", 0, attempt)
+        raise RuntimeError("between two tables")
+    with pytest.raises(LookupError):
+        read_metric(spark, root, "stock_levels")
+    assert read_metric(spark, root, "stock_levels", empty_schema=rows.schema).count() == 0
+    assert read_metric(spark, root, "stock_levels", empty_schema=rows.schema).columns == rows.columns
+
+
+def test_compaction_in_levels(spark, sales, root):
+    """Few folders, no row written more often than there are levels, and reads as of older batches."""
+    for batch in range(12):
+        store_metric(product.stock_sold(sales), root, "stock_levels", batch)
+        compact_batches(spark, root, ["stock_levels"], keep=1, together=3)
+        for upto in (None, batch, batch // 2):
+            rows = read_metric(spark, root, "stock_levels", upto=upto)
+            ids = [r[0] for r in rows.select("micro_batch_id").distinct().collect()]
+            assert sorted(ids) == list(range((batch if upto is None else upto) + 1))
+            assert rows.count() == 4 * len(ids)
+    folders = os.listdir(metric_path(root, "stock_levels"))
+    levels = sorted(f for f in folders if f.startswith("compacted="))
+    assert len(levels) <= 8 and any(f.startswith("compacted=2.0.") for f in levels)
+    newest = read_metric(spark, root, "stock_levels", latest=True)
+    assert [r.micro_batch_id for r in newest.select("micro_batch_id").distinct().collect()] == [11]
+
+
 def test_totals_of_stored_amounts_are_exact(spark, root):
     large = Decimal("12345678901234.1234")
     rows = spark.createDataFrame([(large, "a")], "total_sales_amount decimal(28,6), product_name string")
