@@ -444,6 +444,25 @@ FROM sales GROUP BY transaction_type, payment_method""",
 }
 
 
+_STATES = {
+    **{
+        f"cumulative_{name}": _METRICS[name]
+        for name in ("avg_order_value", "rfm", "inventory_turnover", "app_usage", "avg_session_duration")
+    },
+    "stored_gender_totals": """
+SELECT count(customer_id) FILTER (lower(gender) = 'male') AS male_count,
+       count(customer_id) FILTER (lower(gender) = 'female') AS female_count FROM sales""",
+    "stored_latest_kpis": _METRICS["kpi_summary"],
+    "stored_avg_order_value": _METRICS["avg_order_value"],
+    "cumulative_website_traffic_check": """
+SELECT count(DISTINCT customer_id) AS exact, true AS is_near FROM sales""",
+    "monetary_quantiles_check": """
+SELECT count(DISTINCT customer_id) AS customers, unnest(CAST([0, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99, 1] AS DOUBLE[])) AS share,
+       true AS is_near FROM sales""",
+    "monetary_histogram_check": """
+SELECT count(DISTINCT customer_id) AS customers, true AS is_near FROM sales""",
+}
+
 _CHECKS = {
     "website_traffic_check": """
 SELECT count(DISTINCT customer_id) AS exact, true AS is_near FROM sales""",
@@ -471,7 +490,7 @@ SELECT '{child}.{foreign}', 'repeated', count(*) FROM (SELECT {key} FROM {parent
 
 
 def oracle_sql() -> dict[str, str]:
-    texts = {**_METRICS, **_SERVING, **_CSV, **_INGEST, **_CHECKS}
+    texts = {**_METRICS, **_SERVING, **_CSV, **_INGEST, **_STATES, **_CHECKS}
     texts["insights_report"] = _INSIGHTS
     texts["csv_report"] = _CSV_REPORT
     over_sales = {name: _over_sales(select) for name, select in texts.items()}

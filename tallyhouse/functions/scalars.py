@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyhouse.schema import MONEY
+
 _EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
 
@@ -88,7 +90,8 @@ def quoted(name: str) -> Column:
 
 
 def number(df: DataFrame, name: str) -> Column:
-    """A column ready to be summed: text is read as a number, unreadable text as null."""
+    """A column ready to be summed: text is read as a decimal, unreadable text as null, so that a sum does not
+    depend on the order of the rows and no text makes it NaN."""
     if isinstance(df.schema[name].dataType, T.StringType):
-        return quoted(name).try_cast("double")
+        return quoted(name).try_cast(MONEY)
     return quoted(name)

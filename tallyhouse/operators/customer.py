@@ -80,7 +80,7 @@ def app_usage(events: DataFrame) -> DataFrame:
     """
     return events.groupBy("customer_id").agg(
         distinct_of(events, "session_id").alias("total_sessions"),
-        F.sum(number(events, "session_duration").cast("double")).alias("total_session_duration"),
+        F.sum(number(events, "session_duration")).cast("double").alias("total_session_duration"),
         count_of(events, "feature_accessed").alias("total_features_accessed"),
     )
 

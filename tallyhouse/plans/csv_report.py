@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 from tallyhouse.functions.scalars import money_text, number, percent_text, quoted, ratio
 from tallyhouse.operators.ranking import ranked
 from tallyhouse.plans.reports import FIGURES, HEADING, REMARK, figures, joined, remarks
-from tallyhouse.sources.uploads import find_roles
+from tallyhouse.sources.uploads import DAMAGED, find_roles, is_damaged
 
 # Assumed cost of a unit, and number of products in the ranking.
 UNIT_COST = 50
@@ -192,12 +192,14 @@ def _grouped(df: DataFrame, distributions: list[str]) -> DataFrame:
     rows = df.select(
         *[_role(df, role, found[role]).alias(role) for role in roles],
         *[flag.cast("int").alias(name) for name, flag in unread.items()],
+        is_damaged(df).cast("int").alias("damaged"),
     )
     for role in _NUMBERS:
         if role not in found:
             rows = rows.withColumn(role, F.lit(None).cast("double"))
             rows = rows.withColumn(f"{role}_unread", F.lit(0))
-    rows = rows.select(*distributions, *_NUMBERS, *[f"{r}_unread" for r in _NUMBERS], F.lit(1).alias("n"))
+    counted = [*[f"{r}_unread" for r in _NUMBERS], "damaged"]
+    rows = rows.select(*distributions, *_NUMBERS, *counted, F.lit(1).alias("n"))
     empty = df.sparkSession.range(1).select(
         *[F.lit(None).cast(rows.schema[name].dataType).alias(name) for name in rows.columns[:-1]],
         F.lit(0).alias("n"),
@@ -206,7 +208,7 @@ def _grouped(df: DataFrame, distributions: list[str]) -> DataFrame:
         F.sum("amount").cast("double").alias("amount"),
         F.sum("quantity").cast("double").alias("quantity"),
         F.sum("n").alias("rows"),
-        *[F.coalesce(F.sum(f"{r}_unread"), F.lit(0)).alias(f"{r}_unread") for r in _NUMBERS],
+        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in counted],
     )
     both = rows.unionByName(empty)
     if not distributions:
@@ -226,7 +228,7 @@ def _grouped(df: DataFrame, distributions: list[str]) -> DataFrame:
         "amount",
         "quantity",
         "rows",
-        *[f"{r}_unread" for r in _NUMBERS],
+        *counted,
     ).where("role IS NULL OR rows > 0")
 
 
@@ -241,7 +243,7 @@ def _entry(section: str, seq: int, metric: str, value: Column, text: Column) ->
 
 
 # The wording of the lines in this and the next function.
-def _total_entries(skipped: Iterable[str], unit_cost: float) -> list[Column]:
+def _total_entries(skipped: Iterable[str], unit_cost: float, damaged: bool) -> list[Column]:
     amount, quantity, rows = F.col("amount"), F.col("quantity"), F.col("rows")
     gross, cost, margin = _financials(amount, quantity, unit_cost)
     average, per_row = ratio(amount, rows), ratio(quantity, rows)
@@ -286,6 +288,10 @@ def _total_entries(skipped: Iterable[str], unit_cost: float) -> list[Column]:
             ),
         ],
     }
+    if damaged:
+        text = F.concat(F.lit("Rows that do not fit the header: "), F.col("damaged").cast("string"))
+        # Behind the line that lists the sections
+        entries["General Summary"] = [None, ("damaged_rows", F.col("damaged"), text)]
     return [
         _entry(
             section,
@@ -296,7 +302,9 @@ def _total_entries(skipped: Iterable[str], unit_cost: float) -> list[Column]:
         )
         for section, lines in entries.items()
         if section not in skipped
-        for place, (metric, value, text) in enumerate(lines)
+        for place, line in enumerate(lines)
+        if line is not None
+        for metric, value, text in [line]
     ]
 
 
@@ -372,7 +380,7 @@ def csv_report(
         for role, (section, entry) in _distribution_entries().items()
         if section not in skipped
     }
-    totals = _total_entries(skipped, unit_cost)
+    totals = _total_entries(skipped, unit_cost, DAMAGED in df.columns)
     if totals or distributions:
         grouped = _grouped(df, list(distributions))
         empty = "array<struct<section:int,seq:int,metric:string,value:double,text:string>>"

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tallyhouse.functions.scalars import money_shown, shown
 from tallyhouse.operators.catalogue import METRICS, REPLACE, Metric
+from tallyhouse.operators.distribution import monetary_quantiles
 from tallyhouse.plans import serving
 from tallyhouse.plans.reports import FIGURES, HEADING, figures, joined, remarks
 from tallyhouse.schema import EVENT_FIELDS, MONEY, MONEY_COLUMNS
@@ -52,11 +53,13 @@ def insights_report(
     series_rows: int | None = serving.SERIES_ROWS,
     point_rows: int | None = serving.POINT_ROWS,
     turnover_rows: int | None = serving.TURNOVER_ROWS,
+    monetary_sketches: DataFrame | None = None,
 ) -> DataFrame:
     """The report from the rows of its metrics: six lists, the key figures and the turnover.
 
     Three lists show their first rows only; None shows all. A figure that is missing prints as None,
-    key figures as zero.
+    key figures as zero. The fourth section lists the monetary value of every customer, or, where sketches of
+    them are given, quantiles, whose number does not grow with the customers.
     """
     payment = serving.payment_method_table(metrics["payment_method_counts"])
     series = serving.product_performance_series(metrics["product_performance"], series_rows)
@@ -103,7 +106,9 @@ def insights_report(
             )
             for place, word in enumerate(("Male", "Female"))
         ],
-        figures(
+        _monetary_quantiles(monetary_sketches)
+        if monetary_sketches is not None
+        else figures(
             monetary,
             4,
             nothing,
@@ -165,6 +170,17 @@ def insights_report(
     return joined(parts)
 
 
+def _monetary_quantiles(sketches: DataFrame) -> DataFrame:
+    share = F.format_number(F.col("share") * 100, 0)
+    return figures(
+        monetary_quantiles(sketches),
+        4,
+        F.format_number(F.col("share"), 2),
+        [("monetary", F.col("monetary"))],
+        _line("{} % of customers: at most {}", share, money_shown(F.col("monetary"))),
+    )
+
+
 def _line(form: str, *values: Column) -> Column:
     """The form with its places filled in."""
     texts = form.split("{}")

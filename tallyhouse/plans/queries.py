@@ -5,18 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyhouse.functions.folders import kept, own_folder
 from tallyhouse.functions.scalars import as_doubles
-from tallyhouse.operators import regression
+from tallyhouse.operators import distribution, mergeable, regression
 from tallyhouse.operators.catalogue import METRICS, TRAFFIC_EXACT, Metric
 from tallyhouse.operators.ranking import ranked
 from tallyhouse.plans import csv_report, insights, serving
 from tallyhouse.schema import BATCH_COLUMN, EVENT_FIELDS, MONEY_COLUMNS
+from tallyhouse.sinks.metrics import store_metric
 from tallyhouse.sinks.publishing import to_kafka_records, to_wire
 from tallyhouse.sources import events
+from tallyhouse.sources.metric_store import read_metric
 from tallyhouse.sources.tables import combined_sales, key_violations, sales_view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -133,6 +136,124 @@ CUMULATIVE_QUERIES: dict[str, Query] = {
 }
 
 
+def _states(spark: SparkSession, path: str, state: mergeable.State) -> DataFrame:
+    """The states that are stored after several batches, as in :func:`_by_batch`: orders, customers and moments
+    reach over batches."""
+    combined = combined_sales(spark, path, mergeable.state_metric(state, [BATCH_COLUMN]))
+    return mergeable.state_of(combined, state, by=[BATCH_COLUMN])
+
+
+def _over_batches(name: str, *ratios: str, **options) -> Query:
+    """A metric that counts distinct values, from the states of several batches."""
+
+    def run(spark: SparkSession, path: str) -> DataFrame:
+        states = _states(spark, path, mergeable.STATE_OF[name]).drop(BATCH_COLUMN)
+        return rounded(as_doubles(mergeable.over_batches(states, name, **options)), *ratios)
+
+    return run
+
+
+def _traffic_over_batches(spark: SparkSession, path: str) -> DataFrame:
+    """Customers by the merged sketches of several batches: the exact number, and whether the approximate one is
+    within 5 % of it."""
+    sales = sales_view(spark, path, ("customer_id", BATCH_COLUMN))
+    near = mergeable.traffic_over_batches(mergeable.traffic_sketch(sales, [BATCH_COLUMN]))
+    exact = _traffic_exact(spark, path).select(F.col("website_traffic").alias("exact"))
+    off = F.abs(near.select("website_traffic").scalar() - F.col("exact"))
+    return exact.withColumn("is_near", off <= 0.05 * F.col("exact"))
+
+
+STATE_QUERIES: dict[str, Query] = {
+    "cumulative_avg_order_value": _over_batches("avg_order_value", "average_order_value"),
+    "cumulative_rfm": _over_batches("rfm", "recency", as_of=AS_OF),
+    "cumulative_inventory_turnover": _over_batches("inventory_turnover", "inventory_turnover"),
+    "cumulative_app_usage": _over_batches("app_usage"),
+    "cumulative_avg_session_duration": _over_batches("avg_session_duration", "avg_session_duration"),
+    "cumulative_website_traffic_check": _traffic_over_batches,
+}
+
+
+def _two_batches(spark: SparkSession, path: str, columns: tuple[str, ...]) -> list[DataFrame]:
+    """The sales in two batches, by odd and even line numbers."""
+    sales = sales_view(spark, path, (*columns, BATCH_COLUMN))
+    return [sales.where(F.col(BATCH_COLUMN) % 2 == part).drop(BATCH_COLUMN) for part in (0, 1)]
+
+
+def _stored_append(spark: SparkSession, path: str) -> DataFrame:
+    """Two appended batches of a metric, written to a store and read back."""
+    metric, root = METRICS["gender_counts"], own_folder(spark, "store")
+    for batch_id, sales in enumerate(_two_batches(spark, path, metric.columns)):
+        store_metric(metric.compute(sales), root, metric.table, batch_id)
+    return serving.gender_totals(read_metric(spark, root, metric.table))
+
+
+def _stored_replace(spark: SparkSession, path: str) -> DataFrame:
+    """Two batches of a replaced metric, of which readers see the newest, that of all sales."""
+    metric, root = METRICS["kpi_summary"], own_folder(spark, "store")
+    first, _ = _two_batches(spark, path, metric.columns)
+    for batch_id, sales in enumerate((first, combined_sales(spark, path, metric))):
+        store_metric(metric.compute(sales), root, metric.table, batch_id, keep=2)
+    newest = serving.latest_kpis(read_metric(spark, root, metric.table, latest=True))
+    return rounded(as_doubles(newest), "avg_sales")
+
+
+def _stored_states(spark: SparkSession, path: str) -> DataFrame:
+    """States of two batches, written to a store, read back and merged."""
+    state, root = mergeable.STATE_OF["avg_order_value"], own_folder(spark, "store")
+    for batch_id, sales in enumerate(_two_batches(spark, path, state.metric.columns)):
+        store_metric(mergeable.state_of(sales, state), root, state.table, batch_id)
+    merged = mergeable.over_batches(read_metric(spark, root, state.table), "avg_order_value")
+    return rounded(as_doubles(merged), "average_order_value")
+
+
+STORE_QUERIES: dict[str, Query] = {
+    "stored_gender_totals": _stored_append,
+    "stored_latest_kpis": _stored_replace,
+    "stored_avg_order_value": _stored_states,
+}
+
+
+def _quantiles_check(spark: SparkSession, path: str) -> DataFrame:
+    """Quantiles of the customers' monetary values from merged sketches of 16 groups of customers: whether the
+    share of customers that do not exceed each is within 3 % of the share it stands for."""
+    rfm = metric_over_tables(spark, path, METRICS["rfm"], as_of=AS_OF).select("customer_id", "monetary")
+    rfm = kept(rfm.withColumn("group", F.pmod("customer_id", F.lit(16))), "rfm")
+    found = distribution.monetary_quantiles(distribution.monetary_sketch(rfm, ["group"]))
+    shares = found.agg(F.array_sort(F.collect_list(F.struct("share", "monetary"))).alias("all"))
+    each = [
+        F.count_if(F.col("monetary").cast("double") <= F.get(shares.scalar(), F.lit(i))["monetary"]).alias(f"n{i}")
+        for i in range(len(distribution.SHARES))
+    ]
+    counted = rfm.agg(F.count("*").alias("customers"), *each)
+    rows = [
+        F.struct(
+            F.lit(share).alias("share"),
+            (F.abs(F.col(f"n{i}") / F.col("customers") - share) <= 0.03).alias("is_near"),
+        )
+        for i, share in enumerate(distribution.SHARES)
+    ]
+    return counted.select("customers", F.inline(F.array(*rows)))
+
+
+def _histogram_check(spark: SparkSession, path: str) -> DataFrame:
+    """The histogram from a sketch: all customers are in it, and the largest bucket holds about as many as it does
+    by an exact count."""
+    rfm = kept(metric_over_tables(spark, path, METRICS["rfm"], as_of=AS_OF).select("monetary"), "rfm")
+    sketched = distribution.sketched_histogram(distribution.monetary_sketch(rfm), 50_000.0)
+    exact = serving.monetary_histogram(rfm, 50_000.0)
+    both = exact.withColumnRenamed("customers", "exact").join(sketched, "bucket", "full")
+    off = F.abs(F.coalesce("exact", F.lit(0)) - F.coalesce("customers", F.lit(0)))
+    return both.agg(
+        F.sum("exact").alias("customers"), (F.max(off) <= 0.04 * F.sum("exact")).alias("is_near")
+    )
+
+
+SKETCH_QUERIES: dict[str, Query] = {
+    "monetary_quantiles_check": _quantiles_check,
+    "monetary_histogram_check": _histogram_check,
+}
+
+
 def _serving(name: str, serve: Callable[[DataFrame], DataFrame], *ratios: str, **options) -> Query:
     """A dashboard query over a replaced metric, whose newest batch is the whole table."""
 
@@ -189,7 +310,7 @@ SERVING_QUERIES: dict[str, Query] = {
         "inventory_turnover", serving.inventory_table, "inventory_turnover"
     ),
     "monetary_histogram": _serving("rfm", serving.monetary_histogram, as_of=AS_OF),
-    "profitability_trend": _serving_batches("product_profitability", _trend),
+    "profitability_trend": _serving("product_profitability", _trend),
     "sample_locations": _serving("location_performance", serving.sample_locations),
     "insights_report": _insights,
 }
@@ -287,10 +408,20 @@ def _ingested(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+# The model of a session's tables and the sales it was fitted to, by application and path.
+_FITTED: dict[tuple[str, str], tuple[str, DataFrame]] = {}
+
+
 def _predictions(spark: SparkSession, path: str) -> DataFrame:
-    """The sales are kept between fit and prediction, so that they are joined once."""
-    sales = sales_view(spark, path, regression.MODEL_COLUMNS).persist(StorageLevel.DISK_ONLY)
-    return regression.predict_sales(regression.fit_sales_model(sales), sales)
+    """The sales are joined once, and the model is fitted once, stored, and loaded by every query that predicts."""
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _FITTED:
+        sales = kept(sales_view(spark, path, regression.MODEL_COLUMNS), "sales")
+        where = f"{own_folder(spark, 'model')}/model"
+        regression.fit_sales_model(sales).write().save(where)
+        _FITTED[key] = (where, sales)
+    where, sales = _FITTED[key]
+    return regression.predict_sales(PipelineModel.load(where), sales)
 
 
 def _mse(spark: SparkSession, path: str) -> DataFrame:
@@ -341,6 +472,9 @@ def all_queries() -> dict[str, Query]:
     return {
         **METRIC_QUERIES,
         **CUMULATIVE_QUERIES,
+        **STATE_QUERIES,
+        **STORE_QUERIES,
+        **SKETCH_QUERIES,
         **SERVING_QUERIES,
         **CSV_QUERIES,
         **INGEST_QUERIES,
