@@ -32,6 +32,9 @@ def parse_payload(messages: DataFrame, schema: T.StructType = SALES_EVENT) -> Da
     every field came out null is the text looked at again, to tell an event of bad fields from
     text that is no event at all.
 
+    ``lost`` names the fields of an event that were lost or changed: the text has a value there of the wrong
+    type, or an amount that the decimals of this package do not hold exactly.
+
     The event passes through a one-element ``explode``: a filter on its fields would otherwise be
     moved below the projection and parse the text again for each field it tests.
     """
@@ -50,7 +53,21 @@ def parse_payload(messages: DataFrame, schema: T.StructType = SALES_EVENT) -> Da
     malformed = F.when(F.col("event").isNull(), True).when(
         suspect, F.json_object_keys("payload").isNull()
     )
-    return parsed.withColumn("malformed", F.coalesce(malformed, F.lit(False)))
+    marked = parsed.withColumn("malformed", F.coalesce(malformed, F.lit(False)))
+    lost = F.array_compact(F.array(*[F.when(_lost(field), F.lit(field.name)) for field in schema.fields]))
+    return marked.withColumn("lost", F.when(F.col("malformed"), F.array().cast("array<string>")).otherwise(lost))
+
+
+def _lost(field: T.StructField) -> Column:
+    """Whether a field of the event is not what the text has there. The text is looked at again only where
+    Spark found some field of the wrong type."""
+    value = F.col("event")[field.name]
+    in_text = F.get_json_object("payload", f"$['{field.name}']").isNotNull()
+    lost = F.when(F.col(f"event.{_CORRUPT}").isNotNull() & value.isNull(), in_text)
+    if SNAKE_NAMES.get(field.name) in MONEY_COLUMNS:
+        kept = value.try_cast(MONEY).cast("double")
+        lost = lost.when(value.isNotNull(), ~kept.eqNullSafe(value.cast("double")))
+    return F.coalesce(lost, F.lit(False))
 
 
 def event_schema(columns: Iterable[str] | None = None) -> T.StructType:
@@ -83,16 +100,20 @@ def rejects(messages: DataFrame, schema: T.StructType = SALES_EVENT) -> DataFram
     return parse_payload(messages, schema).where("malformed").select("payload")
 
 
+def losses(parsed: DataFrame) -> DataFrame:
+    """Parsed messages of which a field was lost or changed: ``payload`` and the names in ``lost``."""
+    return parsed.where(F.size("lost") > 0).select("payload", "lost")
+
+
+def loss_counts(schema: T.StructType = SALES_EVENT) -> dict[str, Column]:
+    """Counters to observe while messages are parsed: all, malformed ones, and those that lost each field."""
+    counts = {"messages": F.count(F.lit(1)), "malformed": F.count_if("malformed")}
+    return counts | {f.name: F.count_if(F.array_contains("lost", f.name)) for f in schema.fields}
+
+
 def partly_unreadable(messages: DataFrame, schema: T.StructType = SALES_EVENT) -> DataFrame:
-    """Events kept although at least one of their fields was lost or changed, as ``payload``: it had
-    the wrong type, or it is an amount that the decimals of this package do not hold exactly."""
-    bad_field = F.col(f"event.{_CORRUPT}").isNotNull()
-    for field in schema.fields:
-        if SNAKE_NAMES.get(field.name) in MONEY_COLUMNS:
-            amount = F.col("event")[field.name]
-            kept = amount.try_cast(MONEY).cast("double")
-            bad_field = bad_field | (amount.isNotNull() & ~kept.eqNullSafe(amount.cast("double")))
-    return parse_payload(messages, schema).where(bad_field & ~F.col("malformed")).select("payload")
+    """Events kept although at least one of their fields was lost or changed, as ``payload``."""
+    return losses(parse_payload(messages, schema)).select("payload")
 
 
 def with_decimal_money(events: DataFrame) -> DataFrame:
