@@ -25,7 +25,7 @@ def to_kafka_records(df: DataFrame, key_col: str) -> DataFrame:
 def publish_events(events: DataFrame, fmt: str = "kafka", **options: str) -> None:
     """Write events to a topic, keyed by their sales id. Needs the connector of ``fmt``."""
     records = to_kafka_records(to_wire(events), WIRE_NAMES["sales_id"])
-    records.write.format(fmt).options(**options).save()
+    records.write.format(fmt).options(**options).mode("append").save()
 
 
 def write_report(report: DataFrame, path: str) -> None:
