@@ -3,7 +3,7 @@
 import pytest
 
 from tallyhouse.plans import csv_report as report
-from tallyhouse.sources.uploads import find_column, find_roles, read_sales_csv
+from tallyhouse.sources.uploads import DAMAGED, damaged_rows, find_column, find_roles, read_sales_csv
 
 HEADER = "date,status,SKU,Courier Status,Qty,currency,AMOUNT,fulfilled-by"
 ROWS = [
@@ -130,7 +130,7 @@ def test_missing_column_skips_its_sections_only(table, column, sections):
     df = report.csv_report(table(*without(column)))
     skipped = {row.section for row in df.where("text LIKE '%not found, skipping%'").collect()}
     assert skipped == sections
-    assert {section for section, _ in figures(df)} == {1, 2, 3, 4, 5, 7, 8, 9} - sections
+    assert {section for section, _ in figures(df)} == {1, 2, 3, 4, 5, 7, 8, 9, 10} - sections
 
 
 def test_section_without_its_column_says_so(table):
@@ -140,7 +140,7 @@ def test_section_without_its_column_says_so(table):
 
 def test_table_without_any_known_column(table):
     df = report.csv_report(table("a,b", ["1,2"]))
-    assert figures(df) == {}
+    assert figures(df) == {(10, "damaged_rows"): {None: 0.0}}
 
 
 def test_header_only(table):
@@ -174,3 +174,51 @@ def test_values_that_are_no_number_are_counted(table):
 def test_report_reads_the_table_twice(table):
     plan = report.csv_report(table())._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan csv") == 2
+
+
+def test_rows_that_do_not_fit_the_header_are_kept_and_counted(spark, tmp_path):
+    """Short, long and broken rows."""
+    path = tmp_path / "upload.csv"
+    lines = ["Date,Qty,Amount", "d1,1,10", "d2,2", "d3,3,30,extra", "", 'd4,"4"x,40', "d5,5,n/a", "d6"]
+    path.write_text("\n".join(lines) + "\n")
+    df = read_sales_csv(spark, str(path))
+    assert sorted(r[DAMAGED] for r in damaged_rows(df).collect()) == ["d2,2", "d3,3,30,extra", "d6"]
+    found = figures(report.csv_report(df))
+    assert found[10, "damaged_rows"] == {None: 3.0}
+    assert found[1, "unreadable_amounts"] == {None: 1.0}
+    assert found[1, "total_sales"] == {None: 80.0}
+    assert found[7, "unreadable_quantities"] == {None: 1.0}
+    sound = tmp_path / "sound.csv"
+    sound.write_text("\n".join(lines[:2]))
+    assert figures(report.csv_report(read_sales_csv(spark, str(sound))))[10, "damaged_rows"] == {None: 0.0}
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    path = tmp_path / "upload.csv"
+    path.write_text('"Order\nDate",Qty,Amount\n"one\ntwo",1,"1,5"\n"say ""hi""",2,3\n')
+    df = read_sales_csv(spark, str(path), line_breaks=True)
+    assert df.columns[:3] == ["Order\nDate", "Qty", "Amount"]
+    assert sorted(r[0] for r in df.collect()) == ["one\ntwo", 'say "hi"']
+    assert damaged_rows(df).count() == 0
+
+
+def test_files_with_different_headers_meet_by_name(spark, tmp_path):
+    folder = tmp_path / "uploads"
+    (folder / "more").mkdir(parents=True)
+    (folder / "a.csv").write_text("Amount,Qty,SKU\n1,2,x\n")
+    (folder / "b.csv").write_text("﻿sku,amount\nx,10.25\ny\n")
+    (folder / "more" / "c.csv").write_text("Qty,Amount,SKU,Qty\n5,100,z,6\n")
+    (folder / "_hidden.csv").write_text("Amount\n9999\n")
+    (folder / "empty.csv").write_text("")
+    df = read_sales_csv(spark, str(folder))
+    sums = {r.sku: (r.total_quantity, r.total_sales) for r in report.csv_top_skus(df).collect()}
+    assert sums == {"x": (2.0, 11.25), "y": (None, None), "z": (None, 100.0)}
+    assert [r[DAMAGED] for r in damaged_rows(df).collect()] == ["y"]
+    assert read_sales_csv(spark, str(folder / "*.csv")).count() == 3
+
+
+def test_amounts_are_summed_as_decimals(table):
+    """No total depends on the order of the rows, and no cell makes a total NaN."""
+    exact = table(rows=[*["d,s,A,c,1,INR,0.1,e"] * 10, "d,s,A,c,1,INR,NaN,e", "d,s,A,c,1,INR,1e3,e"])
+    assert rows(report.csv_sales_overview(exact))[0][0] == 1001.0
+    assert figures(report.csv_report(exact))[1, "unreadable_amounts"] == {None: 1.0}
