@@ -12,8 +12,11 @@ Queries and rows meet in cells of one block of queries and one shard, both of bo
 side is broadcast and no task holds more than a cell.
 
 Vectors that are null, hold a null or a non-finite component, or have a null id take no part; neither do
-empty ones. Shorter vectors lack the last terms. Rows that repeat an id count once, with the
-smallest vector. Equal scores go to the smaller id. No queries or no candidates give no rows.
+empty ones. Shorter vectors lack the last terms. Rows are told apart by id and vector: every row is a
+candidate, also where it repeats an id or another row, and rows of one id that ask are one query, answered by
+the best scores of any of them. Candidates with the id of the query are left out. Equal scores go to the smaller
+id. Weights and scores beyond 64 bits end the job with an error. No queries or no candidates give no rows.
+Further columns are not read.
 """
 
 from __future__ import annotations
@@ -37,7 +40,13 @@ def as_terms(vector: Column, scale: int) -> Column:
     usable = F.forall(
         values, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))
     )
-    weights = F.transform(values, lambda x: F.floor(F.lit(float(scale)) * x).cast("long"))
+    too_large = F.raise_error(F.lit("a weight beyond 64 bits")).cast("long")
+    weights = F.transform(
+        values,
+        lambda x: F.when(F.abs(x * scale) < float(2**63), F.floor(F.lit(float(scale)) * x).cast("long")).otherwise(
+            too_large
+        ),
+    )
     return F.when(usable & (F.size(vector) > 0), weights)
 
 
@@ -95,10 +104,12 @@ def top_k(
     vector_column: str = "embedding",
     scale: int = 1024,
     k: int = 10,
-    queries_per_block: int = 512,
+    queries_per_block: int = 4096,
     rows_per_shard: int = 16384,
 ) -> DataFrame:
-    """query_id, rank from 1, id and score of the k best rows for each query row, its own excluded."""
+    """query_id, rank from 1, id and score of the k best rows for each query id, rows of that id excluded.
+
+    Equal rows are counted before they are dealt to cells, and at most k of them can be among the k best."""
     rows = (
         vectors.where(F.col(id_column).isNotNull())
         .select(
@@ -107,9 +118,9 @@ def top_k(
             as_terms(F.col(vector_column), scale).alias("terms"),
         )
         .where(F.col("terms").isNotNull())
-        .groupBy("id")
-        .agg(F.min(F.struct("terms", "asks")).alias("first"))
-        .select("id", "first.terms", "first.asks")
+        .groupBy("id", "terms")
+        .agg(F.max("asks").alias("asks"), F.count("*").alias("n"))
+        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.least(F.col("n"), F.lit(k)).cast("int"))))
     )
     n_rows, n_queries, width = (
         vectors.where(F.col(id_column).isNotNull())
@@ -129,9 +140,9 @@ def top_k(
         if len(asked) and len(held):
             queries, postings = _matrix(asked["terms"], width), _matrix(held["terms"], width)
             ids = held["id"].to_numpy(dtype=np.int64)
-            largest = float(np.abs(queries).max()) * float(np.abs(postings).max()) * width
-            if largest < EXACT:
-                queries, postings = queries.astype(np.float64), postings.astype(np.float64)
+            largest = float(np.abs(queries.astype(float)).max()) * float(np.abs(postings.astype(float)).max()) * width
+            kind = np.float64 if largest < EXACT else np.int64 if largest < 2**62 else object
+            queries, postings = queries.astype(kind), postings.astype(kind)
             for own, query in zip(asked["id"].to_numpy(), queries, strict=True):
                 best_ids, best = max_score(query, own, ids, postings, k)
                 found["query_id"].append(np.full(len(best), own))
@@ -144,14 +155,14 @@ def top_k(
     asked = rows.where("asks").select(
         "id",
         "terms",
-        F.pmod(F.xxhash64("id"), F.lit(n_blocks)).alias("block"),
+        F.pmod(F.xxhash64("id", "terms", "copy"), F.lit(n_blocks)).alias("block"),
         F.explode(_numbers(n_shards)).alias("shard"),
     )
     held = rows.select(
         "id",
         "terms",
         F.explode(_numbers(n_blocks)).alias("block"),
-        F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(n_shards)).alias("shard"),
+        F.pmod(F.xxhash64(F.lit(1), "id", "terms", "copy"), F.lit(n_shards)).alias("shard"),
     )
     cells = (
         asked.groupBy("block", "shard")
