@@ -5,16 +5,20 @@ Three kinds of evidence are combined in log space:
 * the text: likelihoods of its letter pairs under each language, from counts over all labelled texts;
 * the declared language (of the markup, or a column): how often texts of a language declare what they do;
 * where it is from: a prior that is smoothed level by level, host towards domain, domain towards address
-  suffix, suffix towards all. The suffix is a level of this prior and not counted a second time.
+  suffix, suffix towards all. The suffix is a level of this prior and not counted a second time. A row's own
+  posterior is taken out of the sums of every level before they become its prior, so its text counts once.
 
 All tables behind it are grouped aggregations over all rows: pair counts by language (at most 65,536 for each),
 declarations by language, and sums of the text-only posteriors by host, domain and suffix, which are
-joined back by key, never collected.
+joined back by key, never collected. The languages are all those that label a text; more than MOST_LANGUAGES
+end the job with an error.
 
 A text without letters has no text evidence; where nothing else speaks, the prior decides. `n_pairs` is the
 amount of text evidence. Null and empty texts have none; null hosts share one host; declarations that are
-null or no known language are no evidence. Repeated rows are judged alike. An empty table gives no rows, no labelled
-text leaves equal likelihoods.
+null or no known language are no evidence. Repeated rows are judged alike; each counts in the sums. Equal
+probabilities go to the language that sorts first. Texts of any length are read whole, markup in one pass. An
+empty table gives no rows; without any labelled text every row is of the one language `und`, undetermined. Columns
+other than the named ones are not read.
 """
 
 from __future__ import annotations
@@ -28,12 +32,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.text_arrays import words_of
-from tallyhouse.llm.warc import page_text
+from tallyhouse.llm.warc import html_language, page_text
 from tallyhouse.llm.work_tables import WorkTables
 
-LANGUAGES = ("de", "en", "es", "fr")
+#: Languages of which the table of pairs, which every task holds, may be (256 KB for each).
+MOST_LANGUAGES = 256
+UNDETERMINED = "und"
 PAIRS = 1 << 16
-_DECLARED = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]{2,3})", re.I)
+_CODE = re.compile(r"[A-Za-z]{2,3}")
+#: Labels below a two-letter suffix under which names are registered, as in co.uk.
+_SECOND_LEVEL = ("ac", "co", "com", "edu", "gob", "gov", "net", "or", "org")
 
 #: Bytes of letters: a-z after lower-casing, and all of characters beyond ASCII. Others read as a blank.
 _LETTER = np.full(256, 0x20, dtype=np.uint8)
@@ -57,7 +65,22 @@ def _pairs(words) -> tuple[np.ndarray, np.ndarray]:
     return codes[place], np.searchsorted(place, begin)
 
 
-def pair_counts(texts: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> DataFrame:
+def declared_language(html: str) -> str | None:
+    """Letters that begin the code in the markup, in lower case."""
+    found = _CODE.match(html_language(html) or "")
+    return found[0].lower() if found else None
+
+
+def languages_of(labelled: DataFrame) -> tuple[str, ...]:
+    """All languages that label a text."""
+    named = labelled.where(F.col("text").isNotNull() & (F.trim("lang") != "")).groupBy("lang").count()
+    found = sorted(row["lang"] for row in named.limit(MOST_LANGUAGES + 1).collect())
+    if len(found) > MOST_LANGUAGES:
+        raise ValueError(f"labelled texts have more than {MOST_LANGUAGES} languages")
+    return tuple(found) or (UNDETERMINED,)
+
+
+def pair_counts(texts: DataFrame, languages: tuple[str, ...]) -> DataFrame:
     """(lang, pair, n) over all rows of (lang, text) whose lang is one of the languages."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,7 +105,7 @@ def pair_counts(texts: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> Dat
     )
 
 
-def likelihoods(counts: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> np.ndarray:
+def likelihoods(counts: DataFrame, languages: tuple[str, ...]) -> np.ndarray:
     """Log probability of each pair for each language (pairs x languages), unseen ones as half a time seen.
     The table has a row for each language and pair, so collecting it is bounded."""
     table = np.full((PAIRS, len(languages)), 0.5)
@@ -92,12 +115,12 @@ def likelihoods(counts: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> np
 
 
 def host_levels(host: Column) -> tuple[Column, Column]:
-    """Registered domain (the last two labels) and suffix (the last) of a host without port."""
+    """Registered domain (the last two labels, three below suffixes like co.uk) and suffix (the last label) of a
+    host without port."""
     labels = F.split(F.regexp_replace(host, ":[0-9]+$", ""), r"\.")
-    return (
-        F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2), "."),
-        F.element_at(labels, -1),
-    )
+    second = F.get(labels, F.size(labels) - 2).isin(*_SECOND_LEVEL) & (F.length(F.element_at(labels, -1)) == 2)
+    first = F.greatest(F.size(labels) - F.when(second, 2).otherwise(1), F.lit(1))
+    return F.array_join(F.slice(labels, first, F.size(labels)), "."), F.element_at(labels, -1)
 
 
 def text_evidence(rows: DataFrame, table: np.ndarray, text_weight: float, *, markup: bool) -> DataFrame:
@@ -109,8 +132,7 @@ def text_evidence(rows: DataFrame, table: np.ndarray, text_weight: float, *, mar
             declared = batch.column("declared")
             if markup:
                 pages = [t or "" for t in batch.column("text").to_pylist()]
-                found = [_DECLARED.search(p) for p in pages]
-                declared = pa.array([m[1].lower() if m else None for m in found], pa.string())
+                declared = pa.array(map(declared_language, pages), pa.string())
                 text = pa.array([page_text(p) for p in pages], pa.large_string())
                 batch = batch.set_column(batch.schema.get_field_index("text"), "text", text)
             at = 0
@@ -143,7 +165,7 @@ def _normalized(logs: Column) -> Column:
 
 
 def fuse(
-    evidence: DataFrame, work: WorkTables, *, languages: tuple[str, ...] = LANGUAGES, smoothing: float = 20.0
+    evidence: DataFrame, work: WorkTables, *, languages: tuple[str, ...], smoothing: float = 20.0
 ) -> DataFrame:
     """evidence with language, probability, text_language and posterior (one number for each language)."""
     k = len(languages)
@@ -165,22 +187,30 @@ def fuse(
 
     hosts = work.keep(sums("host", "domain", "suffix"), "hosts")
 
-    def level(*keys: str) -> DataFrame:
+    def level(*keys: str, name: str) -> DataFrame:
         each = [F.sum(F.get("sums", F.lit(i))) for i in range(k)]
-        return hosts.groupBy(*keys).agg(F.array(*each).alias("sums"))
+        return hosts.groupBy(*keys).agg(F.array(*each).alias(name))
+
+    everywhere = level(name="all").first()["all"]
+    domains = level("domain", "suffix", name="of_domain").join(level("suffix", name="of_suffix"), "suffix")
+    levels = hosts.join(domains.drop("suffix"), "domain").select(
+        "host", F.col("sums").alias("of_host"), "of_domain", "of_suffix"
+    )
+    own = F.coalesce("by_text", F.array(*[F.lit(0.0)] * k))
 
-    def smoothed(own: Column, above: Column) -> Column:
-        total = F.aggregate(own, F.lit(0.0), lambda a, x: a + x)
-        return F.transform(F.arrays_zip(own.alias("o"), above.alias("p")), lambda z: (z.o + smoothing * z.p) / (total + smoothing))
+    def smoothed(sums: Column, above: Column) -> Column:
+        """Shares of the other rows of a level, drawn towards those of the level above."""
+        others = F.transform(
+            F.arrays_zip(sums.alias("s"), own.alias("o")), lambda z: F.greatest(z.s - z.o, F.lit(0.0))
+        )
+        total = F.aggregate(others, F.lit(0.0), lambda a, x: a + x) + smoothing
+        return F.transform(
+            F.arrays_zip(others.alias("n"), above.alias("p")), lambda z: (z.n + smoothing * z.p) / total
+        )
 
-    overall = np.array([x or 0.0 for x in level().first()["sums"]]) + smoothing / k
-    above = F.array(*map(F.lit, (overall / overall.sum()).tolist()))
-    priors = level("suffix").withColumn("prior", smoothed(F.col("sums"), above))
-    priors = priors.select("suffix", F.col("prior").alias("above"))
-    priors = level("domain", "suffix").join(priors, "suffix").withColumn("prior", smoothed(F.col("sums"), F.col("above")))
-    priors = priors.select("domain", F.col("prior").alias("above"))
-    priors = hosts.join(priors, "domain").withColumn("prior", smoothed(F.col("sums"), F.col("above")))
-    priors = priors.select("host", "prior")
+    prior = F.array(*[F.lit(1 / k)] * k)
+    for sums_of in (F.array(*[F.lit(x or 0.0) for x in everywhere]), *map(F.col, ("of_suffix", "of_domain", "of_host"))):
+        prior = smoothed(sums_of, prior)
 
     # How texts of each language declare theirs: languages x languages numbers
     declarations = np.full((k, k), 0.5)
@@ -192,7 +222,7 @@ def fuse(
     for d, language in enumerate(languages):
         spoken = F.when(F.col("known") == language, F.array(*map(F.lit, logs[:, d].tolist()))).otherwise(spoken)
     fused = F.transform(
-        F.arrays_zip(F.col("log_text").alias("t"), spoken.alias("d"), F.col("prior").alias("p")),
+        F.arrays_zip(F.col("log_text").alias("t"), spoken.alias("d"), prior.alias("p")),
         lambda z: z.t + z.d + F.log(z.p),
     )
     names = F.array(*map(F.lit, languages))
@@ -201,22 +231,23 @@ def fuse(
         return F.element_at(names, F.array_position(p, F.array_max(p)).cast("int"))
 
     return (
-        seen.join(priors, "host")
+        seen.join(levels, "host")
         .withColumn("posterior", _normalized(fused))
         .withColumn("language", best(F.col("posterior")))
         .withColumn("probability", F.array_max("posterior"))
         .withColumn("text_language", F.when(F.col("n_pairs") > 0, best(F.col("by_text"))))
-        .drop("by_text", "known", "domain", "suffix", "prior")
+        .drop("by_text", "known", "domain", "suffix", "of_host", "of_domain", "of_suffix")
     )
 
 
 def identify(
-    rows: DataFrame, labelled: DataFrame, *, markup: bool, languages: tuple[str, ...] = LANGUAGES,
+    rows: DataFrame, labelled: DataFrame, *, markup: bool, languages: tuple[str, ...] | None = None,
     text_weight: float = 0.2, smoothing: float = 20.0,
 ) -> DataFrame:
     """Language of every row of (row_id, text, host, declared), text likelihoods fitted to all rows of
     labelled (lang, text). text_weight tempers the pairs, which are not independent."""
     work = WorkTables(rows.sparkSession, "language-id")
+    languages = languages or languages_of(labelled)
     table = likelihoods(pair_counts(labelled, languages), languages)
     evidence = work.keep(text_evidence(rows, table, text_weight, markup=markup), "evidence")
     return fuse(evidence, work, languages=languages, smoothing=smoothing)
