@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 import re
 
-from tallyhouse.llm.url_filter import judge_urls
+from tallyhouse.llm.url_filter import OpenRules, judge_urls
 
 
 def brute(url, rules):
@@ -32,11 +32,37 @@ def test_equals_brute_force(spark):
     table = spark.createDataFrame(rows, "page_id long, url string, host string, path string")
     with_bad = [*rules, (None, "/", "block"), ("com", None, "block"), ("a.com", "/", "block")]
     held = spark.createDataFrame(with_bad, "host string, path string, verdict string")
-    got = judge_urls(table, held, rows_per_group=7).collect()
+    got = judge_urls(table, held, ranges=7).collect()
     want = [(i, *brute(u, rules)) for i, u, _, _ in rows]
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
 
 
+def test_hosts_nest_on_the_stack():
+    rules = OpenRules()
+    rules.add("com\x01", "/", "com/", "allow")
+    rules.add("com\x01example\x01", "/en/", "example.com/en/", "block")
+    rules.add("com\x01example\x01www\x01", "/en/", "www.example.com/en/", "allow")
+    assert rules.find("com\x01example\x01www\x01", "/en/x") == ("www.example.com/en/", "allow")
+    assert [host.key.count("\x01") for host in rules.stack] == [1, 2, 3]
+    assert rules.find("com\x01example\x01www\x01m\x01", "/x") == ("com/", "allow") and len(rules.stack) == 3
+    assert rules.find("com\x01example\x01wwx\x01", "/en/") == ("example.com/en/", "block") and len(rules.stack) == 2
+    assert rules.find("com\x01examples\x01", "/en/") == ("com/", "allow") and len(rules.stack) == 1
+    assert rules.find("net\x01", "/") is None and not rules.stack
+
+
+def test_a_hot_host_over_many_ranges(spark):
+    """Its rules, and those of its parents, are open in every range it is spread over."""
+    draw = random.Random(4)
+    rules = [("hot.com", f"/{'a' * n}", draw.choice(["allow", "block"])) for n in range(30)]
+    rules += [("com", "/b", "block"), ("com", "/ab", "allow"), ("x.hot.com", "/a", "allow"), ("hot.co", "/", "block")]
+    urls = [f"http://{draw.choice(['hot.com', 'hot.com', 'hot.com', 'x.hot.com', 'z.com', 'hot.co'])}/" + "".join(draw.choices("ab", k=draw.randrange(12))) for _ in range(600)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    held = spark.createDataFrame(rules, "host string, path string, verdict string")
+    for ranges in (1, 16):
+        got = sorted(map(tuple, judge_urls(pages, held, ranges=ranges).collect()))
+        assert got == [(i, *brute(u, rules)) for i, u in enumerate(urls)]
+
+
 def test_block_wins_and_empty_tables(spark):
     rules = spark.createDataFrame([("a", "/", "allow"), ("a", "/", "block")], "host string, path string, verdict string")
     pages = spark.createDataFrame([(1, "x://a/")], "page_id long, url string")
