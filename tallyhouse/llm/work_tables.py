@@ -1,40 +1,18 @@
 """Intermediate tables in the folder that all executors and the driver share.
 
 A job of several passes writes what the next pass reads. Such a table lies below `spark.checkpoint.dir`, so
-a lost executor costs at most the tasks it was running. Only where the setting is absent (tests on one
-machine) a temporary folder of this machine takes its place.
+a lost executor costs at most the tasks it was running.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
-from functools import lru_cache
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyhouse.functions.folders import reach_workers, shared_folder
 
-@lru_cache(maxsize=1)
-def _own_folder() -> str:
-    return tempfile.mkdtemp(prefix="run-")
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one where the cluster names none."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    return (named or _own_folder()).rstrip("/")
-
-
-def reach_workers(spark: SparkSession) -> None:
-    """Let Python workers on this machine find the package where the driver has it. On a cluster it is
-    installed, or shipped with --py-files."""
-    root = str(Path(__file__).resolve().parents[2])
-    environment = spark.sparkContext.environment
-    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
-    if root not in paths:
-        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+__all__ = ["WorkTables", "reach_workers", "shared_folder"]
 
 
 class WorkTables:
