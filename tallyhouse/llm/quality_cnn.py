@@ -1,9 +1,9 @@
 """Quality score by a byte-level convolutional network in numpy.
 
-Every byte has a learned vector, and one more input tells whether its word repeats the word before. Filters of
-`WIDTH` bytes slide over the whole text in steps of half their width. Each filter's largest response within a
-chunk of `CHUNK` bytes, chunks overlapping by half, is that chunk's feature; their largest and their mean over
-all chunks of the text go through a logistic layer to one probability.
+Every byte has a learned vector. Filters of `WIDTH` bytes slide over the whole text in steps of half their width.
+Each filter's largest response within a chunk of `CHUNK` bytes, chunks overlapping by half, is that chunk's
+feature. The chunks' features are combined by their largest and their mean over all chunks of the text, and go
+through a logistic layer to one probability.
 
 The network is fitted with Adam on at most `sample_rows` labelled documents, those with the smallest digests
 of their ids, whole texts; the bound keeps fitting on the driver small and does not grow with the corpus. The
@@ -27,15 +27,14 @@ from pyspark.sql import functions as F
 
 from tallyhouse.llm.text_arrays import Words, words_of
 
-VECTOR, WIDTH, CHUNK, FILTERS = 8, 8, 512, 24
+VECTOR, WIDTH, CHUNK, FILTERS = 8, 8, 256, 32
 STEP = WIDTH // 2
 #: Filter positions in half a chunk.
 HALF = CHUNK // 2 // STEP
-INPUTS = VECTOR + 1
 
 
 class Network(NamedTuple):
-    """vectors: byte x VECTOR; filters: WIDTH * INPUTS x FILTERS; bias per filter; weights: 2 * FILTERS + 1."""
+    """vectors: byte x VECTOR; filters: WIDTH * VECTOR x FILTERS; bias per filter; weights: 2 * FILTERS + 1."""
 
     vectors: np.ndarray
     filters: np.ndarray
@@ -48,45 +47,39 @@ class Signal(NamedTuple):
     first[i + 1]."""
 
     data: np.ndarray
-    repeats: np.ndarray
     first: np.ndarray
 
 
 def signal_of(words: Words) -> Signal:
     """The input of a chunk of texts."""
-    counts = np.diff(words.first)
     sizes = np.array([len(t.as_buffer()) if t.is_valid else 0 for t in words.rows.column("text")])
     begin = np.append(0, np.cumsum(sizes))
     halves = np.maximum(1, -(-(sizes + WIDTH) // (HALF * STEP)))
     first = np.append(0, np.cumsum(halves))
     data = np.zeros(int(first[-1]) * HALF * STEP, dtype=np.uint8)
-    repeats = np.zeros(len(data) + 1, dtype=np.int32)
-    shift = first[:-1] * HALF * STEP - begin[:-1]
     for i, size in enumerate(sizes.tolist()):
         to = int(first[i]) * HALF * STEP
         data[to : to + size] = words.data[begin[i] : begin[i] + size]
-    text = np.repeat(np.arange(len(counts)), counts)
-    same = np.zeros(len(text), dtype=bool)
-    same[1:] = (words.hash[1:] == words.hash[:-1]) & (text[1:] == text[:-1])
-    again = np.flatnonzero(same)
-    np.add.at(repeats, words.start[again] + shift[text[again]], 1)
-    np.add.at(repeats, words.end[again] + shift[text[again]], -1)
-    return Signal(data, np.cumsum(repeats[:-1]).astype(np.float32), first)
+    return Signal(data, first)
 
 
 def _inputs(net: Network, signal: Signal) -> np.ndarray:
-    """A row for each step: STEP bytes of INPUTS numbers."""
-    x = np.empty((len(signal.data), INPUTS), dtype=np.float32)
-    x[:, :VECTOR] = net.vectors[signal.data]
-    x[:, VECTOR] = signal.repeats
-    return x.reshape(-1, STEP * INPUTS)
+    """A row for each step: STEP bytes of VECTOR numbers."""
+    return net.vectors[signal.data].reshape(-1, STEP * VECTOR)
 
 
-def _responses(net: Network, steps: np.ndarray) -> np.ndarray:
-    """Filter responses at every step; the window is the step and the one behind it."""
-    own, following = net.filters[: STEP * INPUTS], net.filters[STEP * INPUTS :]
+def _last_steps(first: np.ndarray) -> np.ndarray:
+    """The last step of each text."""
+    return first[1:] * HALF - 1
+
+
+def _responses(net: Network, steps: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Filter responses at every step; the window is the step and the one behind it, none behind a text's last."""
+    own, following = net.filters[: STEP * VECTOR], net.filters[STEP * VECTOR :]
+    behind = steps[1:] @ following
+    behind[last[last < len(behind)]] = 0
     out = steps @ own
-    out[:-1] += steps[1:] @ following
+    out[:-1] += behind
     return out
 
 
@@ -105,7 +98,7 @@ def _forward(net: Network, signal: Signal) -> tuple[np.ndarray, ...]:
     n_halves = int(signal.first[-1])
     half_max = np.empty((n_halves, FILTERS), dtype=np.float32)
     half_at = np.empty((n_halves, FILTERS), dtype=np.int64)
-    responses = _responses(net, steps).reshape(n_halves, HALF, FILTERS)
+    responses = _responses(net, steps, _last_steps(signal.first)).reshape(n_halves, HALF, FILTERS)
     half_at = responses.argmax(axis=1)
     half_max = np.take_along_axis(responses, half_at[:, None, :], axis=1)[:, 0, :]
     left, right, start = _chunk_pairs(signal.first)
@@ -128,20 +121,19 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 def scores_of(net: Network, signal: Signal) -> np.ndarray:
     """Probabilities of the texts. Long signals are taken in parts, with the same result."""
     n_halves, part = int(signal.first[-1]), 2048
-    size = HALF * STEP
+    size, ends = HALF * STEP, _last_steps(signal.first)
     half_max = np.empty((n_halves, FILTERS), dtype=np.float32)
     for at in range(0, n_halves, part):
         stop = min(n_halves, at + part)
         # The window of the last step reaches into the next part
         piece = Signal(
             np.append(signal.data[at * size : stop * size], np.zeros(STEP, np.uint8)),
-            np.append(signal.repeats[at * size : stop * size], np.zeros(STEP, np.float32)),
             signal.first,
         )
         if stop < n_halves:
             piece.data[-STEP:] = signal.data[stop * size : stop * size + STEP]
-            piece.repeats[-STEP:] = signal.repeats[stop * size : stop * size + STEP]
-        responses = _responses(net, _inputs(net, piece))[:-1]
+        last = ends[(ends >= at * HALF) & (ends < stop * HALF)] - at * HALF
+        responses = _responses(net, _inputs(net, piece), last)[:-1]
         half_max[at:stop] = responses.reshape(stop - at, HALF, FILTERS).max(axis=1)
     left, right, start = _chunk_pairs(signal.first)
     hidden = np.maximum(np.maximum(half_max[left], half_max[right]) + net.bias, 0)
@@ -163,30 +155,36 @@ def _gradients(net: Network, signal: Signal, labels: np.ndarray) -> list[np.ndar
     d_chunk = np.where(hidden > 0, d_hidden, 0).astype(np.float32)
     d_filters = np.zeros_like(net.filters)
     d_vectors = np.zeros_like(net.vectors)
-    last = len(steps) - 1
+    is_last = np.zeros(len(steps), dtype=bool)
+    is_last[_last_steps(signal.first)] = True
     for f in range(FILTERS):
         at = np.flatnonzero(d_chunk[:, f])
         if not len(at):
             continue
         g, p = d_chunk[at, f], place[at, f]
-        window = np.concatenate([steps[p], np.where((p < last)[:, None], steps[np.minimum(p + 1, last)], 0)], axis=1)
+        ends = is_last[p]
+        behind = np.where(ends[:, None], 0, steps[np.minimum(p + 1, len(steps) - 1)])
+        window = np.concatenate([steps[p], behind], axis=1)
         d_filters[:, f] = g @ window
-        spread = net.filters[:, f].reshape(WIDTH, INPUTS)[:, :VECTOR]
+        spread = net.filters[:, f].reshape(WIDTH, VECTOR)
         bytes_at = np.minimum(p[:, None] * STEP + np.arange(WIDTH), len(signal.data) - 1)
         weight = np.zeros((256, WIDTH), dtype=np.float32)
-        np.add.at(weight, (signal.data[bytes_at], np.arange(WIDTH)), g[:, None])
+        inside = np.where(ends[:, None] & (np.arange(WIDTH) >= STEP), 0, g[:, None])
+        np.add.at(weight, (signal.data[bytes_at], np.arange(WIDTH)), inside)
         d_vectors += weight @ spread
     return [d_vectors, d_filters, d_chunk.sum(axis=0), (features.T @ error).astype(np.float32)]
 
 
 def fit(
-    texts: list[str], labels: np.ndarray, *, epochs: int = 14, batch: int = 64, rate: float = 0.01, seed: int = 7
-) -> Network:
-    """The network fitted to 0/1 labels; constant 0.5 unless both occur."""
+    texts: list[str], labels: np.ndarray, *, epochs: int = 14, least_steps: int = 600, batch: int = 64,
+    rate: float = 0.01, seed: int = 7,
+) -> Network:
+    """The network fitted to 0/1 labels, in so many passes over the texts, or more if these are too few for
+    least_steps; constant 0.5 unless both labels occur."""
     draw = np.random.default_rng(seed)
     net = Network(
         draw.normal(0, 0.5, (256, VECTOR)).astype(np.float32),
-        draw.normal(0, 0.25, (WIDTH * INPUTS, FILTERS)).astype(np.float32),
+        draw.normal(0, 0.25, (WIDTH * VECTOR, FILTERS)).astype(np.float32),
         np.zeros(FILTERS, dtype=np.float32),
         np.zeros(2 * FILTERS + 1, dtype=np.float32),
     )
@@ -203,6 +201,7 @@ def fit(
     for group in groups:
         rows = pa.RecordBatch.from_pydict({"text": pa.array([texts[i] for i in group], pa.large_string())})
         signals += [(s, labels[group[a:b]]) for s, a, b in _signals(rows)]
+    epochs = max(epochs, -(-least_steps // len(signals)))
     for epoch in range(epochs):
         pace = rate * (1 - epoch / epochs) + rate * 0.02
         for at in draw.permutation(len(signals)):

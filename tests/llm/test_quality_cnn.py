@@ -21,7 +21,7 @@ def signal(texts):
 
 
 def test_gradients_are_those_of_the_loss():
-    net = fit(["good text here " * 20, "BAD!! BAD!! " * 20], np.array([1.0, 0.0], np.float32), epochs=1)
+    net = fit(["good text here " * 20, "BAD!! BAD!! " * 20], np.array([1.0, 0.0], np.float32), epochs=1, least_steps=1)
     net = type(net)(*(p.astype(np.float64) for p in net))
     held, labels = signal(["good text here", "BAD!! " * 200, ""]), np.array([1, 0, 1])
 
@@ -31,7 +31,7 @@ def test_gradients_are_those_of_the_loss():
 
     for part, gradient in zip(net, quality_cnn._gradients(net, held, labels), strict=True):
         at = np.unravel_index(np.abs(gradient).argmax(), gradient.shape)
-        kept, step = part[at], 1e-3
+        kept, step = part[at], 1e-5
         part[at] = kept + step
         above = loss()
         part[at] = kept - step
@@ -40,9 +40,42 @@ def test_gradients_are_those_of_the_loss():
         assert abs(slope - gradient[at]) < 0.02 * abs(slope) + 1e-4
 
 
+def brute(net, text):
+    """The network by its definition, window by window and chunk by chunk, for one text."""
+    data = text.encode()
+    half = quality_cnn.CHUNK // 2
+    halves = max(1, -(-(len(data) + quality_cnn.WIDTH) // half))
+    data += bytes(halves * half + quality_cnn.STEP - len(data))
+    chunks = []
+    for first in range(max(1, halves - 1)):
+        end = min(first + 2, halves) * half
+        responses = [
+            np.concatenate([net.vectors[b] for b in data[at : at + quality_cnn.WIDTH]]) @ net.filters
+            for at in range(first * half, end, quality_cnn.STEP)
+            if at + quality_cnn.WIDTH <= halves * half
+        ]
+        responses += [
+            np.concatenate([net.vectors[b] for b in data[end - quality_cnn.STEP : end]])
+            @ net.filters[: quality_cnn.STEP * quality_cnn.VECTOR]
+        ] * (end == halves * half)
+        chunks.append(np.maximum(np.max(responses, axis=0) + net.bias, 0))
+    features = np.concatenate([np.max(chunks, axis=0), np.mean(chunks, axis=0)])
+    return 1 / (1 + np.exp(-(features @ net.weights[:-1] + net.weights[-1])))
+
+
+def test_forward_pass_by_brute_force():
+    net = fit(["good text here " * 20, "BAD!! BAD!! " * 20], np.array([1.0, 0.0], np.float32), epochs=3, least_steps=3)
+    draw = np.random.default_rng(2)
+    texts = ["", "a", "é" * 130, "word " * 50, "x" * 248, "y" * 249, "z" * 256, "w" * 257]
+    texts += ["".join(draw.choice(list("ab !é\n"), n)) for n in (100, 700, 3000)]
+    assert np.allclose(scores_of(net, signal(texts)), [brute(net, t) for t in texts], atol=1e-4)
+    alone = [scores_of(net, signal([t]))[0] for t in texts]
+    assert np.allclose(scores_of(net, signal(texts[::-1]))[::-1], alone, atol=1e-5)
+
+
 def test_scores_do_not_depend_on_how_texts_are_cut():
     texts = ["some words " * k for k in (0, 1, 30, 2000, 90_000)]
-    net = fit([texts[2], "NO!! " * 80], np.array([1.0, 0.0], np.float32), epochs=2)
+    net = fit([texts[2], "NO!! " * 80], np.array([1.0, 0.0], np.float32), epochs=2, least_steps=2)
     together = scores_of(net, signal(texts))
     features = _forward(net, signal(texts))[0]
     assert np.allclose(together, _sigmoid(features @ net.weights), atol=1e-4)
