@@ -449,6 +449,8 @@ def near_duplicate_classes(
         .withColumn("centrality", F.least(16 * F.col("others") / prefix, F.lit(1 << 30)).cast("int"))
         .select("key", "row_id", "n_shingles", "level", "centrality")
     )
+    # Written, so that the lists' shuffle files are gone before texts are shuffled
+    sharing = work.keep(sharing, "sharing")
     # Repeated rows share the row_id; counted twice, their shingles would make overlaps too large
     once_each = rows.join(sharing, "row_id").dropDuplicates(["row_id"])
     texts = work.keep(once_each.select("key", "n_shingles", "level", "centrality", "text"), "texts")
