@@ -71,47 +71,49 @@ def declared_language(html: str) -> str | None:
     return found[0].lower() if found else None
 
 
-def languages_of(labelled: DataFrame) -> tuple[str, ...]:
-    """All languages that label a text."""
-    named = labelled.where(F.col("text").isNotNull() & (F.trim("lang") != "")).groupBy("lang").count()
-    found = sorted(row["lang"] for row in named.limit(MOST_LANGUAGES + 1).collect())
-    if len(found) > MOST_LANGUAGES:
-        raise ValueError(f"labelled texts have more than {MOST_LANGUAGES} languages")
-    return tuple(found) or (UNDETERMINED,)
-
-
-def pair_counts(texts: DataFrame, languages: tuple[str, ...]) -> DataFrame:
-    """(lang, pair, n) over all rows of (lang, text) whose lang is one of the languages."""
+def pair_counts(texts: DataFrame) -> DataFrame:
+    """(lang, pair, n) over all rows of (lang, text) that have both."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(languages), PAIRS), dtype=np.int64)
+        total: dict[str, np.ndarray] = {}
         for words in words_of(batches):
             codes, first = _pairs(words)
             langs = words.rows.column("lang").to_pylist()
-            of = np.repeat([languages.index(lang) for lang in langs], np.diff(first))
-            total += np.bincount(of * PAIRS + codes, minlength=total.size).reshape(total.shape)
-        lang, pair = np.nonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([languages[i] for i in lang], pa.string()), pa.array(pair, pa.int32()), pa.array(total[lang, pair])],
-            names=["lang", "pair", "n"],
-        )
+            names = sorted(set(langs))
+            of = np.repeat([names.index(lang) for lang in langs], np.diff(first))
+            found = np.bincount(of * PAIRS + codes, minlength=len(names) * PAIRS).reshape(-1, PAIRS)
+            for name, counts in zip(names, found, strict=True):
+                total[name] = total.get(name, 0) + counts
+            if len(total) > MOST_LANGUAGES:
+                raise ValueError(f"labelled texts have more than {MOST_LANGUAGES} languages")
+        for name, counts in total.items():
+            pair = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([name] * len(pair), pa.string()), pa.array(pair, pa.int32()), pa.array(counts[pair], pa.int64())],
+                names=["lang", "pair", "n"],
+            )
 
     return (
         texts.select("lang", "text")
-        .where(F.col("lang").isin(*languages) & F.col("text").isNotNull())
+        .where((F.trim("lang") != "") & F.col("text").isNotNull())
         .mapInArrow(count, "lang string, pair int, n long")
         .groupBy("lang", "pair")
         .agg(F.sum("n").alias("n"))
     )
 
 
-def likelihoods(counts: DataFrame, languages: tuple[str, ...]) -> np.ndarray:
-    """Log probability of each pair for each language (pairs x languages), unseen ones as half a time seen.
-    The table has a row for each language and pair, so collecting it is bounded."""
+def likelihoods(counts: DataFrame) -> tuple[tuple[str, ...], np.ndarray]:
+    """The languages that label a text, and the log probability of each pair for each of them (pairs x languages),
+    unseen ones as half a time seen. There is a row for each language and pair, so collecting them is bounded."""
+    rows = counts.collect()
+    languages = tuple(sorted({row["lang"] for row in rows})) or (UNDETERMINED,)
+    if len(languages) > MOST_LANGUAGES:
+        raise ValueError(f"labelled texts have more than {MOST_LANGUAGES} languages")
+    place = {language: i for i, language in enumerate(languages)}
     table = np.full((PAIRS, len(languages)), 0.5)
-    for row in counts.collect():
-        table[row["pair"], languages.index(row["lang"])] += row["n"]
-    return np.log(table / table.sum(axis=0)).astype(np.float32)
+    for row in rows:
+        table[row["pair"], place[row["lang"]]] += row["n"]
+    return languages, np.log(table / table.sum(axis=0)).astype(np.float32)
 
 
 def host_levels(host: Column) -> tuple[Column, Column]:
@@ -241,13 +243,11 @@ def fuse(
 
 
 def identify(
-    rows: DataFrame, labelled: DataFrame, *, markup: bool, languages: tuple[str, ...] | None = None,
-    text_weight: float = 0.2, smoothing: float = 20.0,
-) -> DataFrame:
+    rows: DataFrame, labelled: DataFrame, *, markup: bool, text_weight: float = 0.2, smoothing: float = 20.0
+) -> DataFrame:
     """Language of every row of (row_id, text, host, declared), text likelihoods fitted to all rows of
     labelled (lang, text). text_weight tempers the pairs, which are not independent."""
     work = WorkTables(rows.sparkSession, "language-id")
-    languages = languages or languages_of(labelled)
-    table = likelihoods(pair_counts(labelled, languages), languages)
+    languages, table = likelihoods(pair_counts(labelled))
     evidence = work.keep(text_evidence(rows, table, text_weight, markup=markup), "evidence")
     return fuse(evidence, work, languages=languages, smoothing=smoothing)

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.text_arrays import Words, words_of
+from tallyhouse.llm.work_tables import reach_workers
 
 VECTOR, WIDTH, CHUNK, FILTERS = 8, 8, 256, 32
 STEP = WIDTH // 2
@@ -252,6 +253,7 @@ def quality_scores(
     documents: DataFrame, labels: DataFrame, *, sample_rows: int = 3000, threshold: float = 0.7
 ) -> DataFrame:
     """doc_id, held_out, score and predicted (1 from the threshold on) of every row of documents."""
+    reach_workers(documents.sparkSession)
     net = fit(*labelled_sample(documents, labels, sample_rows))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -16,7 +16,7 @@ Removed windows merge into maximal intervals of words.
 
 Null or empty texts, and texts of fewer words than a window: nothing is removed. Rows with a null id neither
 lose words nor make others lose them. Rows with the same id do not remove each other's words, each gets its
-own result. Further columns are ignored.
+own result. A text of more than 2**28 words ends the job with an error. Further columns are ignored.
 """
 
 from __future__ import annotations
@@ -60,6 +60,8 @@ def window_runs(words: Words, width: int, gram: int) -> tuple[np.ndarray, ...]:
     if not len(hashes):
         empty = np.empty(0, dtype=np.int64)
         return empty, empty, empty, empty.astype(U), empty.astype(U), hashes
+    if len(hashes) >> int(PLACE_BITS):
+        raise ValueError(f"a text of more than 2**{PLACE_BITS} words")
     grams = rolling(words.hash, gram)
     places = np.arange(len(grams), dtype=U)
     least = _sliding_min((grams >> PLACE_BITS << PLACE_BITS) | places, width - gram + 1)

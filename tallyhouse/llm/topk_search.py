@@ -28,6 +28,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyhouse.llm.work_tables import reach_workers
+
 #: Rows of a shard that share one threshold update, and non-essential terms probed at a time.
 BLOCK_ROWS, PROBE_TERMS = 2048, 8
 #: Below this a float64 holds every sum of products exactly.
@@ -110,6 +112,7 @@ def top_k(
     """query_id, rank from 1, id and score of the k best rows for each query id, rows of that id excluded.
 
     Equal rows are counted before they are dealt to cells, and at most k of them can be among the k best."""
+    reach_workers(vectors.sparkSession)
     rows = (
         vectors.where(F.col(id_column).isNotNull())
         .select(

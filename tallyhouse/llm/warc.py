@@ -29,6 +29,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tallyhouse.llm.work_tables import reach_workers
+
 VERSION = "WARC/1.1"
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the standard's one for urls
 CRLF = b"\r\n"
@@ -295,6 +297,7 @@ def responses(
     date: str = "1970-01-01T00:00:00Z",
 ) -> DataFrame:
     """Pages as response records: the id, and `record` bytes. A null page is one with an empty payload."""
+    reach_workers(pages.sparkSession)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -327,6 +330,7 @@ def derivatives(
     records: DataFrame, *, id_column: str, record_column: str = "record", most_bytes: int = MOST_BYTES
 ) -> DataFrame:
     """Two rows for each response record, under its id: see DERIVED for the columns."""
+    reach_workers(records.sparkSession)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 
 from tallyhouse.llm.packing import byte_letters
 from tallyhouse.llm.text_arrays import Words, words_of
+from tallyhouse.llm.work_tables import reach_workers
 
 NOTHING = -1
 #: Stands for the end of a word; no piece has it, as it is no byte of UTF-8.
@@ -144,7 +145,10 @@ def automaton(path: str) -> Automaton:
     """From a byte-level vocabulary file: pieces behind a blank, and the blank alone, start words; all others
     continue them."""
     with open(path, encoding="utf-8") as file:
-        vocabulary = json.load(file)["model"]["vocab"]
+        described = json.load(file)
+    if (described.get("pre_tokenizer") or {}).get("type") != "ByteLevel" or described.get("normalizer"):
+        raise ValueError(f"{path} is no vocabulary of bytes whose words begin with a blank")
+    vocabulary = described["model"]["vocab"]
     byte_of = {letter: byte for byte, letter in byte_letters().items()}
     blank = byte_letters()[0x20]
     initial, continuing = set(), set()
@@ -168,6 +172,7 @@ def chunk_counts(words: Words, matcher: Automaton) -> tuple[np.ndarray, np.ndarr
 
 def token_counts(documents: DataFrame, vocabulary_path: str) -> DataFrame:
     """doc_id, n_words, n_tokens and n_unknown (words that are one unknown token) of every row."""
+    reach_workers(documents.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = automaton(vocabulary_path)

@@ -36,6 +36,14 @@ def test_plan_places_every_piece_once_and_fills_sequences(seed):
     assert len(filled) <= 11 / 9 * least + 2
 
 
+def test_a_tokenizer_that_keeps_blanks_and_case():
+    path = tokenizer_file("byte_bpe_50k.json")
+    known = WordIds(path)
+    assert not known.by_word and WordIds(PATH).by_word
+    for text in ("Hello World again", "", "a  b\n", "é Étage's 10"):
+        assert known.of_text(text) == array("I", known.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+
 def test_word_ids_equal_the_tokenizers():
     known = WordIds(PATH)
     odd = ["", "a\x1cb c", "ΣΑΣ Σας", "İstanbul don't we'll x<|endoftext|>y", "éa café.", "ab_c,, 12ab3 Ünï x y\u0085z"]

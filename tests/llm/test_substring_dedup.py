@@ -51,3 +51,28 @@ def test_texts_are_cut_and_else_left_as_they_are(spark):
 
 def test_empty_table(spark):
     assert remove_repeats(cases.empty(spark)).count() == 0
+
+
+def test_more_words_than_places_are_an_error(monkeypatch):
+    import pyarrow as pa
+
+    from tallyhouse.llm.text_arrays import U, words_of
+
+    monkeypatch.setattr(substring_dedup, "PLACE_BITS", U(7))
+    (words,) = words_of(iter([pa.RecordBatch.from_pydict({"text": ["w " * 200]})]))
+    with pytest.raises(ValueError, match="more than 2"):
+        substring_dedup.window_runs(words, 50, 8)
+
+
+def test_a_hot_anchor_in_ever_different_runs(spark, monkeypatch):
+    """One phrase of 8 words in many documents, whose surroundings differ, and repeated rows."""
+    monkeypatch.setattr(substring_dedup, "FLUSH_RUNS", 100)
+    phrase = " ".join(f"p{i}" for i in range(8))
+    rows = []
+    for i in range(120):
+        around = [f"w{i}_{k}" for k in range(60)]
+        rows.append((i, " ".join([*around[:30], phrase, *around[30:]]), "", "", 0, 0, ""))
+    shared = " ".join(f"s{k}" for k in range(45))
+    rows += [(200 + i, f"x{i % 3} {shared} {phrase} y{i % 5}", "", "", 0, 0, "") for i in range(40)]
+    rows += [rows[3]] * 20
+    assert found(remove_repeats(cases.frame(spark, rows))) == brute(rows)
