@@ -374,42 +374,89 @@ def _renamed(query: str, metric: str) -> str:
     return f"SELECT * RENAME (count AS {metric}) FROM ({query})"
 
 
+_SHOWN_KEY = "coalesce({}, 'None') || ': ' || {}"
+
+
+def _csv_lines(section: int, query: str, key: str, metric: str, label: str, value: str, seq: int = 2) -> list[str]:
+    return _lines(section, query, key, metric, seq=seq, text=f"'{label}' || {value}")
+
+
 _CSV_REPORT = " UNION ALL ".join(
     [
-        *_lines(1, _CSV["csv_sales_overview"], "NULL", "total_sales", "average_order_value"),
-        *_lines(1, "SELECT 0 AS unreadable_amounts", "NULL", "unreadable_amounts", seq=4),
-        *_lines(2, _CSV["csv_daily_sales"], "date", "total_sales"),
-        *_ranked_lines(),
-        *_lines(
-            4,
-            _renamed(_CSV["csv_fulfillment"], "fulfillment_rows"),
-            "fulfillment",
-            "fulfillment_rows",
+        *_csv_lines(
+            1, _CSV["csv_sales_overview"], "NULL", "total_sales", "Total Sales: ", _money("total_sales")
         ),
-        *_lines(
-            5,
-            _renamed(_CSV["csv_courier_status"], "courier_status_rows"),
-            "courier_status",
-            "courier_status_rows",
+        *_csv_lines(
+            1,
+            _CSV["csv_sales_overview"],
+            "NULL",
+            "average_order_value",
+            "Average Order Value: ",
+            _money("average_order_value"),
+            seq=3,
+        ),
+        *_csv_lines(
+            1,
+            "SELECT 0 AS unreadable_amounts",
+            "NULL",
+            "unreadable_amounts",
+            "Amounts that are no number: ",
+            "unreadable_amounts",
+            seq=4,
         ),
         *_lines(
-            5,
-            _renamed(_CSV["csv_order_status"], "order_status_rows"),
-            "order_status",
-            "order_status_rows",
-            seq=3,
+            2,
+            _CSV["csv_daily_sales"],
+            "date",
+            "total_sales",
+            text=_SHOWN_KEY.format("date", _money("total_sales")),
         ),
-        *_lines(7, _CSV["csv_quantity"], "NULL", "total_quantity", "average_quantity"),
-        *_lines(7, "SELECT 0 AS unreadable_quantities", "NULL", "unreadable_quantities", seq=4),
+        *[line.replace(" AS value", " AS value, NULL AS text") for line in _ranked_lines()],
+        *[
+            line
+            for section, seq, name in ((4, 2, "fulfillment"), (5, 2, "courier_status"), (5, 3, "order_status"))
+            for line in _lines(
+                section,
+                _renamed(_CSV[f"csv_{name}"], f"{name}_rows"),
+                name,
+                f"{name}_rows",
+                seq=seq,
+                text=_SHOWN_KEY.format(name, f"{name}_rows"),
+            )
+        ],
+        *_lines(7, _CSV["csv_quantity"], "NULL", "total_quantity", "average_quantity", text="NULL"),
         *_lines(
+            7, "SELECT 0 AS unreadable_quantities", "NULL", "unreadable_quantities", seq=4,
+            text="'Quantities that are no number: ' || unreadable_quantities",
+        ),
+        *_csv_lines(
+            8, _CSV["csv_financials"], "NULL", "gross_revenue", "Gross Revenue: ", _money("gross_revenue")
+        ),
+        *_csv_lines(
             8,
             _CSV["csv_financials"],
             "NULL",
-            "gross_revenue",
             "estimated_cost",
+            "Estimated Cost: ",
+            _money("estimated_cost"),
+            seq=3,
+        ),
+        *_csv_lines(
+            8,
+            _CSV["csv_financials"],
+            "NULL",
             "profit_margin_percent",
+            "Profit Margin: ",
+            "format('{:.2f}', cast(profit_margin_percent AS double)) || '%'",
+            seq=4,
+        ),
+        *_lines(
+            9,
+            _CSV["csv_currency"],
+            "currency",
+            "total_sales",
+            text=_SHOWN_KEY.format("currency", _money("total_sales")),
         ),
-        *_lines(9, _CSV["csv_currency"], "currency", "total_sales"),
     ]
 )
 

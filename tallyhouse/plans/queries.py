@@ -291,9 +291,11 @@ def _insights(spark: SparkSession, path: str) -> DataFrame:
     return rounded(report.where("metric IS NOT NULL").withColumn("text", text), "value")
 
 
-def _figures_only(report: DataFrame) -> DataFrame:
-    lines = report.where("metric IS NOT NULL").drop("text")
-    return rounded(lines, "value")
+def _lines_of_figures(report: DataFrame) -> DataFrame:
+    """The lines with a figure and their text; lines with quantities keep their figures only, as their numbers
+    print as doubles, which engines do not print alike."""
+    text = F.when(~F.col("metric").isin("total_quantity", "average_quantity") & (F.col("section") != 3), F.col("text"))
+    return rounded(report.where("metric IS NOT NULL").withColumn("text", text), "value")
 
 
 SERVING_QUERIES: dict[str, Query] = {
@@ -347,7 +349,7 @@ def _uploaded_report(spark: SparkSession, path: str) -> DataFrame:
     rest = [name for name in UPLOADED if name != "product_name"]
     products = uploaded_view(spark, path, *ranked_by)
     report = csv_report.csv_report(uploaded_view(spark, path, *rest), products=products)
-    return _figures_only(report)
+    return _lines_of_figures(report)
 
 
 CSV_QUERIES: dict[str, Query] = {
