@@ -177,14 +177,14 @@ def _first_prefixes(batches: Iterator[pa.RecordBatch], size: int, hundredths: in
 def _level_prefixes(batches: Iterator[pa.RecordBatch], size: int, hundredths: int) -> Iterator[pa.RecordBatch]:
     for words in words_of(batches, lower=True):
         rows = words.rows
-        fields = ("key", "level", "centrality")
+        fields = ("key", "standing")
         cols = [rows.column(f).to_numpy(zero_copy_only=False) for f in fields]
         shown = []
-        for s, level in zip(shingle_sets(words, size), cols[1].tolist(), strict=True):
-            n = len(s)
+        for s, standing in zip(shingle_sets(words, size), cols[1].tolist(), strict=True):
+            n, level = len(s), standing % len(LEVELS)
             shown.append(s[: n - overlap_needed(n, hundredths) + matches_at(n, level, hundredths)])
         counts = np.array([len(s) for s in shown], dtype=np.int64)
-        kinds = (pa.int64(), pa.int32(), pa.int32())
+        kinds = (pa.int64(), pa.int64())
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.concatenate([np.empty(0, U), *shown]).view(np.int64))]
             + [pa.array(np.repeat(c, counts), t) for c, t in zip(cols, kinds, strict=True)],
@@ -245,12 +245,12 @@ def _whole(x: str, y: str) -> Column:
     return (F.col(f"{x}.level") == len(LEVELS) - 1) & (F.col(f"{y}.level") == len(LEVELS) - 1)
 
 
-def _hubs(draws: range, by_shingle: WindowSpec) -> Column:
+def _hubs(draws: range, centrality: Column, by_shingle: WindowSpec) -> Column:
     """The keys that stand as hubs in each shingle's list, one for each draw."""
-    orders = [F.col("centrality")] if 0 in draws else []
+    orders = [centrality] if 0 in draws else []
     for r in draws[len(orders) :]:
         raised = F.pmod(F.xxhash64(F.lit(r), "key"), F.lit(10 * RAISED))
-        orders.append(F.col("centrality") * (1000 + raised))
+        orders.append(centrality * (1000 + raised))
     return F.array(*(F.max(F.struct(o.alias("order"), "key")).over(by_shingle)["key"] for o in orders))
 
 
@@ -453,21 +453,25 @@ def near_duplicate_classes(
     sharing = work.keep(sharing, "sharing")
     # Repeated rows share the row_id; counted twice, their shingles would make overlaps too large
     once_each = rows.join(sharing, "row_id").dropDuplicates(["row_id"])
-    texts = work.keep(once_each.select("key", "n_shingles", "level", "centrality", "text"), "texts")
+    # Centrality and level in one number, so that the rows of shingles are narrow
+    standing = (F.col("centrality").cast("long") * len(LEVELS) + F.col("level")).alias("standing")
+    texts = work.keep(once_each.select("key", "n_shingles", standing, "text"), "texts")
     bare = texts.select("key", "text")
-    sizes = texts.select("key", "n_shingles", "level", _matches(n, F.col("level"), t).alias("own")).distinct()
-    sizes = work.keep(sizes, "sizes")
+    level = (F.col("standing") % len(LEVELS)).cast("int")
+    centrality = (F.col("standing") / len(LEVELS)).cast("long")
+    sizes = texts.select("key", "n_shingles", "standing", level.alias("level"), _matches(n, level, t).alias("own"))
+    sizes = work.keep(sizes.distinct(), "sizes")
 
     # Each text against the hubs of its shingles
-    shown = texts.mapInArrow(
-        lambda b: _level_prefixes(b, size, t), "shingle long, key long, level int, centrality int"
+    shown = texts.select("key", "standing", "text").mapInArrow(
+        lambda b: _level_prefixes(b, size, t), "shingle long, key long, standing long"
     )
     levels = range(len(LEVELS))
-    listed = shown.withColumn("hubs", _hubs(range(HUBS), by_shingle))
+    listed = shown.withColumn("hubs", _hubs(range(HUBS), centrality, by_shingle))
     for k in levels:
-        at_level = F.col("level") == k
+        at_level = level == k
         listed = listed.withColumn(f"n{k}", F.count_if(at_level).over(by_shingle) - at_level.cast("int"))
-    listed = listed.where(sum((F.col(f"n{k}") for k in levels), F.lit(0)) > 0).drop("level", "centrality")
+    listed = listed.where(sum((F.col(f"n{k}") for k in levels), F.lit(0)) > 0).drop("standing")
     listed = work.keep(listed, "listed")
     possible = F.lit(False)
     for k in levels:
@@ -477,7 +481,7 @@ def near_duplicate_classes(
         .agg(*(F.count_if(F.col(f"n{k}") > 0).alias(f"m{k}") for k in levels))
         .join(sizes, "key")
         .where(possible)
-        .select("key", "n_shingles", "level", "own")
+        .select("key", "n_shingles", "level", "own", "standing")
     )
     held = work.keep(held, "held")
     pairs = work.keep(_with_hubs(listed, held, t), "hub-pairs")
@@ -491,13 +495,14 @@ def near_duplicate_classes(
         ).drop("label"),
         "parts",
     )
-    crossing = listed.select("shingle", "key", F.get("hubs", F.lit(0)).alias("hub")).join(parts.select("key", "level", "component"), "key")
-    elsewhere = {}
+    # A list's hub is the same for all its rows, so it need not be shuffled with them
+    crossing = listed.select("shingle", "key").join(parts.select("key", "standing", "component"), "key")
+    elsewhere = {"hub": F.get(_hubs(range(1), centrality, by_shingle), F.lit(0))}
     for k in levels:
-        at_level = F.when(F.col("level") == k, F.col("component"))
+        at_level = F.when(level == k, F.col("component"))
         low, high = F.min(at_level).over(by_shingle), F.max(at_level).over(by_shingle)
         elsewhere[f"e{k}"] = F.coalesce((low != F.col("component")) | (high != F.col("component")), F.lit(False))
-    crossing = crossing.withColumns(elsewhere).where(" OR ".join(elsewhere)).drop("component", "level")
+    crossing = crossing.withColumns(elsewhere).where(" OR ".join(f"e{k}" for k in levels)).drop("component", "standing")
     crossing = work.keep(crossing, "crossing")
     work.drop("listed")
     left = (
