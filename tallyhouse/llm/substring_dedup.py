@@ -238,7 +238,7 @@ def remove_repeats(
     found = (
         judged.where(goes | is_open)
         .groupBy("row_id")
-        .agg(F.collect_list(F.struct("start", "windows", (~goes).alias("open"))).alias("spans"))
+        .agg(F.collect_set(F.struct("start", "windows", (~goes).alias("open"))).alias("spans"))
     )
     found = work.keep(found, "spans")
     first_pass = work.keep(
