@@ -158,12 +158,21 @@ def text_evidence(rows: DataFrame, table: np.ndarray, text_weight: float, *, mar
     )
 
 
+def _each(value: Column, like: Column) -> Column:
+    """A number of the row beside every element of an array. Within a lambda it would be computed for each."""
+    return F.array_repeat(value, F.size(like))
+
+
+def _sum(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+
+
 def _normalized(logs: Column) -> Column:
     """Probabilities from log weights."""
-    top = F.array_max(logs)
-    weights = F.transform(logs, lambda x: F.exp(x - top))
-    total = F.aggregate(weights, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(weights, lambda w: w / total)
+    shifted = F.arrays_zip(logs.alias("x"), _each(F.array_max(logs), logs).alias("top"))
+    weights = F.transform(shifted, lambda z: F.exp(z.x - z.top))
+    shares = F.arrays_zip(weights.alias("w"), _each(_sum(weights), logs).alias("total"))
+    return F.transform(shares, lambda z: z.w / z.total)
 
 
 def fuse(
@@ -205,9 +214,10 @@ def fuse(
         others = F.transform(
             F.arrays_zip(sums.alias("s"), own.alias("o")), lambda z: F.greatest(z.s - z.o, F.lit(0.0))
         )
-        total = F.aggregate(others, F.lit(0.0), lambda a, x: a + x) + smoothing
+        total = _each(_sum(others) + smoothing, sums)
         return F.transform(
-            F.arrays_zip(others.alias("n"), above.alias("p")), lambda z: (z.n + smoothing * z.p) / total
+            F.arrays_zip(others.alias("n"), above.alias("p"), total.alias("t")),
+            lambda z: (z.n + smoothing * z.p) / z.t,
         )
 
     prior = F.array(*[F.lit(1 / k)] * k)
@@ -234,11 +244,12 @@ def fuse(
 
     return (
         seen.join(levels, "host")
-        .withColumn("posterior", _normalized(fused))
+        .withColumn("logs", fused)
+        .withColumn("posterior", _normalized(F.col("logs")))
         .withColumn("language", best(F.col("posterior")))
         .withColumn("probability", F.array_max("posterior"))
         .withColumn("text_language", F.when(F.col("n_pairs") > 0, best(F.col("by_text"))))
-        .drop("by_text", "known", "domain", "suffix", "of_host", "of_domain", "of_suffix")
+        .drop("by_text", "known", "domain", "suffix", "of_host", "of_domain", "of_suffix", "logs")
     )
 
 
