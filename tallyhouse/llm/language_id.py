@@ -125,9 +125,22 @@ def host_levels(host: Column) -> tuple[Column, Column]:
     return F.array_join(F.slice(labels, first, F.size(labels)), "."), F.element_at(labels, -1)
 
 
+def _lists(rows: np.ndarray, missing: np.ndarray | None = None) -> pa.ListArray:
+    offsets = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
+    mask = None if missing is None else pa.array(missing)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(rows.reshape(-1)), mask=mask)
+
+
+def _normalized(logs: np.ndarray) -> np.ndarray:
+    """Probabilities from log weights, row by row."""
+    weights = np.exp(logs - logs.max(axis=1, keepdims=True, initial=-np.inf))
+    return weights / weights.sum(axis=1, keepdims=True)
+
+
 def text_evidence(rows: DataFrame, table: np.ndarray, text_weight: float, *, markup: bool) -> DataFrame:
-    """row_id, host, declared, n_pairs and log_text (one number for each language) of (row_id, text, host,
-    declared). markup: text is HTML, which declares its language."""
+    """row_id, host, declared, n_pairs, log_text (one number for each language) and by_text (the posterior by the
+    text alone, null without pairs) of (row_id, text, host, declared). markup: text is HTML, which declares its
+    language."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -144,35 +157,59 @@ def text_evidence(rows: DataFrame, table: np.ndarray, text_weight: float, *, mar
                 sums = np.zeros((len(n), table.shape[1]))
                 for i in np.flatnonzero(n):
                     sums[i] = table[codes[first[i] : first[i + 1]]].sum(axis=0, dtype=np.float64)
-                flat = pa.array((text_weight * sums).reshape(-1))
-                offsets = pa.array(np.arange(len(n) + 1) * table.shape[1], pa.int32())
+                logs = text_weight * sums
                 yield pa.RecordBatch.from_arrays(
                     [rows.column("row_id"), rows.column("host"), declared.slice(at, len(n)),
-                     pa.array(n, pa.int64()), pa.ListArray.from_arrays(offsets, flat)],
-                    names=["row_id", "host", "declared", "n_pairs", "log_text"],
+                     pa.array(n, pa.int64()), _lists(logs), _lists(_normalized(logs), n == 0)],
+                    names=["row_id", "host", "declared", "n_pairs", "log_text", "by_text"],
                 )
                 at += len(n)
 
     return rows.select("row_id", "text", "host", "declared").mapInArrow(
-        score, "row_id long, host string, declared string, n_pairs long, log_text array<double>"
+        score, "row_id long, host string, declared string, n_pairs long, log_text array<double>, by_text array<double>"
     )
 
 
-def _each(value: Column, like: Column) -> Column:
-    """A number of the row beside every element of an array. Within a lambda it would be computed for each."""
-    return F.array_repeat(value, F.size(like))
-
-
-def _sum(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+def _fused(languages: tuple[str, ...], everywhere: np.ndarray, spoken: np.ndarray, smoothing: float):
+    """The evidence of each row put together; spoken: log probability of a declaration (language x declared)."""
+    k, place = len(languages), {language: i for i, language in enumerate(languages)}
 
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
 
-def _normalized(logs: Column) -> Column:
-    """Probabilities from log weights."""
-    shifted = F.arrays_zip(logs.alias("x"), _each(F.array_max(logs), logs).alias("top"))
-    weights = F.transform(shifted, lambda z: F.exp(z.x - z.top))
-    shares = F.arrays_zip(weights.alias("w"), _each(_sum(weights), logs).alias("total"))
-    return F.transform(shares, lambda z: z.w / z.total)
+            def matrix(name: str) -> np.ndarray:
+                return batch.column(name).flatten().to_numpy().reshape(-1, k)
+
+            by_text = batch.column("by_text")
+            seen = by_text.is_valid().to_numpy(zero_copy_only=False)
+            own = np.zeros((batch.num_rows, k))
+            own[seen] = matrix("by_text")
+            prior = np.full((batch.num_rows, k), 1 / k)
+            for sums in (everywhere, matrix("of_suffix"), matrix("of_domain"), matrix("of_host")):
+                # Shares of the other rows of a level, drawn towards those of the level above
+                others = np.maximum(sums - own, 0)
+                prior = (others + smoothing * prior) / (others.sum(axis=1, keepdims=True) + smoothing)
+            fused = matrix("log_text") + np.log(prior)
+            declared = np.array([place.get(d, -1) for d in batch.column("declared").to_pylist()], dtype=np.int64)
+            fused[declared >= 0] += spoken[:, declared[declared >= 0]].T
+            posterior = _normalized(fused)
+            names = np.array(languages, dtype=object)
+            columns = [batch.column(name) for name in ("row_id", "host", "declared", "n_pairs", "log_text")]
+            columns += [
+                _lists(posterior),
+                pa.array(names[posterior.argmax(axis=1)], pa.string()),
+                pa.array(posterior.max(axis=1)),
+                pa.array(names[own.argmax(axis=1)], pa.string(), mask=~seen),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in _FUSED.split(", ")])
+
+    return combine
+
+
+_FUSED = (
+    "row_id long, host string, declared string, n_pairs long, log_text array<double>, posterior array<double>, "
+    "language string, probability double, text_language string"
+)
 
 
 def fuse(
@@ -180,15 +217,7 @@ def fuse(
 ) -> DataFrame:
     """evidence with language, probability, text_language and posterior (one number for each language)."""
     k = len(languages)
-    known = F.when(F.col("declared").isin(*languages), F.col("declared"))
-    posterior = _normalized(F.col("log_text"))
-    seen = evidence.withColumns(
-        {
-            "host": F.coalesce(F.lower("host"), F.lit("")),
-            "known": known,
-            "by_text": F.when(F.col("n_pairs") > 0, posterior),
-        }
-    )
+    seen = evidence.withColumn("host", F.coalesce(F.lower("host"), F.lit("")))
     domain, suffix = host_levels(F.col("host"))
     seen = seen.withColumn("domain", domain).withColumn("suffix", suffix)
 
@@ -207,50 +236,17 @@ def fuse(
     levels = hosts.join(domains.drop("suffix"), "domain").select(
         "host", F.col("sums").alias("of_host"), "of_domain", "of_suffix"
     )
-    own = F.coalesce("by_text", F.array(*[F.lit(0.0)] * k))
-
-    def smoothed(sums: Column, above: Column) -> Column:
-        """Shares of the other rows of a level, drawn towards those of the level above."""
-        others = F.transform(
-            F.arrays_zip(sums.alias("s"), own.alias("o")), lambda z: F.greatest(z.s - z.o, F.lit(0.0))
-        )
-        total = _each(_sum(others) + smoothing, sums)
-        return F.transform(
-            F.arrays_zip(others.alias("n"), above.alias("p"), total.alias("t")),
-            lambda z: (z.n + smoothing * z.p) / z.t,
-        )
-
-    prior = F.array(*[F.lit(1 / k)] * k)
-    for sums_of in (F.array(*[F.lit(x or 0.0) for x in everywhere]), *map(F.col, ("of_suffix", "of_domain", "of_host"))):
-        prior = smoothed(sums_of, prior)
-
     # How texts of each language declare theirs: languages x languages numbers
     declarations = np.full((k, k), 0.5)
     each = [F.sum(F.get("by_text", F.lit(i))).alias(f"n{i}") for i in range(k)]
-    for row in seen.where(F.col("known").isNotNull()).groupBy("known").agg(*each).collect():
-        declarations[:, languages.index(row["known"])] += [row[f"n{i}"] or 0.0 for i in range(k)]
-    logs = np.log(declarations / declarations.sum(axis=1, keepdims=True))
-    spoken = F.array(*[F.lit(0.0)] * k)
-    for d, language in enumerate(languages):
-        spoken = F.when(F.col("known") == language, F.array(*map(F.lit, logs[:, d].tolist()))).otherwise(spoken)
-    fused = F.transform(
-        F.arrays_zip(F.col("log_text").alias("t"), spoken.alias("d"), prior.alias("p")),
-        lambda z: z.t + z.d + F.log(z.p),
-    )
-    names = F.array(*map(F.lit, languages))
-
-    def best(p: Column) -> Column:
-        return F.element_at(names, F.array_position(p, F.array_max(p)).cast("int"))
-
-    return (
-        seen.join(levels, "host")
-        .withColumn("logs", fused)
-        .withColumn("posterior", _normalized(F.col("logs")))
-        .withColumn("language", best(F.col("posterior")))
-        .withColumn("probability", F.array_max("posterior"))
-        .withColumn("text_language", F.when(F.col("n_pairs") > 0, best(F.col("by_text"))))
-        .drop("by_text", "known", "domain", "suffix", "of_host", "of_domain", "of_suffix", "logs")
+    for row in seen.where(F.col("declared").isin(*languages)).groupBy("declared").agg(*each).collect():
+        declarations[:, languages.index(row["declared"])] += [row[f"n{i}"] or 0.0 for i in range(k)]
+    spoken = np.log(declarations / declarations.sum(axis=1, keepdims=True))
+    rows = seen.join(levels, "host").select(
+        "row_id", "host", "declared", "n_pairs", "log_text", "by_text", "of_host", "of_domain", "of_suffix"
     )
+    overall = np.array([x or 0.0 for x in everywhere])
+    return rows.mapInArrow(_fused(languages, overall, spoken, smoothing), _FUSED)
 
 
 def identify(
