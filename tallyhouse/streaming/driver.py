@@ -182,7 +182,8 @@ def batch_writer(
     and how many lost which field.
     """
     metrics = tuple(metrics)
-    schema = event_schema([*columns_of(metrics), *(MODEL_COLUMNS if regression else ())])
+    # The id of the sale is parsed with the model's columns, so that its loss is told too
+    schema = event_schema([*columns_of(metrics), *((*MODEL_COLUMNS, "sales_id") if regression else ())])
     fmt = options.get("fmt", FORMAT)
 
     def appended() -> list[str]:
