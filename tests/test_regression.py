@@ -53,7 +53,7 @@ def test_training_rows_of_a_task_do_not_grow_with_all(spark, monkeypatch, ids):
         assert sorted(tuple(r) for r in training.collect()) == expected
 
 
-@pytest.mark.parametrize("name", ["predict_sales_check", "regression_mse_check"])
+@pytest.mark.parametrize("name", ["predict_sales_check", "regression_mse_check", "predict_sales"])
 def test_tasks_of_the_fit_follow_the_rows_of_the_tables(spark, monkeypatch, name):
     fits = []
     real = Pipeline.fit
